@@ -407,3 +407,90 @@ def _select_ledger(src: str) -> str:
 
 def union_sql(selects: list[str]) -> str:
     return "\nUNION ALL\n".join(f"SELECT {', '.join(LEDGER_COLS)} FROM ({s})" for s in selects)
+
+
+# ---------------------------------------------------------------- invoices (XML)
+
+def _zpad(x: str, width: int) -> str:
+    s = f"CAST({x} AS VARCHAR)"
+    return f"concat(repeat('0', greatest(0, {width} - length({s}))), {s})"
+
+
+def _money_txt(x: str) -> str:
+    return f"CAST(CAST(round({x}, 2) AS DECIMAL(18,2)) AS VARCHAR)"
+
+
+def invoice_ctes() -> str:
+    """Documents (order x chunk) and their text fields, as the XML would carry them."""
+    from .sources import invoice_standins as X
+    states = ", ".join(_q(s) for s in X.STATES)
+    tp = "CAST(o_totalprice AS DECIMAL(18,2))"
+    return f"""li_rn AS (
+    SELECT *, CAST((row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                   l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag) - 1) // {X.MAX_ITEMS_PER_DOCUMENT}
+                   AS INTEGER) AS chunk
+    FROM lineitem),
+inv_docs AS (
+    SELECT o.*, COALESCE(c.chunk, 0) AS chunk
+    FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, chunk FROM li_rn) c ON o.o_orderkey = c.l_orderkey),
+inv_hdr AS (
+    SELECT o_orderkey, chunk, o_orderkey % 29 = 0 AS is_foreign, o_orderkey % 23 = 0 AS is_cut,
+           'nfe_' || CAST(o_orderkey AS VARCHAR) || '_' || CAST(chunk AS VARCHAR) || '.xml' AS source_file,
+           {_zpad('o_orderkey', X.KEY_WIDTH)} AS chNFe,
+           CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
+           strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-03:00' AS dhEmi,
+           CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END AS tpNF,
+           CASE WHEN o_orderstatus = 'P' THEN 'REMESSA' ELSE 'VENDA DE MERCADORIA' END AS natOp,
+           '35' AS cUF, '3550308' AS cMunFG,
+           {_q(X.ISSUER['CNPJ'])} AS emit_CNPJ, '' AS emit_CPF, {_q(X.ISSUER['xNome'])} AS emit_xNome,
+           {_q(X.ISSUER['IE'])} AS emit_IE, {_q(X.ISSUER['UF'])} AS emit_UF, {_q(X.ISSUER['xMun'])} AS emit_xMun,
+           CASE WHEN o_orderkey % 13 = 0 OR o_custkey % 3 = 0 THEN '' ELSE {_zpad('o_custkey', 14)} END AS dest_CNPJ,
+           CASE WHEN o_orderkey % 13 = 0 OR o_custkey % 3 <> 0 THEN '' ELSE {_zpad('o_custkey', 11)} END AS dest_CPF,
+           CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE 'CLIENTE ' || CAST(o_custkey AS VARCHAR) END AS dest_xNome,
+           '' AS dest_IE,
+           CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE [{states}][CAST(o_custkey % 5 + 1 AS INTEGER)] END AS dest_UF,
+           CASE WHEN o_orderkey % 13 = 0 THEN '' ELSE 'CIDADE ' || CAST(o_custkey % 100 AS VARCHAR) END AS dest_xMun,
+           {_money_txt(f'{tp} * 0.9')} AS vProd, CAST({tp} AS VARCHAR) AS vNF,
+           {_money_txt(f'{tp} * 0.18')} AS vICMS, {_money_txt(f'{tp} * 0.9')} AS vBC,
+           {_money_txt(f'{tp} * 0.0165')} AS vPIS, {_money_txt(f'{tp} * 0.076')} AS vCOFINS
+    FROM inv_docs),
+inv_items AS (
+    SELECT l_orderkey, chunk, CAST(l_linenumber AS VARCHAR) AS nItem, {_zpad('l_partkey', 6)} AS cProd,
+           'PRODUTO ' || CAST(l_partkey AS VARCHAR)
+               || CASE WHEN l_partkey % 50 = 0 THEN '; "ESPECIAL" & CIA' ELSE '' END AS xProd,
+           {_q(X.NCM)} AS NCM, CASE WHEN l_returnflag = 'R' THEN '1202' ELSE '5102' END AS CFOP, 'UN' AS uCom,
+           CAST(CAST(l_quantity AS DECIMAL(12,4)) AS VARCHAR) AS qCom,
+           CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS vUnCom,
+           {_money_txt('CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2)))')} AS vProd_item,
+           CASE WHEN l_tax > 0 THEN {_money_txt('CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(l_tax AS DECIMAL(18,2))')}
+                ELSE '' END AS vTotTrib_item
+    FROM li_rn)"""
+
+
+NOTAS_FIELDS = ["chNFe", "nNF", "serie", "dhEmi", "tpNF", "natOp", "cUF", "cMunFG",
+                "emit_CNPJ", "emit_CPF", "emit_xNome", "emit_IE", "emit_UF", "emit_xMun",
+                "dest_CNPJ", "dest_CPF", "dest_xNome", "dest_IE", "dest_UF", "dest_xMun",
+                "vProd", "vNF", "vICMS", "vBC", "vPIS", "vCOFINS"]
+ITEM_FIELDS = ["nItem", "cProd", "xProd", "NCM", "CFOP", "uCom", "qCom", "vUnCom", "vProd_item",
+               "vTotTrib_item"]
+
+
+def notas_sql() -> str:
+    cols = ", ".join(f"CASE WHEN is_foreign THEN '' ELSE {c} END AS {c}" for c in NOTAS_FIELDS)
+    return _with(invoice_ctes()) + f"\nSELECT {cols} FROM inv_hdr WHERE NOT is_cut"
+
+
+def itens_sql() -> str:
+    hcols = ", ".join(f"h.{c}" for c in NOTAS_FIELDS)
+    icols = ", ".join(f"i.{c}" for c in ITEM_FIELDS)
+    return _with(invoice_ctes()) + f"""
+SELECT {hcols}, {icols}, h.source_file
+FROM inv_hdr h JOIN inv_items i ON i.l_orderkey = h.o_orderkey AND i.chunk = h.chunk
+WHERE NOT h.is_cut AND NOT h.is_foreign"""
+
+
+def quarantine_sql() -> str:
+    return _with(invoice_ctes()) + """
+SELECT source_file FROM inv_hdr WHERE is_cut
+UNION ALL
+SELECT 'page_' || CAST(page_id AS VARCHAR) || '.html' AS source_file FROM pages"""

@@ -22,6 +22,11 @@ from .operators.lookups import center_hierarchy, code_lookup, item_dimension
 from .plans.config import DEFAULT_CONFIG
 from .plans.ledger import (conform, income_statement, ledger_for_period, ledger_from_journal)
 from .plans.params import DetailParams, PeriodParams
+from .operators.invoices import ITENS_COLUMNS, itens, notas, quarantine
+from .session import shared_scratch_path
+from .sources.csv_sink import read_csv_strings, write_csv
+from .sources.invoice_standins import invoice_documents
+from .sources.invoices import parse_invoices
 from .sources.standins import build_standins
 
 # Parameters of the registered queries: one month (the source query's shape),
@@ -147,6 +152,29 @@ def q_dre_range(spark, sf):
     return income_statement(ledger_for_period(tables_for(spark, sf), RANGE), RANGE)
 
 
+def _parsed_invoices(spark, sf):
+    return parse_invoices(invoice_documents(spark, sf))
+
+
+def q_xml_notas(spark, sf):
+    return notas(_parsed_invoices(spark, sf))
+
+
+def q_xml_itens(spark, sf):
+    return itens(_parsed_invoices(spark, sf))
+
+
+def q_xml_quarantine(spark, sf):
+    return quarantine(_parsed_invoices(spark, sf)).select("source_file")
+
+
+def q_csv_roundtrip(spark, sf):
+    """Items written with the reference's CSV dialect to the shared folder, read back."""
+    path = shared_scratch_path(spark, "csv_roundtrip")
+    write_csv(itens(_parsed_invoices(spark, sf)), path)
+    return read_csv_strings(spark, path, ITENS_COLUMNS)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "julian_codec": q_julian_codec,
     "trimmed_lookup": q_trimmed_lookup,
@@ -167,6 +195,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_detail": q_ledger_detail,
     "dre_monthly": q_dre_monthly,
     "dre_range": q_dre_range,
+    "xml_notas": q_xml_notas,
+    "xml_itens": q_xml_itens,
+    "xml_quarantine": q_xml_quarantine,
+    "csv_roundtrip": q_csv_roundtrip,
 }
 
 
@@ -259,4 +291,8 @@ FROM f0006 f
     out["ledger_detail"] = O._with(*dctes) + "\n" + O.union_sql(dsel)
     out["dre_monthly"] = _dre_sql(PERIOD)
     out["dre_range"] = _dre_sql(RANGE)
+    out["xml_notas"] = O.notas_sql()
+    out["xml_itens"] = O.itens_sql()
+    out["xml_quarantine"] = O.quarantine_sql()
+    out["csv_roundtrip"] = O.itens_sql()
     return out
