@@ -39,7 +39,8 @@ def key_stats(df: DataFrame, keys: Sequence[Column], group: Sequence[Column] = (
         d = d.where(F.col(n).isNotNull())
     per_key = d.groupBy(*gnames, *knames).agg(F.count(F.lit(1)).alias("_n"))
     agg = per_key.groupBy(*gnames).agg(F.sum("_n").alias("rows"), F.max("_n").alias("maxdup"))
-    return {tuple(r[n] for n in gnames): (int(r["rows"]), int(r["maxdup"])) for r in agg.collect()}
+    return {tuple(r[n] for n in gnames): (int(r["rows"] or 0), int(r["maxdup"] or 0))
+            for r in agg.collect()}
 
 
 def cached_stats(tables, name: str, keys: Sequence[Column], group: Sequence[Column] = (),

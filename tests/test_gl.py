@@ -1,0 +1,106 @@
+import datetime as dt
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from balancete.operators.gl import allocate, gl_balance, gl_detail, period_balances
+from balancete.plans.params import DetailParams, PeriodParams
+
+from .helpers import code, erp
+
+P = PeriodParams.month(2016, 1)
+
+
+def _world(spark, rate_rows, **extra):
+    """One company, one account per rate case, balances of 100.00 in Jan 2016."""
+    units, codes, accounts, balances = [], [code("09", "09", "2", "Despesas")], [], []
+    for i, (r49, r50) in enumerate(rate_rows):
+        mcu = f"{i:>12}"
+        units.append({"MCMCU": mcu, "MCDL01": f"U{i}", "MCRP49": f"A{i}", "MCRP50": f"B{i}"})
+        if r49 is not None:
+            codes.append(code("00", "49", f"A{i}", "r49", r49))
+        if r50 is not None:
+            codes.append(code("00", "50", f"B{i}", "r50", r50))
+        accounts.append({"GMAID": f"acc{i}", "GMANI": "1.2", "GMOBJ": "510120", "GMSUB": f"{i:03d}     ",
+                         "GMDL01": "DESC".ljust(30), "GMCO": "00001", "GMMCU": mcu, "GMR009": "2"})
+        balances.append({"GBAID": f"acc{i}", "GBLT": "AA  ", "GBFY": 116, "GBAN01": 10000})
+    tables = dict(F0006=units, F0005=codes, F0901=accounts, F0902=balances,
+                  F0010=[{"CCCO": "00001", "CCNAME": "CO"}])
+    tables.update(extra)
+    return erp(spark, **tables)
+
+
+def test_allocation_cases(spark):
+    cases = [(None, None), ("20", None), ("20", "30"), (None, "30"), ("0", None)]
+    t = _world(spark, cases)
+    rows = allocate(gl_balance(t, P)).select("CHAVE_CONTA", "VALOR_TRANSACAO", "LINHA", "PERCENTUAL").collect()
+    by = {}
+    for r in rows:
+        by.setdefault(r.CHAVE_CONTA, []).append((r.VALOR_TRANSACAO, r.LINHA, r.PERCENTUAL))
+    assert by["acc0"] == [(Decimal("100.0000"), " ", None)]
+    assert by["acc1"] == [(Decimal("20.0000"), "BALOES", Decimal("20.0000"))]
+    assert sorted(by["acc2"]) == [(Decimal("20.0000"), "BALOES", Decimal("20.0000")),
+                                  (Decimal("30.0000"), "LUVAS MULTIUSO", Decimal("30.0000"))]
+    assert by["acc3"] == [(Decimal("100.0000"), " ", None)]
+    assert by["acc4"] == [(Decimal("0.0000"), "BALOES", Decimal("0.0000"))]
+
+
+def test_allocation_total_invariant(spark):
+    t = _world(spark, [("12,5%", "33.3333"), ("7.25", None)])
+    base = gl_balance(t, P)
+    expected = base.select(F.sum(F.round(F.col("VALOR_TRANSACAO") * F.col("RATEIO_BALAO") / 100, 4)
+                                 + F.coalesce(F.round(F.col("VALOR_TRANSACAO") * F.col("RATEIO_MULTIUSO") / 100, 4),
+                                              F.lit(0)))).first()[0]
+    got = allocate(base).select(F.sum("VALOR_TRANSACAO")).first()[0]
+    assert got == expected
+
+
+def test_exclusion_rules(spark):
+    t = _world(spark, [(None, None)] * 5)
+    a = t["F0901"].collect()
+    rows = [r.asDict() for r in a]
+    rows[0].update(GMOBJ="      ", GMSUB="        ")                 # blank structure -> dropped
+    rows[1].update(GMR009="9")                                       # no group label -> passes
+    rows[2].update(GMR010="D")                                       # 'Devoluções' -> dropped
+    rows[3].update(GMOBJ="311210", GMSUB="003     ")                 # rebuilt account -> dropped
+    rows[4].update(GMR009="F")                                       # 'Faturamento Bruto' -> dropped
+    t2 = _world(spark, [(None, None)] * 5, F0901=rows,
+                F0005=[code("09", "09", "2", "Despesas"), code("09", "10", "D", "Devoluções"),
+                       code("09", "09", "F", "Faturamento Bruto")])
+    kept = [r.CHAVE_CONTA for r in gl_balance(t2, P).collect()]
+    assert kept == ["acc1"]
+
+
+def test_padded_labels_kept(spark):
+    t = _world(spark, [(None, None)])
+    r = gl_balance(t, P).first()
+    assert r.CONTA_ESTRUTURA == "510120000"
+    assert r.CONTA_COMPLETA == "510120000      " + "DESC".ljust(30)
+    assert len(r.CONTA_COMPLETA) == 45
+    assert r.EXPLICACAO == "SALDO F0902" and r.DATA_LANCAMENTO == dt.date(2016, 1, 1)
+
+
+def test_period_pick_and_ledger_type(spark):
+    t = _world(spark, [(None, None)], F0902=[
+        {"GBAID": "acc0", "GBLT": "AA  ", "GBFY": 116, "GBAN01": 500, "GBAN02": 700},
+        {"GBAID": "acc0", "GBLT": "BA", "GBFY": 116, "GBAN01": 900},
+        {"GBAID": "acc0", "GBLT": "AA", "GBFY": 115, "GBAN01": 300},
+        {"GBAID": "acc1", "GBLT": "AA", "GBFY": 116, "GBAN01": None, "GBAN02": 0}])
+    one = [(r.GBAID, int(r.VALOR_PERIODO)) for r in period_balances(t, P).collect()]
+    assert one == [("acc0", 500)]
+    rng = PeriodParams(dt.date(2015, 12, 1), dt.date(2016, 3, 1))
+    got = sorted((r.DATA_LANCAMENTO, int(r.VALOR_PERIODO)) for r in period_balances(t, rng).collect())
+    assert got == [(dt.date(2016, 1, 1), 500), (dt.date(2016, 2, 1), 700)]
+
+
+def test_gl_detail_posted_only_and_truncation(spark):
+    t = _world(spark, [(None, None)], F0911=[
+        {"GLAID": "acc0", "GLDGJ": 121005, "GLDCT": "JE", "GLDOC": 7, "GLAA": -1234, "GLANI": " 1.2 ",
+         "GLEXA": "x" * 40, "GLLT": "AA", "GLPOST": "P"},
+        {"GLAID": "acc0", "GLDGJ": 121006, "GLDCT": "JE", "GLDOC": 8, "GLAA": 1, "GLLT": "AA", "GLPOST": " "},
+        {"GLAID": "acc0", "GLDGJ": 120366, "GLDCT": "JE", "GLDOC": 9, "GLAA": 1, "GLLT": "AA", "GLPOST": "P"}])
+    rows = gl_detail(t, DetailParams(dt.date(2021, 1, 1))).collect()
+    assert len(rows) == 1
+    r = rows[0]
+    assert (r.NUM_DOCUMENTO, r.VALOR_TRANSACAO, r.CONTA_II, r.EXPLICACAO, r.DATA_LANCAMENTO) == \
+        ("7", Decimal("-12.34"), "1.2", "x" * 30, dt.date(2021, 1, 5))
