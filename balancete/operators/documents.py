@@ -2,22 +2,32 @@
 
 ``document_lines`` builds one row per qualifying document line:
 
-    lines (type filter) ⋈ header (issue-date range)        shuffle join, both
-                                                            sides hashed on the
-                                                            document number
+    lines (type filter) ⋈ header (issue-date range)
       ⋈ operation nature, item dimension, company, unit     checked broadcasts
 
-Both sides of the big join are hash-partitioned on the document number
-alone, so the later joins to the per-line tax detail and the DIFAL detail
-(which also key on the document number) reuse that partitioning and only
-shuffle the detail side. The source query re-joins the fact in each of its
-eleven branches; here the fact is read once and every branch is a column
-of the same rows: the sales and return branches come out of one explode of
-a rule array, DIFAL and PIS/COFINS are joins on top of the same base.
+The issue date lives on the header only, so the header decides the plan.
+Its date-filtered key set is counted first (one cheap, column-pruned scan
+with the date predicate pushed to Parquet):
+
+* small (a month of documents): the header is broadcast into the line scan,
+  and the per-line tax detail and DIFAL detail are semi-joined against the
+  same broadcast keys. None of the three document-keyed facts is shuffled;
+  only month-sized rows ever reach an exchange.
+* large (a multi-year history): lines and header are both hash-partitioned
+  on the document number alone, so the joins to the tax detail and the
+  DIFAL detail (which also key on the document number) reuse that
+  partitioning and shuffle only the detail side.
+
+The source query re-joins the fact in each of its eleven branches; here the
+fact is read once and every branch is a column of the same rows: the sales
+and return branches come out of one explode of a rule array, DIFAL and
+PIS/COFINS are joins on top of the same base.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +35,8 @@ from ..functions import (MONEY, PERCENT, cents_to_amount, code_eq, code_in, code
                          decode_cyyddd, fit, ocat, otrim)
 from ..plans import rules as R
 from ..plans.config import DEFAULT_CONFIG, LedgerConfig
-from .lookups import cached_stats, center_hierarchy, checked, companies, item_dimension
+from .lookups import (cached_stats, center_hierarchy, checked, companies, item_dimension,
+                      materialized)
 
 _LINE_COLS = ["FDFCO", "FDBNNF", "FDDCT", "FDN001", "FDBSER", "FDUKID", "FDPDCT", "FDNXTR",
               "FDLTTR", "FDBNOP", "FDBSOP", "FDLITM", "FDMCU", "FDCO", "FDGLC",
@@ -36,9 +47,28 @@ def _doc_partitions(spark) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+class DocumentLines(NamedTuple):
+    """Document lines plus the plan choice made for them.
+
+    ``header_keys`` is the broadcast (document number, type, suffix) key set
+    of the date-filtered header when it was small enough, else None.
+    """
+
+    df: DataFrame
+    header_keys: DataFrame | None
+
+    def restrict(self, detail: DataFrame, nnf: str, dct: str, n001: str) -> DataFrame:
+        """Keep only detail rows of the selected documents (map-side when broadcast)."""
+        if self.header_keys is None:
+            return detail
+        k = self.header_keys
+        return detail.join(k, (F.col(nnf) == F.col("_H_BNNF")) & (F.rtrim(dct) == F.col("_H_DCT"))
+                           & (F.col(n001) == F.col("_H_N001")), "left_semi")
+
+
 def document_lines(tables, issue_from: int, issue_to: int | None,
                    cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                   classes: tuple = ("sales", "returns")) -> DataFrame:
+                   classes: tuple = ("sales", "returns")) -> DocumentLines:
     """Qualifying document lines with header, nature, item, company and unit.
 
     ``issue_from`` / ``issue_to`` are inclusive CYYDDD bounds on the header's
@@ -56,9 +86,19 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         hdr = hdr.where(F.col("FHISSU") <= issue_to)
     hdr = hdr.select("FHFCO", "FHBNNF", "FHDCT", "FHN001", "FHISSU")
 
-    n = _doc_partitions(lines.sparkSession)
-    lines = lines.repartition(n, "FDBNNF")
-    hdr = hdr.repartition(n, "FHBNNF")
+    # Checked size of the selected header: the date filter is pushed to the
+    # scan and only the key columns are read.
+    n_hdr = hdr.count()
+    header_keys = None
+    if n_hdr <= cfg.broadcast_max_rows:
+        hdr = F.broadcast(hdr)
+        header_keys = F.broadcast(hdr.select(
+            F.col("FHBNNF").alias("_H_BNNF"), F.rtrim("FHDCT").alias("_H_DCT"),
+            F.col("FHN001").alias("_H_N001")).distinct())
+    else:
+        n = _doc_partitions(lines.sparkSession)
+        lines = lines.repartition(n, "FDBNNF")
+        hdr = hdr.repartition(n, "FHBNNF")
     base = lines.join(
         hdr,
         (F.col("FDBNNF") == F.col("FHBNNF")) & (F.rtrim("FDFCO") == F.rtrim("FHFCO"))
@@ -71,17 +111,20 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     nstat = cached_stats(tables, "F76B200", [F.rtrim("DPBNOP"), F.rtrim("DPBSOP"),
                                              F.rtrim("DPFCO")]).get((), (0, 0))
     nature = checked(nature, ["_N_BNOP", "_N_BSOP", "_N_FCO"], nstat, max_rows=cfg.broadcast_max_rows,
-                     unique=cfg.require_unique_lookups, name="F76B200")
+                     unique=cfg.require_unique_lookups, name="F76B200", dedupe=False)
     base = base.join(nature, (F.rtrim("FDBNOP") == F.col("_N_BNOP"))
                      & (F.rtrim("FDBSOP") == F.col("_N_BSOP"))
                      & (F.rtrim("FDFCO") == F.col("_N_FCO")), "inner")
 
-    items = item_dimension(tables, cfg, filter_lines=True).withColumn("_I_KEY", F.rtrim("IMLITM"))
     # At most one row per item (its lookups are unique): the item master's
     # own check bounds it.
     istat = cached_stats(tables, "F4101", [F.rtrim("IMLITM")]).get((), (0, 0))
+    build = lambda: item_dimension(tables, cfg, filter_lines=True).withColumn(
+        "_I_KEY", F.rtrim("IMLITM"))
+    items = materialized(tables, ("items", cfg), build) if cfg.materialize_dimensions else build()
     items = checked(items, ["_I_KEY"], istat, max_rows=cfg.broadcast_max_rows,
-                    unique=cfg.require_unique_lookups, name="item dimension")
+                    unique=cfg.require_unique_lookups, name="item dimension",
+                    dedupe=not cfg.materialize_dimensions)
     base = base.join(items, F.rtrim("FDLITM") == F.col("_I_KEY"), "inner")
 
     base = base.join(companies(tables, cfg), F.rtrim("FDCO") == F.col("_C_CCCO"), "inner")
@@ -97,7 +140,7 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
                    & code_in("FDNXTR", cfg.return_next_status) & cfop_ok)
     plant = F.when(code_eq("IMSRP1", cfg.plant_item_line), F.lit(cfg.plant_label_special)) \
         .otherwise(F.lit(cfg.plant_label_default))
-    return base.select(
+    out = base.select(
         *_LINE_COLS, "FHISSU", "CFOP", "IMSRP1", "ITEM", "LINHA", "TAMANHO", "TIPO", "COR",
         "EMBALAGEM", "CCNAME", "CENTRO_CUSTO",
         F.coalesce(sales_ok, F.lit(False)).alias("_SALES_OK"),
@@ -105,6 +148,13 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         F.coalesce(tc_sales_ok, F.lit(False)).alias("_TC_SALES_OK"),
         otrim(plant).alias("FILIAL"),
     )
+    if cfg.materialize_documents:
+        # Three consumers (branches, DIFAL, PIS/COFINS) read these rows. Writing
+        # them once to the shared checkpoint folder means one scan of the fact,
+        # and a lost executor re-reads the checkpoint instead of recomputing the
+        # joins. The hash partitioning on the document number is kept.
+        out = out.checkpoint(eager=True)
+    return DocumentLines(out, header_keys)
 
 
 def _common(cfg: LedgerConfig) -> list[Column]:
@@ -140,13 +190,14 @@ def _label_struct(keep: Column, branch: str, qi: int, amount: Column, labels: di
         F.lit(None).cast("string").alias("EXPLICACAO"))
 
 
-def document_branches(doc: DataFrame, cfg: LedgerConfig = DEFAULT_CONFIG, *,
+def document_branches(lines: DocumentLines, cfg: LedgerConfig = DEFAULT_CONFIG, *,
                       classes: tuple = ("sales", "returns")) -> DataFrame:
     """C4 (without DIFAL) and C5: up to eight ledger lines per document line.
 
     Sales: gross revenue (export variant for 'SX'), IPI, ICMS-ST (only where
     the ST value is non-zero), ICMS. Returns: total, IPI, ICMS, ICMS-ST.
     """
+    doc = lines.df
     amt = _amounts()
     opts = []
     if "sales" in classes:
@@ -172,14 +223,16 @@ def document_branches(doc: DataFrame, cfg: LedgerConfig = DEFAULT_CONFIG, *,
                         ("VALOR_TRANSACAO", *R.LABEL_FIELDS, "EXPLICACAO", "QUERY_INFO", "BRANCH")])
 
 
-def difal_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
+def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
     """C4's DIFAL branch: sales lines left-joined to the DIFAL detail.
 
     An unmatched line keeps a NULL amount; a duplicated detail row multiplies
     only this branch, exactly as in the source.
     """
     branch, qi, c2, est, desc, conta, conta_i, full, expl = R.DIFAL_RULE
-    d = tables["F5576007"].select(
+    doc = lines.df
+    detail = lines.restrict(tables["F5576007"], "DFBNNF", "DFDCT", "DFN001")
+    d = detail.select(
         F.col("DFBNNF"), F.rtrim("DFDCT").alias("_D_DCT"), F.col("DFN001"),
         F.rtrim("DFBSER").alias("_D_BSER"), F.col("DFUKID"), "DFBICM")
     j = doc.where(F.col("_SALES_OK")).join(
@@ -196,14 +249,16 @@ def difal_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> D
         F.lit(qi).alias("QUERY_INFO"), F.lit(branch).alias("BRANCH"))
 
 
-def tax_code_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
+def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
                    classes: tuple = ("sales", "returns")) -> DataFrame:
     """PIS (code 05) and COFINS (code 06) for sales (+) and returns (-).
 
     One inner join of the document lines with the per-line tax detail (J10);
     the sign and the labels come from the rule table by (class, code).
     """
-    td = tables["F76B011"].where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins])).select(
+    doc = lines.df
+    detail = lines.restrict(tables["F76B011"], "TDBNNF", "TDDCT", "TDN001")
+    td = detail.where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins])).select(
         F.col("TDBNNF"), F.rtrim("TDBSER").alias("_T_BSER"), F.rtrim("TDDCT").alias("_T_DCT"),
         F.col("TDN001"), F.col("TDUKID"), F.rtrim("TDBRTX").alias("_T_CODE"), "TDBRTXA")
     keep = None

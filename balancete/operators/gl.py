@@ -18,7 +18,8 @@ from ..functions import (MONEY, PERCENT, cents_to_amount, code_eq, decode_cyyddd
                          not_in_or_null, ocat, otrim, parse_percent, trimmed_not_in)
 from ..plans.config import DEFAULT_CONFIG, LedgerConfig
 from ..plans.params import DetailParams, PeriodParams
-from .lookups import cached_stats, center_hierarchy, checked, code_lookup, companies
+from .lookups import (cached_stats, center_hierarchy, checked, code_lookup, companies,
+                      materialized)
 
 
 def account_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -68,10 +69,12 @@ def gl_exclusion(cfg: LedgerConfig = DEFAULT_CONFIG) -> Column:
 def _checked_accounts(tables, cfg: LedgerConfig) -> DataFrame:
     # The dimension has at most one row per account (every lookup in it is
     # unique), so checking the account master itself bounds it.
-    dim = account_dimension(tables, cfg).where(gl_exclusion(cfg))
     stat = cached_stats(tables, "F0901", [F.col("GMAID")]).get((), (0, 0))
+    build = lambda: account_dimension(tables, cfg).where(gl_exclusion(cfg))
+    dim = materialized(tables, ("accounts", cfg), build) if cfg.materialize_dimensions else build()
     return checked(dim, ["GMAID"], stat, max_rows=cfg.broadcast_max_rows,
-                   unique=cfg.require_unique_lookups, name="account dimension")
+                   unique=cfg.require_unique_lookups, name="account dimension",
+                   dedupe=not cfg.materialize_dimensions)
 
 
 def period_balances(tables, params: PeriodParams, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:

@@ -53,8 +53,21 @@ def cached_stats(tables, name: str, keys: Sequence[Column], group: Sequence[Colu
     return stats[cache_key]
 
 
+def materialized(tables, key, build) -> DataFrame:
+    """A dimension built once per table bundle and checkpointed.
+
+    Dimensions (accounts with their labels, items with their categories) are
+    small and read by every query of a run; building them once turns about a
+    dozen lookup joins per query into one scan of the checkpoint, and the
+    checkpoint in the shared folder survives executor loss.
+    """
+    if key not in tables.derived:
+        tables.derived[key] = build().checkpoint(eager=True)
+    return tables.derived[key]
+
+
 def checked(df: DataFrame, keys: Sequence[str], stat: tuple, *, max_rows: int,
-            unique: bool, name: str) -> DataFrame:
+            unique: bool, name: str, dedupe: bool = True) -> DataFrame:
     """Apply a size/uniqueness verdict to a lookup side.
 
     A duplicate key raises; a unique side is de-duplicated on its key (a
@@ -70,7 +83,7 @@ def checked(df: DataFrame, keys: Sequence[str], stat: tuple, *, max_rows: int,
     for k in keys[1:]:
         not_null = not_null & F.col(k).isNotNull()
     df = df.where(not_null)
-    if unique:
+    if unique and dedupe:
         df = df.dropDuplicates(list(keys))
     return F.broadcast(df) if rows <= max_rows else df
 
@@ -143,7 +156,7 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
     u = units(tables).select(F.rtrim("MCMCU").alias("_U_MCMCU"), "*").drop("MCMCU")
     stat = cached_stats(tables, "F0006", [F.rtrim("MCMCU")]).get((), (0, 0))
     u = checked(u, ["_U_MCMCU"], stat, max_rows=cfg.broadcast_max_rows,
-                unique=cfg.require_unique_lookups, name="F0006")
+                unique=cfg.require_unique_lookups, name="F0006", dedupe=False)
     # Untrimmed key: leading blanks matter, trailing padding does not.
     out = df.join(u, F.rtrim(unit_key) == F.col("_U_MCMCU"), "left").drop("_U_MCMCU")
     out = out.withColumn("CENTRO_CUSTO", F.coalesce(F.col("CENTRO_CUSTO"), F.lit(" ")))
@@ -163,4 +176,4 @@ def companies(tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
     c = tables["F0010"].select(F.rtrim("CCCO").alias("_C_CCCO"), "CCNAME")
     stat = cached_stats(tables, "F0010", [F.rtrim("CCCO")]).get((), (0, 0))
     return checked(c, ["_C_CCCO"], stat, max_rows=cfg.broadcast_max_rows,
-                   unique=cfg.require_unique_lookups, name="F0010")
+                   unique=cfg.require_unique_lookups, name="F0010", dedupe=False)

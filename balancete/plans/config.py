@@ -8,7 +8,7 @@ plant names. Callers with another chart of accounts pass their own config.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 @dataclass(frozen=True)
@@ -53,9 +53,15 @@ class LedgerConfig:
     # --- end of fixed values ------------------------------------------------
 
     # Engineering knobs (not part of the source semantics)
-    broadcast_max_rows: int = 2_000_000
+    # Largest side (rows) broadcast after a checked count; about 50-100 MB for
+    # the narrow key/label rows involved. Larger sides use shuffle joins.
+    broadcast_max_rows: int = 1_000_000
     require_unique_lookups: bool = True
-    extra: dict = field(default_factory=dict)
+    # Write the selected document lines once to spark.checkpoint.dir (one fact
+    # scan for the three consumers, lineage cut for executor loss).
+    materialize_documents: bool = True
+    # Build the account and item dimensions once per table bundle (checkpoint).
+    materialize_dimensions: bool = True
 
     def returns_label_old(self) -> "LedgerConfig":
         """The older query labels returns 'Devoluções' instead of 'Devolucoes'."""

@@ -48,6 +48,21 @@ def tables_for(spark: SparkSession, sf_dir: str):
     return _TABLES[key]
 
 
+def use_tables(spark: SparkSession, sf_dir: str, tables) -> None:
+    """Serve ``sf_dir`` from a prebuilt bundle (e.g. stand-ins already written as Parquet)."""
+    _TABLES.clear()
+    _TABLES[(id(spark), sf_dir)] = tables
+
+
+_INVOICE_SOURCES: dict = {}
+
+
+def use_invoice_documents(spark: SparkSession, sf_dir: str, docs: DataFrame) -> None:
+    """Serve the invoice documents of ``sf_dir`` from a prebuilt DataFrame."""
+    _INVOICE_SOURCES.clear()
+    _INVOICE_SOURCES[(id(spark), sf_dir)] = docs
+
+
 # ---------------------------------------------------------------- Spark side
 
 def q_julian_codec(spark, sf):
@@ -153,7 +168,8 @@ def q_dre_range(spark, sf):
 
 
 def _parsed_invoices(spark, sf):
-    return parse_invoices(invoice_documents(spark, sf))
+    docs = _INVOICE_SOURCES.get((id(spark), sf))
+    return parse_invoices(docs if docs is not None else invoice_documents(spark, sf))
 
 
 def q_xml_notas(spark, sf):

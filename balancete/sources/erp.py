@@ -17,6 +17,9 @@ class ErpTables:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     # Results of size / key-uniqueness checks, computed once per table and key.
     stats: dict = field(default_factory=dict)
+    # Dimensions built from these tables and materialised once (see
+    # operators.lookups.materialized).
+    derived: dict = field(default_factory=dict)
 
     def __getitem__(self, name: str) -> DataFrame:
         try:
