@@ -22,7 +22,15 @@ READ_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8", "quote": '"',
                 "ignoreTrailingWhiteSpace": "false", "lineSep": "\r\n"}
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str = "overwrite") -> None:
+def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str = "overwrite",
+              blank_when_empty: bool = True) -> None:
+    """Write ``df``; with no rows the output holds no header either.
+
+    The emptiness probe is a ``limit 1`` job that stops at the first row.
+    """
+    if blank_when_empty and df.isEmpty():
+        df.sparkSession.createDataFrame([], "value string").coalesce(1).write.mode(mode).text(path)
+        return
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
 

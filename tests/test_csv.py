@@ -19,3 +19,11 @@ def test_csv_dialect_roundtrip(spark, tmp_dir):
     assert " lead;;plain\r\n" in raw
     back = sorted(tuple(r) for r in read_csv_strings(spark, out, ["x", "y", "z"]).collect())
     assert back == sorted([("a;b", 'say "hi"', "line1\r\nline2"), (" lead", "", "plain")])
+
+
+def test_zero_rows_give_blank_output(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "empty")
+    write_csv(spark.createDataFrame([], "x string"), out)
+    data = [p for p in glob.glob(os.path.join(out, "part-*")) if os.path.getsize(p) > 0]
+    assert data == []
+    assert read_csv_strings(spark, out, ["x"]).count() == 0
