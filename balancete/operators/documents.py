@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     # scan and only the key columns are read.
     n_hdr = hdr.count()
     header_keys = None
-    if n_hdr <= cfg.broadcast_max_rows:
+    if n_hdr <= cfg.header_broadcast_max_rows:
         hdr = F.broadcast(hdr)
         header_keys = F.broadcast(hdr.select(
             F.col("FHBNNF").alias("_H_BNNF"), F.rtrim("FHDCT").alias("_H_DCT"),
@@ -149,14 +150,28 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         otrim(plant).alias("FILIAL"),
     )
     if cfg.materialize_documents:
-        # Three consumers (branches, DIFAL, PIS/COFINS) read these rows. Writing
-        # them once to the shared checkpoint folder means one scan of the fact,
-        # and a lost executor re-reads the checkpoint instead of recomputing the
-        # joins. The hash partitioning on the document number is kept.
-        out = out.checkpoint(eager=True)
+        # Three consumers (branches, DIFAL, PIS/COFINS) read these rows, so they
+        # are computed once (one scan of the fact):
+        # * small selection: written to the shared checkpoint folder; a lost
+        #   executor re-reads it instead of recomputing the joins;
+        # * large selection: persisted (memory, spilling to disk), which keeps
+        #   the hash partitioning on the document number, so the two detail
+        #   joins shuffle only the detail side. Lost blocks are recomputed from
+        #   lineage. ``release_documents`` frees them.
+        if header_keys is not None:
+            out = out.checkpoint(eager=True)
+        else:
+            out = out.persist(StorageLevel.MEMORY_AND_DISK)
+            tables.derived.setdefault("_persisted_documents", []).append(out)
     return DocumentLines(out, header_keys)
 
 
+def release_documents(tables) -> None:
+    """Unpersist document lines persisted by earlier ``document_lines`` calls."""
+    for df in tables.derived.pop("_persisted_documents", []):
+        df.unpersist()
+
+
 def _common(cfg: LedgerConfig) -> list[Column]:
     """Ledger columns every document branch fills the same way."""
     return [

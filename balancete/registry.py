@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from . import oracle as O
 from .functions import decode_cyyddd, encode_cyyddd, otrim, parse_percent
 from .operators.documents import (difal_lines, document_branches, document_lines,
-                                  tax_code_lines)
+                                  release_documents, tax_code_lines)
 from .operators.gl import (account_dimension, allocate, gl_balance, gl_detail, gl_exclusion,
                            period_balances)
 from .operators.lookups import center_hierarchy, code_lookup, item_dimension
@@ -41,17 +41,19 @@ _TABLES: dict = {}
 
 def tables_for(spark: SparkSession, sf_dir: str):
     """Stand-in bundle per session and folder (lazy plans + cached lookup checks)."""
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _TABLES:
         _TABLES.clear()
         _TABLES[key] = build_standins(spark, sf_dir)
-    return _TABLES[key]
+    t = _TABLES[key]
+    release_documents(t)  # the previous query has run; free its persisted rows
+    return t
 
 
 def use_tables(spark: SparkSession, sf_dir: str, tables) -> None:
     """Serve ``sf_dir`` from a prebuilt bundle (e.g. stand-ins already written as Parquet)."""
     _TABLES.clear()
-    _TABLES[(id(spark), sf_dir)] = tables
+    _TABLES[(spark.sparkContext.applicationId, sf_dir)] = tables
 
 
 _INVOICE_SOURCES: dict = {}

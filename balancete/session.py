@@ -9,13 +9,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale: AQE re-plans joins and coalesces small
-# partitions at run time, skew-join splits hot partitions, and the broadcast
-# threshold stays at Spark's default so only explicitly checked sides are
-# broadcast by our code (see operators.lookups.checked_broadcast).
+# partitions at run time, skew-join splits hot partitions. Broadcasts come
+# only from sizes that are known, never from static file-size estimates: the
+# sides our code checks (operators.lookups.checked) carry an explicit hint,
+# and AQE may still broadcast a side whose *measured* shuffle output is small.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",

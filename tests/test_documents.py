@@ -122,3 +122,22 @@ def test_small_header_broadcast_restricts_details(spark, tmp_dir):
     assert [r.NOTA for r in out.collect()] == [1]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin LeftSemi" in plan or "LeftSemi" in plan
+
+
+def test_large_header_path_gives_same_ledger(spark, tmp_dir):
+    import dataclasses
+
+    from balancete.plans.config import DEFAULT_CONFIG
+    from balancete.sources.erp import read_erp, write_erp
+    td = {"TDBNNF": 1, "TDBSER": "1", "TDDCT": "NS", "TDN001": 1, "TDUKID": 1, "TDBRTX": "05", "TDBRTXA": 7}
+    t = _docs(spark, [_line(1, 1, "SA", FDNXTR="999"), _line(2, 1, "VR", FDBNOP="R", FDLITM="IT2")],
+              F76B011=[td, dict(td, TDBNNF=2)],
+              F5576007=[{"DFBNNF": 1, "DFDCT": "NS", "DFN001": 1, "DFBSER": "1", "DFUKID": 1, "DFBICM": 300}])
+    write_erp(t, tmp_dir)
+    t2 = read_erp(spark, tmp_dir)
+    large = dataclasses.replace(DEFAULT_CONFIG, header_broadcast_max_rows=0)
+    lines = document_lines(t2, 116001, 116031, large)
+    assert lines.header_keys is None
+    got = sorted(map(str, document_ledger(t2, 116001, 116031, large).collect()))
+    want = sorted(map(str, document_ledger(t2, 116001, 116031).collect()))
+    assert got == want and len(got) == 11  # 4 sales + DIFAL + PIS, 4 returns + PIS
