@@ -32,6 +32,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 from ..functions import (MONEY, PERCENT, cents_to_amount, code_eq, code_in, code_not_in,
                          decode_cyyddd, fit, ocat, otrim)
 from ..plans import rules as R
@@ -57,6 +59,13 @@ class DocumentLines(NamedTuple):
 
     df: DataFrame
     header_keys: DataFrame | None
+    rows: int | None = None        # counted size of ``df`` when it was checkpointed
+
+    def side(self, max_rows: int) -> tuple[DataFrame, bool]:
+        """The lines for a detail join, broadcast when their counted size allows."""
+        if self.rows is not None and self.rows <= max_rows:
+            return F.broadcast(self.df), True
+        return self.df, False
 
     def restrict(self, detail: DataFrame, nnf: str, dct: str, n001: str) -> DataFrame:
         """Keep only detail rows of the selected documents (map-side when broadcast)."""
@@ -109,8 +118,7 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     nature = tables["F76B200"].select(
         F.rtrim("DPBNOP").alias("_N_BNOP"), F.rtrim("DPBSOP").alias("_N_BSOP"),
         F.rtrim("DPFCO").alias("_N_FCO"), F.col("DPBRNOP").alias("CFOP"))
-    nstat = cached_stats(tables, "F76B200", [F.rtrim("DPBNOP"), F.rtrim("DPBSOP"),
-                                             F.rtrim("DPFCO")]).get((), (0, 0))
+    nstat = cached_stats(tables, "F76B200").get((), (0, 0))
     nature = checked(nature, ["_N_BNOP", "_N_BSOP", "_N_FCO"], nstat, max_rows=cfg.broadcast_max_rows,
                      unique=cfg.require_unique_lookups, name="F76B200", dedupe=False)
     base = base.join(nature, (F.rtrim("FDBNOP") == F.col("_N_BNOP"))
@@ -119,7 +127,7 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
 
     # At most one row per item (its lookups are unique): the item master's
     # own check bounds it.
-    istat = cached_stats(tables, "F4101", [F.rtrim("IMLITM")]).get((), (0, 0))
+    istat = cached_stats(tables, "F4101").get((), (0, 0))
     build = lambda: item_dimension(tables, cfg, filter_lines=True).withColumn(
         "_I_KEY", F.rtrim("IMLITM"))
     items = materialized(tables, ("items", cfg), build) if cfg.materialize_dimensions else build()
@@ -159,7 +167,8 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         #   joins shuffle only the detail side. Lost blocks are recomputed from
         #   lineage. ``release_documents`` frees them.
         if header_keys is not None:
-            out = out.checkpoint(eager=True)
+            out = checkpoint(out)
+            return DocumentLines(out, header_keys, out.count())
         else:
             out = out.persist(StorageLevel.MEMORY_AND_DISK)
             tables.derived.setdefault("_persisted_documents", []).append(out)
@@ -250,10 +259,14 @@ def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG
     d = detail.select(
         F.col("DFBNNF"), F.rtrim("DFDCT").alias("_D_DCT"), F.col("DFN001"),
         F.rtrim("DFBSER").alias("_D_BSER"), F.col("DFUKID"), "DFBICM")
-    j = doc.where(F.col("_SALES_OK")).join(
-        d, (F.col("FDBNNF") == F.col("DFBNNF")) & (F.rtrim("FDDCT") == F.col("_D_DCT"))
-        & (F.col("FDN001") == F.col("DFN001")) & (F.rtrim("FDBSER") == F.col("_D_BSER"))
-        & (F.col("FDUKID") == F.col("DFUKID")), "left")
+    cond = ((F.col("FDBNNF") == F.col("DFBNNF")) & (F.rtrim("FDDCT") == F.col("_D_DCT"))
+            & (F.col("FDN001") == F.col("DFN001")) & (F.rtrim("FDBSER") == F.col("_D_BSER"))
+            & (F.col("FDUKID") == F.col("DFUKID")))
+    side, small = lines.side(cfg.broadcast_max_rows)
+    side = side.where(F.col("_SALES_OK"))
+    # Small (counted) lines are broadcast and the detail streams past them:
+    # detail RIGHT JOIN lines keeps every line, exactly the left join's rows.
+    j = d.join(side, cond, "right") if small else side.join(d, cond, "left")
     return j.select(
         *_common(cfg),
         cents_to_amount("DFBICM").cast(MONEY).alias("VALOR_TRANSACAO"),
@@ -281,7 +294,8 @@ def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CON
         keep = F.col("_TC_SALES_OK")
     if "returns" in classes:
         keep = F.col("_RETURNS_OK") if keep is None else keep | F.col("_RETURNS_OK")
-    j = doc.where(keep).join(
+    side, _ = lines.side(cfg.broadcast_max_rows)
+    j = side.where(keep).join(
         td, (F.col("FDBNNF") == F.col("TDBNNF")) & (F.rtrim("FDBSER") == F.col("_T_BSER"))
         & (F.rtrim("FDDCT") == F.col("_T_DCT")) & (F.col("FDN001") == F.col("TDN001"))
         & (F.col("FDUKID") == F.col("TDUKID")), "inner")

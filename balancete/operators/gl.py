@@ -69,7 +69,7 @@ def gl_exclusion(cfg: LedgerConfig = DEFAULT_CONFIG) -> Column:
 def _checked_accounts(tables, cfg: LedgerConfig) -> DataFrame:
     # The dimension has at most one row per account (every lookup in it is
     # unique), so checking the account master itself bounds it.
-    stat = cached_stats(tables, "F0901", [F.col("GMAID")]).get((), (0, 0))
+    stat = cached_stats(tables, "F0901").get((), (0, 0))
     build = lambda: account_dimension(tables, cfg).where(gl_exclusion(cfg))
     dim = materialized(tables, ("accounts", cfg), build) if cfg.materialize_dimensions else build()
     return checked(dim, ["GMAID"], stat, max_rows=cfg.broadcast_max_rows,

@@ -13,10 +13,13 @@ the final query never reads is removed from the plan.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint
+
 from ..functions import blank_key, code_eq, code_in, fit, ocat, otrim
 from ..plans.config import DEFAULT_CONFIG, LedgerConfig
 
@@ -25,32 +28,58 @@ class DuplicateLookupKey(ValueError):
     pass
 
 
-def key_stats(df: DataFrame, keys: Sequence[Column], group: Sequence[Column] = ()) -> dict:
-    """Row count and largest key multiplicity, per group, in one small job.
+def _stats_frame(df: DataFrame, keys: Sequence[Column], group: Sequence[Column] = ()) -> DataFrame:
+    """(g: array<string>, rows, maxdup) per group: size and largest key multiplicity.
 
     Rows whose key holds a NULL are not counted: they can never match an
-    equi-join. Returns ``{group tuple: (rows, max rows per key)}``.
+    equi-join. Both aggregations are partial before their shuffle.
     """
     gnames = [f"_g{i}" for i in range(len(group))]
     knames = [f"_k{i}" for i in range(len(keys))]
-    d = df.select(*[g.alias(n) for g, n in zip(group, gnames)],
+    d = df.select(*[g.cast("string").alias(n) for g, n in zip(group, gnames)],
                   *[k.alias(n) for k, n in zip(keys, knames)])
     for n in knames:
         d = d.where(F.col(n).isNotNull())
     per_key = d.groupBy(*gnames, *knames).agg(F.count(F.lit(1)).alias("_n"))
     agg = per_key.groupBy(*gnames).agg(F.sum("_n").alias("rows"), F.max("_n").alias("maxdup"))
-    return {tuple(r[n] for n in gnames): (int(r["rows"] or 0), int(r["maxdup"] or 0))
-            for r in agg.collect()}
+    garr = F.array(*[F.col(n) for n in gnames]) if gnames else F.array().cast("array<string>")
+    return agg.select(garr.alias("g"), "rows", "maxdup")
+
 
+def _collect_stats(rows) -> dict:
+    return {tuple(r["g"]): (int(r["rows"] or 0), int(r["maxdup"] or 0)) for r in rows}
 
-def cached_stats(tables, name: str, keys: Sequence[Column], group: Sequence[Column] = (),
-                 tag: str = "") -> dict:
-    """``key_stats`` of a base table, computed once per bundle and tag."""
-    cache_key = (name, tag or repr([str(k) for k in keys]) + repr([str(g) for g in group]))
+
+def key_stats(df: DataFrame, keys: Sequence[Column], group: Sequence[Column] = ()) -> dict:
+    """``{group tuple: (rows, max rows per key)}`` of one lookup side, one small job."""
+    return _collect_stats(_stats_frame(df, keys, group).collect())
+
+
+# Checks on the base tables behind every lookup, by name: (table, key columns,
+# group columns). They are all computed together, in one job, the first time
+# any of them is needed for a table bundle.
+CHECKS = {
+    "F0005 slices": ("F0005", lambda: [blank_key("DRKY")], lambda: [F.rtrim("DRSY"), F.rtrim("DRRT")]),
+    "F0006 unit": ("F0006", lambda: [F.rtrim("MCMCU")], lambda: []),
+    "F0006 parent": ("F0006", lambda: [blank_key("MCMCU")], lambda: []),
+    "F0010": ("F0010", lambda: [F.rtrim("CCCO")], lambda: []),
+    "F76B200": ("F76B200", lambda: [F.rtrim("DPBNOP"), F.rtrim("DPBSOP"), F.rtrim("DPFCO")], lambda: []),
+    "F4101": ("F4101", lambda: [F.rtrim("IMLITM")], lambda: []),
+    "F0901": ("F0901", lambda: [F.col("GMAID")], lambda: []),
+}
+
+
+def cached_stats(tables, check: str) -> dict:
+    """Result of a named check for this bundle; all pending checks run in one job."""
     stats = tables.stats
-    if cache_key not in stats:
-        stats[cache_key] = key_stats(tables[name], keys, group)
-    return stats[cache_key]
+    if check not in stats:
+        pending = [c for c in CHECKS if c not in stats and CHECKS[c][0] in tables]
+        frames = [_stats_frame(tables[CHECKS[c][0]], CHECKS[c][1](), CHECKS[c][2]())
+                  .select(F.lit(c).alias("check"), "*") for c in pending]
+        rows = reduce(lambda a, b: a.unionByName(b), frames).collect()
+        for c in pending:
+            stats[c] = _collect_stats([r for r in rows if r["check"] == c])
+    return stats[check]
 
 
 def materialized(tables, key, build) -> DataFrame:
@@ -62,7 +91,7 @@ def materialized(tables, key, build) -> DataFrame:
     checkpoint in the shared folder survives executor loss.
     """
     if key not in tables.derived:
-        tables.derived[key] = build().checkpoint(eager=True)
+        tables.derived[key] = checkpoint(build())
     return tables.derived[key]
 
 
@@ -115,8 +144,7 @@ def code_lookup(df: DataFrame, key: Column, system: str, rec_type: str, out: str
 
 def code_table_stats(tables) -> dict:
     """Size and key uniqueness of every (system, record type) slice of F0005, one job."""
-    return cached_stats(tables, "F0005", [blank_key("DRKY")],
-                        [F.rtrim("DRSY"), F.rtrim("DRRT")], tag="slices")
+    return cached_stats(tables, "F0005 slices")
 
 
 def item_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG, *, filter_lines: bool = True) -> DataFrame:
@@ -154,7 +182,7 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
     FILIAL is ``TRIM(parent || ' ' || name)``, hence NULL when unknown.
     """
     u = units(tables).select(F.rtrim("MCMCU").alias("_U_MCMCU"), "*").drop("MCMCU")
-    stat = cached_stats(tables, "F0006", [F.rtrim("MCMCU")]).get((), (0, 0))
+    stat = cached_stats(tables, "F0006 unit").get((), (0, 0))
     u = checked(u, ["_U_MCMCU"], stat, max_rows=cfg.broadcast_max_rows,
                 unique=cfg.require_unique_lookups, name="F0006", dedupe=False)
     # Untrimmed key: leading blanks matter, trailing padding does not.
@@ -163,7 +191,7 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
     if with_parent:
         parent = tables["F0006"].select(blank_key("MCMCU").alias("_P_KEY"),
                                         ocat(F.col("MCMCU"), " ", F.col("MCDL01")).alias("_P_LABEL"))
-        pstat = cached_stats(tables, "F0006", [blank_key("MCMCU")]).get((), (0, 0))
+        pstat = cached_stats(tables, "F0006 parent").get((), (0, 0))
         parent = checked(parent, ["_P_KEY"], pstat, max_rows=cfg.broadcast_max_rows,
                          unique=cfg.require_unique_lookups, name="F0006 parent")
         out = (out.join(parent, blank_key("MCRP04") == F.col("_P_KEY"), "left")
@@ -174,6 +202,6 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
 
 def companies(tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
     c = tables["F0010"].select(F.rtrim("CCCO").alias("_C_CCCO"), "CCNAME")
-    stat = cached_stats(tables, "F0010", [F.rtrim("CCCO")]).get((), (0, 0))
+    stat = cached_stats(tables, "F0010").get((), (0, 0))
     return checked(c, ["_C_CCCO"], stat, max_rows=cfg.broadcast_max_rows,
                    unique=cfg.require_unique_lookups, name="F0010", dedupe=False)

@@ -81,3 +81,14 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
 
 def local_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def checkpoint(df):
+    """Eager ``DataFrame.checkpoint`` into the shared checkpoint folder.
+
+    Works with any session (for instance one built by a scheduler without
+    ``get_spark``): the folder named by ``spark.checkpoint.dir`` is used, and
+    only when none is configured is a local one chosen (tests).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
