@@ -97,10 +97,12 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     hdr = hdr.select("FHFCO", "FHBNNF", "FHDCT", "FHN001", "FHISSU")
 
     # Checked size of the selected header: the date filter is pushed to the
-    # scan and only the key columns are read.
-    n_hdr = hdr.count()
+    # scan, only the key columns are read, and the count stops once it passes
+    # the bound (a multi-year selection is never counted in full).
+    bound = cfg.header_broadcast_max_rows
+    n_hdr = hdr.limit(bound + 1).count()
     header_keys = None
-    if n_hdr <= cfg.header_broadcast_max_rows:
+    if n_hdr <= bound:
         hdr = F.broadcast(hdr)
         header_keys = F.broadcast(hdr.select(
             F.col("FHBNNF").alias("_H_BNNF"), F.rtrim("FHDCT").alias("_H_DCT"),

@@ -37,7 +37,9 @@ def main() -> None:
     from balancete.sources.standins import build_standins
 
     spark = get_spark(f"local[{cpus}]", cpus * 2, app_name="balancete-bench",
-                      extra={"spark.driver.memory": "16g"})
+                      extra={"spark.driver.memory": "16g",
+                             # at least two input splits per core for the file scans
+                             "spark.sql.files.minPartitionNum": str(cpus * 2)})
     prep = {}
     t0 = time.time()
     erp_dir = shared_scratch_path(spark, "erp")

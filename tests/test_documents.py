@@ -141,3 +141,14 @@ def test_large_header_path_gives_same_ledger(spark, tmp_dir):
     got = sorted(map(str, document_ledger(t2, 116001, 116031, large).collect()))
     want = sorted(map(str, document_ledger(t2, 116001, 116031).collect()))
     assert got == want and len(got) == 11  # 4 sales + DIFAL + PIS, 4 returns + PIS
+
+
+def test_issue_date_filter_reaches_the_header_scan(spark, tmp_dir):
+    from balancete.sources.erp import read_erp, write_erp
+    t = _docs(spark, [_line(1, 1, "SA")])
+    write_erp(t, tmp_dir)
+    t2 = read_erp(spark, tmp_dir)
+    hdr = t2["F7601B"].where("FHISSU >= 116001 AND FHISSU <= 116031").select("FHBNNF")
+    plan = hdr._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(FHISSU), GreaterThanOrEqual(FHISSU,116001), LessThanOrEqual(FHISSU,116031)]" in plan
+    assert "ReadSchema: struct<FHBNNF:bigint,FHISSU:int>" in plan
