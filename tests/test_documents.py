@@ -152,3 +152,19 @@ def test_issue_date_filter_reaches_the_header_scan(spark, tmp_dir):
     plan = hdr._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(FHISSU), GreaterThanOrEqual(FHISSU,116001), LessThanOrEqual(FHISSU,116031)]" in plan
     assert "ReadSchema: struct<FHBNNF:bigint,FHISSU:int>" in plan
+
+
+def test_month_selection_never_shuffles_the_fact(spark, tmp_dir):
+    import dataclasses
+
+    from balancete.plans.config import DEFAULT_CONFIG
+    from balancete.sources.erp import read_erp, write_erp
+    t = _docs(spark, [_line(1, 1, "SA"), _line(2, 1, "VR", FDBNOP="R", FDLITM="IT2")])
+    write_erp(t, tmp_dir)
+    t2 = read_erp(spark, tmp_dir)
+    lazy = dataclasses.replace(DEFAULT_CONFIG, materialize_documents=False)
+    doc = document_lines(t2, 116001, 116031, lazy)
+    plan = doc.df._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet [FDFCO" in plan          # the line fact is scanned here
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert plan.count("BroadcastHashJoin") >= 5   # header, nature, items, company, unit
