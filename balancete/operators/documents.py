@@ -36,6 +36,7 @@ from ..session import checkpoint
 
 from ..functions import (MONEY, PERCENT, cents_to_amount, code_eq, code_in, code_not_in,
                          decode_cyyddd, fit, ocat, otrim)
+from ..functions import sql as Q
 from ..plans import rules as R
 from ..plans.config import DEFAULT_CONFIG, LedgerConfig
 from .lookups import (cached_stats, center_hierarchy, checked, companies, item_dimension,
@@ -183,37 +184,41 @@ def release_documents(tables) -> None:
         df.unpersist()
 
 
-def _common(cfg: LedgerConfig) -> list[Column]:
-    """Ledger columns every document branch fills the same way."""
+def _common(cfg: LedgerConfig) -> list[str]:
+    """Ledger columns every document branch fills the same way (SQL text)."""
     return [
-        decode_cyyddd("FHISSU").alias("DATA_LANCAMENTO"),
-        F.col("FDPDCT").alias("TIPO_DOCUMENTO"),
-        F.col("FDDCT").cast("string").alias("NUM_DOCUMENTO"),
-        F.lit(None).cast("string").alias("CHAVE_CONTA"),
-        F.lit(None).cast("string").alias("ORDEM_CONTA"),
+        f"{Q.decode_cyyddd('FHISSU')} AS DATA_LANCAMENTO",
+        "FDPDCT AS TIPO_DOCUMENTO",
+        "CAST(FDDCT AS STRING) AS NUM_DOCUMENTO",
+        "CAST(NULL AS STRING) AS CHAVE_CONTA",
+        "CAST(NULL AS STRING) AS ORDEM_CONTA",
         "CENTRO_CUSTO",
-        F.lit(0).cast(PERCENT).alias("PERCENTUAL"),
-        ocat(F.col("FDCO"), " - ", F.col("CCNAME")).alias("EMPRESA"),
-        "FILIAL", "CFOP", F.col("FDBNNF").alias("NOTA"),
+        f"CAST(0 AS {Q.PERCENT}) AS PERCENTUAL",
+        f"{Q.ocat('FDCO', Q.lit(' - '), 'CCNAME')} AS EMPRESA",
+        "FILIAL", "CFOP", "FDBNNF AS NOTA",
         "ITEM", "LINHA", "TAMANHO", "TIPO", "COR", "EMBALAGEM",
     ]
 
 
-def _amounts() -> dict[str, Column]:
-    aexp, bipi = cents_to_amount("FDAEXP"), cents_to_amount("FDBIPI")
-    bvis, bdiz, bicm = cents_to_amount("FDBVIS"), cents_to_amount("FDBDIZ"), cents_to_amount("FDBICM")
-    total = aexp + bipi + bvis - bdiz
-    return {"neg_total": -total, "pos_total": total, "ipi": bipi, "neg_ipi": -bipi,
-            "st": bvis, "neg_st": -bvis, "icms": bicm, "neg_icms": -bicm}
+_COMMON_NAMES = ["DATA_LANCAMENTO", "TIPO_DOCUMENTO", "NUM_DOCUMENTO", "CHAVE_CONTA", "ORDEM_CONTA",
+                 "CENTRO_CUSTO", "PERCENTUAL", "EMPRESA", "FILIAL", "CFOP", "NOTA", "ITEM", "LINHA",
+                 "TAMANHO", "TIPO", "COR", "EMBALAGEM"]
 
 
-def _label_struct(keep: Column, branch: str, qi: int, amount: Column, labels: dict) -> Column:
-    return F.struct(
-        keep.alias("keep"), F.lit(branch).alias("BRANCH"), F.lit(qi).alias("QUERY_INFO"),
-        amount.cast(MONEY).alias("VALOR_TRANSACAO"),
-        *[(labels[f] if isinstance(labels[f], Column) else F.lit(labels[f])).cast("string").alias(f)
-          for f in R.LABEL_FIELDS],
-        F.lit(None).cast("string").alias("EXPLICACAO"))
+def _amounts() -> dict[str, str]:
+    aexp, bipi = Q.amount("FDAEXP"), Q.amount("FDBIPI")
+    bvis, bdiz, bicm = Q.amount("FDBVIS"), Q.amount("FDBDIZ"), Q.amount("FDBICM")
+    total = f"({aexp} + {bipi} + {bvis} - {bdiz})"
+    return {"neg_total": f"-{total}", "pos_total": total, "ipi": bipi, "neg_ipi": f"-{bipi}",
+            "st": bvis, "neg_st": f"-{bvis}", "icms": bicm, "neg_icms": f"-{bicm}"}
+
+
+def _label_struct(keep: str, branch: str, qi: int, amount: str, labels: dict) -> str:
+    fields = [f"'keep', {keep}", f"'BRANCH', {Q.lit(branch)}", f"'QUERY_INFO', {qi}",
+              f"'VALOR_TRANSACAO', CAST({amount} AS {Q.MONEY})"]
+    fields += [f"'{f}', CAST({labels[f]} AS STRING)" for f in R.LABEL_FIELDS]
+    fields.append("'EXPLICACAO', CAST(NULL AS STRING)")
+    return f"named_struct({', '.join(fields)})"
 
 
 def document_branches(lines: DocumentLines, cfg: LedgerConfig = DEFAULT_CONFIG, *,
@@ -222,31 +227,33 @@ def document_branches(lines: DocumentLines, cfg: LedgerConfig = DEFAULT_CONFIG,
 
     Sales: gross revenue (export variant for 'SX'), IPI, ICMS-ST (only where
     the ST value is non-zero), ICMS. Returns: total, IPI, ICMS, ICMS-ST.
+    The rule array and the explode are one SQL projection.
     """
     doc = lines.df
     amt = _amounts()
     opts = []
     if "sales" in classes:
-        sales = F.col("_SALES_OK")
-        export = code_eq("FDPDCT", cfg.export_type)
+        export = Q.code_eq("FDPDCT", cfg.export_type)
         for branch, qi, formula, nonzero_st, labels in R.SALES_RULES:
             if labels is None:
-                lab = {f: F.when(export, F.lit(e)).otherwise(F.lit(d))
+                lab = {f: f"CASE WHEN {export} THEN {Q.lit(e)} ELSE {Q.lit(d)} END"
                        for f, d, e in zip(R.LABEL_FIELDS, R.GROSS_REVENUE_DOMESTIC, R.GROSS_REVENUE_EXPORT)}
             else:
-                lab = dict(zip(R.LABEL_FIELDS, labels))
-            keep = sales & (F.coalesce(F.col("FDBVIS") != 0, F.lit(False)) if nonzero_st else F.lit(True))
+                lab = {f: Q.lit(v) for f, v in zip(R.LABEL_FIELDS, labels)}
+            keep = "(_SALES_OK AND coalesce(FDBVIS <> 0, false))" if nonzero_st else "_SALES_OK"
             opts.append(_label_struct(keep, branch, qi, amt[formula], lab))
     if "returns" in classes:
         for branch, qi, formula, c2, est, desc, full in R.RETURN_RULES:
-            lab = dict(zip(R.LABEL_FIELDS, (c2, est, desc, R.ABATEMENTS, cfg.returns_subgroup_label, full)))
-            opts.append(_label_struct(F.col("_RETURNS_OK"), branch, qi, amt[formula], lab))
-    rows = doc.where(F.col("_SALES_OK") | F.col("_RETURNS_OK")) if classes == ("sales", "returns") else \
-        doc.where(F.col("_SALES_OK") if classes == ("sales",) else F.col("_RETURNS_OK"))
-    out = rows.select(*_common(cfg), F.explode(F.filter(F.array(*opts), lambda o: o["keep"])).alias("_b"))
-    return out.select(*[c for c in out.columns if c != "_b"],
-                      *[F.col(f"_b.{f}").alias(f) for f in
-                        ("VALOR_TRANSACAO", *R.LABEL_FIELDS, "EXPLICACAO", "QUERY_INFO", "BRANCH")])
+            lab = {f: Q.lit(v) for f, v in zip(R.LABEL_FIELDS, (c2, est, desc, R.ABATEMENTS,
+                                                               cfg.returns_subgroup_label, full))}
+            opts.append(_label_struct("_RETURNS_OK", branch, qi, amt[formula], lab))
+    cond = {("sales", "returns"): "_SALES_OK OR _RETURNS_OK", ("sales",): "_SALES_OK",
+            ("returns",): "_RETURNS_OK"}[tuple(classes)]
+    arr = f"filter(array({', '.join(opts)}), o -> o.keep)"
+    out = doc.where(cond).selectExpr(*_common(cfg), f"explode({arr}) AS _b")
+    return out.selectExpr(*_COMMON_NAMES, *[f"_b.{f} AS {f}" for f in
+                                            ("VALOR_TRANSACAO", *R.LABEL_FIELDS, "EXPLICACAO",
+                                             "QUERY_INFO", "BRANCH")])
 
 
 def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
@@ -269,14 +276,14 @@ def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG
     # Small (counted) lines are broadcast and the detail streams past them:
     # detail RIGHT JOIN lines keeps every line, exactly the left join's rows.
     j = d.join(side, cond, "right") if small else side.join(d, cond, "left")
-    return j.select(
+    return j.selectExpr(
         *_common(cfg),
-        cents_to_amount("DFBICM").cast(MONEY).alias("VALOR_TRANSACAO"),
-        F.lit(c2).alias("CONTA_II"), F.lit(est).alias("CONTA_ESTRUTURA"),
-        F.lit(desc).alias("DESCRICAO_CONTA_II"), F.lit(conta).alias("CONTA"),
-        F.lit(conta_i).alias("CONTA_I"), F.lit(full).alias("CONTA_COMPLETA"),
-        fit(ocat(expl, F.col("FDBNNF")), 30).alias("EXPLICACAO"),
-        F.lit(qi).alias("QUERY_INFO"), F.lit(branch).alias("BRANCH"))
+        f"CAST({Q.amount('DFBICM')} AS {Q.MONEY}) AS VALOR_TRANSACAO",
+        f"{Q.lit(c2)} AS CONTA_II", f"{Q.lit(est)} AS CONTA_ESTRUTURA",
+        f"{Q.lit(desc)} AS DESCRICAO_CONTA_II", f"{Q.lit(conta)} AS CONTA",
+        f"{Q.lit(conta_i)} AS CONTA_I", f"{Q.lit(full)} AS CONTA_COMPLETA",
+        f"{Q.fit(Q.ocat(Q.lit(expl), 'FDBNNF'), 30)} AS EXPLICACAO",
+        f"{qi} AS QUERY_INFO", f"{Q.lit(branch)} AS BRANCH")
 
 
 def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
@@ -301,33 +308,26 @@ def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CON
         td, (F.col("FDBNNF") == F.col("TDBNNF")) & (F.rtrim("FDBSER") == F.col("_T_BSER"))
         & (F.rtrim("FDDCT") == F.col("_T_DCT")) & (F.col("FDN001") == F.col("TDN001"))
         & (F.col("FDUKID") == F.col("TDUKID")), "inner")
-    is_ret = F.col("_RETURNS_OK")
-    code = F.col("_T_CODE")
     codes = {"05": cfg.tax_code_pis, "06": cfg.tax_code_cofins}
 
-    def pick(idx_or_fn):
-        out = None
+    def pick(value) -> str:
+        """CASE over the rule rows by (document class, tax code)."""
+        whens = []
         for rule in R.TAX_CODE_RULES:
-            cls_match = is_ret if rule[1] == "returns" else ~is_ret
-            cond = cls_match & (code == codes[rule[2]])
-            val = idx_or_fn(rule)
-            out = F.when(cond, val) if out is None else out.when(cond, val)
-        return out
-
-    amount = cents_to_amount("TDBRTXA")
-    sign_amount = pick(lambda r: amount if r[4] > 0 else -amount)
-    expl = pick(lambda r: F.lit(None).cast("string") if r[10] is None
-                else fit(ocat(r[10], F.col("FDBNNF"), F.col("FDGLC")), 30))
-    conta_i = pick(lambda r: F.lit(r[8] if r[8] is not None else cfg.returns_subgroup_label))
-    return j.select(
+            cls = "_RETURNS_OK" if rule[1] == "returns" else "NOT _RETURNS_OK"
+            whens.append(f"WHEN {cls} AND _T_CODE = {Q.lit(codes[rule[2]])} THEN {value(rule)}")
+        return "CASE " + " ".join(whens) + " END"
+
+    amount = Q.amount("TDBRTXA")
+    return j.selectExpr(
         *_common(cfg),
-        sign_amount.cast(MONEY).alias("VALOR_TRANSACAO"),
-        pick(lambda r: F.lit(r[5])).alias("CONTA_II"),
-        pick(lambda r: F.lit(r[6])).alias("CONTA_ESTRUTURA"),
-        pick(lambda r: F.lit(r[7])).alias("DESCRICAO_CONTA_II"),
-        F.lit(R.ABATEMENTS).alias("CONTA"),
-        conta_i.alias("CONTA_I"),
-        pick(lambda r: F.lit(r[9])).alias("CONTA_COMPLETA"),
-        expl.alias("EXPLICACAO"),
-        pick(lambda r: F.lit(r[3])).alias("QUERY_INFO"),
-        pick(lambda r: F.lit(r[0])).alias("BRANCH"))
+        f"CAST({pick(lambda r: amount if r[4] > 0 else f'-{amount}')} AS {Q.MONEY}) AS VALOR_TRANSACAO",
+        f"{pick(lambda r: Q.lit(r[5]))} AS CONTA_II",
+        f"{pick(lambda r: Q.lit(r[6]))} AS CONTA_ESTRUTURA",
+        f"{pick(lambda r: Q.lit(r[7]))} AS DESCRICAO_CONTA_II",
+        f"{Q.lit(R.ABATEMENTS)} AS CONTA",
+        f"{pick(lambda r: Q.lit(r[8] if r[8] is not None else cfg.returns_subgroup_label))} AS CONTA_I",
+        f"{pick(lambda r: Q.lit(r[9]))} AS CONTA_COMPLETA",
+        f"{pick(lambda r: Q.lit(None) if r[10] is None else Q.fit(Q.ocat(Q.lit(r[10]), 'FDBNNF', 'FDGLC'), 30))} AS EXPLICACAO",
+        f"{pick(lambda r: str(r[3]))} AS QUERY_INFO",
+        f"{pick(lambda r: Q.lit(r[0]))} AS BRANCH")
