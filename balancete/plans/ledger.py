@@ -80,3 +80,14 @@ def income_statement(ledger: DataFrame, params: PeriodParams, *, trim_labels: bo
         out = out.orderBy(F.col("CONTA").asc_nulls_last(), F.col("CONTA_I").asc_nulls_last(),
                           F.col("CONTA_ESTRUTURA").asc_nulls_last())
     return out
+
+
+def ledger(tables, source: str, params, cfg: LedgerConfig | None = None) -> DataFrame:
+    """The common ledger from monthly balances (``source='balance'``, with
+    ``PeriodParams``) or from posted journal lines (``source='detail'``, with
+    ``DetailParams``)."""
+    if source == "balance":
+        return ledger_for_period(tables, params, cfg or DEFAULT_CONFIG)
+    if source == "detail":
+        return ledger_from_journal(tables, params, cfg)
+    raise ValueError(f"unknown ledger source {source!r}")

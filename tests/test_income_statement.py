@@ -34,3 +34,11 @@ def test_groups_nulls_and_order(spark):
     assert {r.COMPETENCIA for r in rows} == {"2016-01"}
     trimmed = income_statement(led, PeriodParams.month(2016, 1), trim_labels=True).collect()
     assert [r.CONTA for r in trimmed] == ["A", "A", "B", None]
+
+
+def test_ledger_dispatch_rejects_unknown_source():
+    import pytest
+
+    from balancete.plans.ledger import ledger
+    with pytest.raises(ValueError):
+        ledger(None, "weekly", None)
