@@ -29,13 +29,12 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
 
-from ..functions import (MONEY, PERCENT, cents_to_amount, code_eq, code_in, code_not_in,
-                         decode_cyyddd, fit, ocat, otrim)
+from ..functions import code_eq, code_in, code_not_in, otrim
 from ..functions import sql as Q
 from ..plans import rules as R
 from ..plans.config import DEFAULT_CONFIG, LedgerConfig
@@ -131,7 +130,8 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     # At most one row per item (its lookups are unique): the item master's
     # own check bounds it.
     istat = cached_stats(tables, "F4101").get((), (0, 0))
-    build = lambda: item_dimension(tables, cfg, filter_lines=True).withColumn(
+    build = lambda: item_dimension(
+        tables, cfg, filter_lines=True, dedupe=not cfg.materialize_dimensions).withColumn(
         "_I_KEY", F.rtrim("IMLITM"))
     items = materialized(tables, ("items", cfg), build) if cfg.materialize_dimensions else build()
     items = checked(items, ["_I_KEY"], istat, max_rows=cfg.broadcast_max_rows,

@@ -22,7 +22,7 @@ from .lookups import (cached_stats, center_hierarchy, checked, code_lookup, comp
                       materialized)
 
 
-def account_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
+def account_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG, *, dedupe: bool = True) -> DataFrame:
     """One row per GL account with every label the ledger needs.
 
     Output: GMAID, GMANI, GMSUB, CONTA_ESTRUTURA, DESCRICAO_CONTA_II, CONTA,
@@ -32,13 +32,15 @@ def account_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
     untrimmed description, CONTA_COMPLETA is ``GMOBJ || GMSUB || ' ' || GMDL01``.
     """
     a = tables["F0901"]
-    a = code_lookup(a, F.col("GMR009"), *cfg.account_group_lookup, "CONTA", tables=tables, cfg=cfg)
-    a = code_lookup(a, F.col("GMR010"), *cfg.account_subgroup_lookup, "_CONTA_I", tables=tables, cfg=cfg)
+    a = code_lookup(a, F.col("GMR009"), *cfg.account_group_lookup, "CONTA",
+                    tables=tables, cfg=cfg, dedupe=dedupe)
+    a = code_lookup(a, F.col("GMR010"), *cfg.account_subgroup_lookup, "_CONTA_I",
+                    tables=tables, cfg=cfg, dedupe=dedupe)
     a = center_hierarchy(a, tables, "GMMCU", cfg)
     a = code_lookup(a, F.col("MCRP49"), *cfg.rate_balloons_lookup, "RATEIO_BALAO_STR",
-                    tables=tables, value_col="DRSPHD", cfg=cfg)
+                    tables=tables, value_col="DRSPHD", cfg=cfg, dedupe=dedupe)
     a = code_lookup(a, F.col("MCRP50"), *cfg.rate_multiuse_lookup, "RATEIO_MULTIUSO_STR",
-                    tables=tables, value_col="DRSPHD", cfg=cfg)
+                    tables=tables, value_col="DRSPHD", cfg=cfg, dedupe=dedupe)
     a = a.join(companies(tables, cfg), F.rtrim("GMCO") == F.col("_C_CCCO"), "inner")
     return a.select(
         "GMAID", "GMANI", "GMSUB",
@@ -70,7 +72,8 @@ def _checked_accounts(tables, cfg: LedgerConfig) -> DataFrame:
     # The dimension has at most one row per account (every lookup in it is
     # unique), so checking the account master itself bounds it.
     stat = cached_stats(tables, "F0901").get((), (0, 0))
-    build = lambda: account_dimension(tables, cfg).where(gl_exclusion(cfg))
+    build = lambda: account_dimension(
+        tables, cfg, dedupe=not cfg.materialize_dimensions).where(gl_exclusion(cfg))
     dim = materialized(tables, ("accounts", cfg), build) if cfg.materialize_dimensions else build()
     return checked(dim, ["GMAID"], stat, max_rows=cfg.broadcast_max_rows,
                    unique=cfg.require_unique_lookups, name="account dimension",

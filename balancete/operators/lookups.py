@@ -126,7 +126,7 @@ def checked_lookup(df: DataFrame, keys: Sequence[str], *, max_rows: int,
 
 def code_lookup(df: DataFrame, key: Column, system: str, rec_type: str, out: str, *,
                 tables, value_col: str = "DRDL01", cfg: LedgerConfig = DEFAULT_CONFIG,
-                how: str = "left") -> DataFrame:
+                how: str = "left", dedupe: bool = True) -> DataFrame:
     """Left-join one code-table slice on a trimmed key.
 
     ``TRIM(key) = TRIM(DRKY)`` with blank never matching blank (B1); the code
@@ -138,7 +138,7 @@ def code_lookup(df: DataFrame, key: Column, system: str, rec_type: str, out: str
           .select(blank_key("DRKY").alias(kname), F.col(value_col).alias(out)))
     stat = code_table_stats(tables).get((system, rec_type), (0, 0))
     lk = checked(lk, [kname], stat, max_rows=cfg.broadcast_max_rows,
-                 unique=cfg.require_unique_lookups, name=f"F0005[{system},{rec_type}]")
+                 unique=cfg.require_unique_lookups, name=f"F0005[{system},{rec_type}]", dedupe=dedupe)
     return df.join(lk, blank_key(key) == F.col(kname), how).drop(kname)
 
 
@@ -147,7 +147,8 @@ def code_table_stats(tables) -> dict:
     return cached_stats(tables, "F0005 slices")
 
 
-def item_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG, *, filter_lines: bool = True) -> DataFrame:
+def item_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG, *, filter_lines: bool = True,
+                   dedupe: bool = True) -> DataFrame:
     """Item master with its five category descriptions.
 
     Output: IMLITM, IMSRP1, ITEM, LINHA, TAMANHO, TIPO, COR, EMBALAGEM; the
@@ -161,7 +162,7 @@ def item_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG, *, filter_lines:
     names = ["LINHA", "TAMANHO", "TIPO", "COR", "EMBALAGEM"]
     for k, (rt, nm) in enumerate(zip(cfg.item_category_types, names), start=1):
         items = code_lookup(items, F.col(f"IMSRP{k}"), cfg.item_category_system, rt, f"_{nm}",
-                            tables=tables, cfg=cfg)
+                            tables=tables, cfg=cfg, dedupe=dedupe)
     return items.select(
         "IMLITM", "IMSRP1", fit("IMLITM", 25).alias("ITEM"),
         *[fit(otrim(f"_{nm}"), 30).alias(nm) for nm in names])
