@@ -108,7 +108,12 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
             F.col("FHBNNF").alias("_H_BNNF"), F.rtrim("FHDCT").alias("_H_DCT"),
             F.col("FHN001").alias("_H_N001")).distinct())
     else:
-        n = _doc_partitions(lines.sparkSession)
+        spark = lines.sparkSession
+        # Let the 4-key header join and the 5-key detail joins all reuse the
+        # hash partitioning on the document number (a subset of their keys)
+        # instead of re-shuffling on each join's full key list.
+        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+        n = _doc_partitions(spark)
         lines = lines.repartition(n, "FDBNNF")
         hdr = hdr.repartition(n, "FHBNNF")
     base = lines.join(

@@ -18,6 +18,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
+    # A join may reuse a hash partitioning on a subset of its keys (the
+    # document number): the document joins then share one partitioning.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",

@@ -168,3 +168,33 @@ def test_month_selection_never_shuffles_the_fact(spark, tmp_dir):
     assert "FileScan parquet [FDFCO" in plan          # the line fact is scanned here
     assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
     assert plan.count("BroadcastHashJoin") >= 5   # header, nature, items, company, unit
+
+
+def test_large_path_detail_joins_shuffle_only_the_detail(spark, tmp_dir):
+    import dataclasses
+
+    from balancete.operators.documents import release_documents
+    from balancete.plans.config import DEFAULT_CONFIG
+    from balancete.sources.erp import read_erp, write_erp
+    td = {"TDBNNF": 1, "TDBSER": "1", "TDDCT": "NS", "TDN001": 1, "TDUKID": 1, "TDBRTX": "05", "TDBRTXA": 7}
+    t = _docs(spark, [_line(1, 1, "SA", FDNXTR="999")], F76B011=[td])
+    write_erp(t, tmp_dir)
+    t2 = read_erp(spark, tmp_dir)
+    large = dataclasses.replace(DEFAULT_CONFIG, header_broadcast_max_rows=0)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")      # keep the planned join
+    try:
+        lines = document_lines(t2, 116001, 116031, large)
+        out = tax_code_lines(lines, t2, large)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        release_documents(t2)
+    # Exchanges the planner adds for the detail join (the cached plan's own
+    # REPARTITION_BY_NUM exchanges on the document number are printed too):
+    # only the tax detail is shuffled, on the document number; the persisted
+    # lines keep their partitioning.
+    added = [ln.strip() for ln in plan.splitlines()
+             if "Exchange hashpartitioning" in ln and "ENSURE_REQUIREMENTS" in ln]
+    assert len(added) == 1 and "hashpartitioning(TDBNNF" in added[0]
+    assert "InMemoryTableScan" in plan
