@@ -42,3 +42,24 @@ def test_ledger_dispatch_rejects_unknown_source():
     from balancete.plans.ledger import ledger
     with pytest.raises(ValueError):
         ledger(None, "weekly", None)
+
+
+def test_statement_total_equals_ledger_total(spark):
+    import os
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from balancete import registry
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        pytest.skip("driver tables not present")
+    t = registry.tables_for(spark, sf)
+    from balancete.plans.ledger import ledger_for_period
+    led = ledger_for_period(t, registry.PERIOD)
+    dre = income_statement(led, registry.PERIOD, sort=False)
+    d = F.col("DATA_LANCAMENTO")
+    in_month = led.where((d >= F.lit(registry.PERIOD.date_from)) & (d < F.lit(registry.PERIOD.date_to)))
+    assert dre.select(F.sum("VALOR_DRE")).first()[0] == in_month.select(F.sum("VALOR_TRANSACAO")).first()[0]
+    # every ledger row of the month lands in exactly one statement group
+    assert in_month.count() > dre.count() > 0
