@@ -29,7 +29,7 @@ from __future__ import annotations
 from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import checkpoint
@@ -175,8 +175,11 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         #   joins shuffle only the detail side. Lost blocks are recomputed from
         #   lineage. ``release_documents`` frees them.
         if header_keys is not None:
-            out = checkpoint(out)
-            return DocumentLines(out, header_keys, out.count())
+            # The row count is observed while the checkpoint is written (no
+            # second job) and decides how the detail joins are planned.
+            obs = Observation("document_lines")
+            out = checkpoint(out.observe(obs, F.count(F.lit(1)).alias("rows")))
+            return DocumentLines(out, header_keys, int(obs.get["rows"]))
         else:
             out = out.persist(StorageLevel.MEMORY_AND_DISK)
             tables.derived.setdefault("_persisted_documents", []).append(out)
