@@ -104,9 +104,11 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     header_keys = None
     if n_hdr <= bound:
         hdr = F.broadcast(hdr)
+        # Build side of semi-joins only, so duplicate keys are harmless and no
+        # de-duplication (shuffle) is needed.
         header_keys = F.broadcast(hdr.select(
             F.col("FHBNNF").alias("_H_BNNF"), F.rtrim("FHDCT").alias("_H_DCT"),
-            F.col("FHN001").alias("_H_N001")).distinct())
+            F.col("FHN001").alias("_H_N001")))
     else:
         spark = lines.sparkSession
         # Let the 4-key header join and the 5-key detail joins all reuse the
@@ -279,11 +281,10 @@ def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG
     cond = ((F.col("FDBNNF") == F.col("DFBNNF")) & (F.rtrim("FDDCT") == F.col("_D_DCT"))
             & (F.col("FDN001") == F.col("DFN001")) & (F.rtrim("FDBSER") == F.col("_D_BSER"))
             & (F.col("FDUKID") == F.col("DFUKID")))
-    side, small = lines.side(cfg.broadcast_max_rows)
-    side = side.where(F.col("_SALES_OK"))
-    # Small (counted) lines are broadcast and the detail streams past them:
-    # detail RIGHT JOIN lines keeps every line, exactly the left join's rows.
-    j = d.join(side, cond, "right") if small else side.join(d, cond, "left")
+    # The lines are the preserved side of this left join, so they cannot be
+    # the broadcast side; the (restricted) detail is joined by shuffle, or
+    # broadcast by AQE when its measured size is small.
+    j = doc.where(F.col("_SALES_OK")).join(d, cond, "left")
     return j.selectExpr(
         *_common(cfg),
         f"CAST({Q.amount('DFBICM')} AS {Q.MONEY}) AS VALOR_TRANSACAO",
