@@ -104,3 +104,14 @@ def test_gl_detail_posted_only_and_truncation(spark):
     r = rows[0]
     assert (r.NUM_DOCUMENTO, r.VALOR_TRANSACAO, r.CONTA_II, r.EXPLICACAO, r.DATA_LANCAMENTO) == \
         ("7", Decimal("-12.34"), "1.2", "x" * 30, dt.date(2021, 1, 5))
+
+
+def test_duplicate_account_id_raises(spark):
+    import pytest
+
+    from balancete.operators.lookups import DuplicateLookupKey
+    t = _world(spark, [(None, None)])
+    dup = [r.asDict() for r in t["F0901"].collect()] * 2
+    t2 = _world(spark, [(None, None)], F0901=dup)
+    with pytest.raises(DuplicateLookupKey):
+        gl_balance(t2, P)
