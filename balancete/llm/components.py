@@ -17,14 +17,17 @@ from .common import checkpoint
 def _star(edges: DataFrame) -> DataFrame:
     """(u, v, m) with m the least of u and its neighbours, over both directions of each edge."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_m"))
+    # Written out, so that the join has an exchange of its own on either side and AQE can
+    # split a hub (a node with a large part of all edges).
+    least = checkpoint(both.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_m")))
     return both.join(least, F.col("u") == F.col("_u")).select("u", "v", F.least("u", "_m").alias("m"))
 
 
 def _round(edges: DataFrame) -> DataFrame:
     large = _star(edges).where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")) \
         .where(F.col("u") != F.col("v")).distinct()
-    least = large.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_m"))
+    large = checkpoint(large)
+    least = checkpoint(large.groupBy(F.col("u").alias("_u")).agg(F.min("v").alias("_m")))
     joined = large.join(least, F.col("u") == F.col("_u"))
     small = joined.select(F.col("v").alias("u"), F.col("_m").alias("v")).where(F.col("u") != F.col("v")) \
         .unionByName(least.select(F.col("_u").alias("u"), F.col("_m").alias("v")))

@@ -246,7 +246,9 @@ def _clustered(df: DataFrame, id_col: str, text_col: str, shingle: int, radius:
     roots = components(near_links(nodes.select("fp"), radius, max_group))
     labelled = nodes.join(roots, F.col("fp") == F.col("node"), "left") \
         .select("fp", "_first", "_any", F.coalesce("root", "fp").alias("root"))
-    least = labelled.groupBy(F.col("root").alias("_root")).agg(F.min("_first").alias("_best"), F.min("_any").alias("_least"))
+    # Written out, so that AQE can split a component that holds a large part of all rows.
+    least = checkpoint(labelled.groupBy(F.col("root").alias("_root"))
+                       .agg(F.min("_first").alias("_best"), F.min("_any").alias("_least")))
     classes = labelled.join(least, F.col("root") == F.col("_root")).select(
         F.col("fp").alias("_f"), F.col("_best._id").alias("component_id"),
         F.coalesce(F.col("_best._th"), F.col("_least")).alias("_keep"))
