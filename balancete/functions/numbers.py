@@ -18,11 +18,12 @@ from .text import ColumnOrName, _c, otrim
 CENTS = DecimalType(20, 0)
 AMOUNT = DecimalType(20, 2)
 MONEY = DecimalType(38, 4)
-RATE = DecimalType(12, 6)
+# A rate keeps 14 integer and 12 decimal digits; only the product is rounded.
+RATE = DecimalType(26, 12)
 PERCENT = DecimalType(10, 4)
 
-# Accepted shapes of a percentage text: digits, optional decimal part with
-# '.' or ',', optional trailing '%'.
+# FIXED VALUE (must equal the source): accepted shapes of a percentage text:
+# digits, optional decimal part with '.' or ',', optional trailing '%'.
 PERCENT_PATTERN = r"^[0-9]+([.,][0-9]+)?%?$"
 
 
@@ -48,6 +49,13 @@ def parse_percent(c: ColumnOrName) -> Column:
 
 
 def apply_rate(amount: ColumnOrName, rate: ColumnOrName) -> Column:
-    """``ROUND(amount * rate / 100, 4)`` in exact decimals, as money."""
-    prod = _c(amount).cast(AMOUNT) * _c(rate).cast(RATE) * F.lit(Decimal("0.01"))
-    return F.round(prod, 4).cast(MONEY)
+    """``ROUND(amount * rate / 100, 4)`` in exact decimals, as money.
+
+    The integer part of the rate is multiplied apart: its product has four
+    decimals at most and needs no rounding, and neither product passes 38 digits.
+    """
+    a, r = _c(amount).cast(AMOUNT), _c(rate).cast(RATE)
+    whole = F.floor(r).cast("decimal(14,0)")
+    part = (r - whole).cast("decimal(12,12)")
+    cent = F.lit(Decimal("0.01"))
+    return (a * whole * cent + F.round(a * part * cent, 4)).cast(MONEY)

@@ -9,6 +9,7 @@ its ``concat`` propagates NULL, so every use goes through these helpers
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,13 +46,19 @@ def code_eq(c: ColumnOrName, value: str) -> Column:
     """Fixed-width code equality: trailing blanks are ignored.
 
     The stored column keeps its padding (B8); only the comparison is trimmed.
+    The ``startswith`` beside it says nothing more, but reaches the Parquet scan.
     """
-    return F.rtrim(_c(c)) == F.lit(value)
+    return _c(c).startswith(value) & (F.rtrim(_c(c)) == F.lit(value))
 
 
 def code_in(c: ColumnOrName, values: Iterable[str]) -> Column:
-    """``code IN (...)`` ignoring trailing blanks; NULL stays unknown."""
-    return F.rtrim(_c(c)).isin(list(values))
+    """``code IN (...)`` ignoring trailing blanks; NULL stays unknown.
+
+    As in ``code_eq``, prefixes stand beside the test for the scan.
+    """
+    values = list(values)
+    prefix = reduce(lambda a, b: a | b, [_c(c).startswith(v) for v in values])
+    return prefix & F.rtrim(_c(c)).isin(values)
 
 
 def code_not_in(c: ColumnOrName, values: Iterable[str]) -> Column:

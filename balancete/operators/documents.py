@@ -1,39 +1,32 @@
 """Fiscal-document side of the ledger.
 
-``document_lines`` builds one row per qualifying document line:
+``document_lines`` builds one row per document line that some branch uses:
 
-    lines (type filter) ⋈ header (issue-date range)
+    lines (type and status filter) ⋈ header (issue-date range)
       ⋈ operation nature, item dimension, company, unit     checked broadcasts
 
-The issue date lives on the header only, so the header decides the plan.
-Its date-filtered key set is counted first (one cheap, column-pruned scan
-with the date predicate pushed to Parquet):
-
-* small (a month of documents): the header is broadcast into the line scan,
-  and the per-line tax detail and DIFAL detail are semi-joined against the
-  same broadcast keys. None of the three document-keyed facts is shuffled;
-  only month-sized rows ever reach an exchange.
-* large (a multi-year history): lines and header are both hash-partitioned
-  on the document number alone, so the joins to the tax detail and the
-  DIFAL detail (which also key on the document number) reuse that
-  partitioning and shuffle only the detail side.
-
-The source query re-joins the fact in each of its eleven branches; here the
-fact is read once and every branch is a column of the same rows: the sales
-and return branches come out of one explode of a rule array, DIFAL and
-PIS/COFINS are joins on top of the same base.
+There is one plan for every size. The filters that need only line columns are
+applied before any join. The joins between facts (header, tax detail, DIFAL
+detail) are plain equi-joins on their full keys: the planner adds the exchanges,
+AQE broadcasts a side whose measured size is small and splits a hot document,
+and nothing here repartitions, caches or counts. Building the DataFrame runs no
+job over the facts.
+
+The source query re-joins the fact in each of its eleven branches; here the fact
+is read once and every branch is a column of the same rows: the sales and return
+branches come out of one explode of a rule array, DIFAL and PIS/COFINS are joins
+on top of the same base. ``plans.ledger.document_ledger``, which feeds all of
+them, writes the lines once as Parquet in the shared folder, with only the
+columns that its caller wants.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
+from collections.abc import Collection
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint
-
 from ..functions import code_eq, code_in, code_not_in, otrim
 from ..functions import sql as Q
 from ..plans import rules as R
@@ -46,78 +39,40 @@ _LINE_COLS = ["FDFCO", "FDBNNF", "FDDCT", "FDN001", "FDBSER", "FDUKID", "FDPDCT"
               "FDAEXP", "FDBIPI", "FDBVIS", "FDBDIZ", "FDBICM"]
 
 
-def _doc_partitions(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-class DocumentLines(NamedTuple):
-    """Document lines plus the plan choice made for them.
-
-    ``header_keys`` is the broadcast (document number, type, suffix) key set
-    of the date-filtered header when it was small enough, else None.
-    """
-
-    df: DataFrame
-    header_keys: DataFrame | None
-    rows: int | None = None        # counted size of ``df`` when it was checkpointed
-
-    def side(self, max_rows: int) -> tuple[DataFrame, bool]:
-        """The lines for a detail join, broadcast when their counted size allows."""
-        if self.rows is not None and self.rows <= max_rows:
-            return F.broadcast(self.df), True
-        return self.df, False
-
-    def restrict(self, detail: DataFrame, nnf: str, dct: str, n001: str) -> DataFrame:
-        """Keep only detail rows of the selected documents (map-side when broadcast)."""
-        if self.header_keys is None:
-            return detail
-        k = self.header_keys
-        return detail.join(k, (F.col(nnf) == F.col("_H_BNNF")) & (F.rtrim(dct) == F.col("_H_DCT"))
-                           & (F.col(n001) == F.col("_H_N001")), "left_semi")
+_ITEM_LABELS = ["ITEM", "LINHA", "TAMANHO", "TIPO", "COR", "EMBALAGEM"]
 
 
 def document_lines(tables, issue_from: int, issue_to: int | None,
                    cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                   classes: tuple = ("sales", "returns")) -> DocumentLines:
-    """Qualifying document lines with header, nature, item, company and unit.
+                   classes: tuple = ("sales", "returns"),
+                   columns: Collection[str] | None = None) -> DataFrame:
+    """Document lines of any branch, with header, nature, item, company and unit.
 
     ``issue_from`` / ``issue_to`` are inclusive CYYDDD bounds on the header's
     issue date (``issue_to=None`` is open-ended, as in the older query).
-    Adds the class flags _SALES_OK (F1), _RETURNS_OK (F2) and _TC_SALES_OK (F3).
+    ``columns`` names the ledger columns that are wanted (None: all).
+    Adds the class flags _SALES_OK (F1), _RETURNS_OK (F2) and _TC_SALES_OK (F3);
+    a line for which none holds is dropped.
     """
-    types = []
-    if "sales" in classes:
-        types += list(cfg.sales_types)
-    if "returns" in classes:
-        types += list(cfg.return_types)
-    lines = tables["F7611B"].select(*_LINE_COLS).where(code_in("FDPDCT", types))
+    wanted = lambda *names: columns is None or any(n in columns for n in names)
+    sales = code_in("FDPDCT", cfg.sales_types)
+    returns = code_in("FDPDCT", cfg.return_types)
+    sales_ok = (sales & code_not_in("FDNXTR", cfg.sales_excluded_next_status)
+                & (F.col("FDLTTR") >= F.lit(cfg.sales_min_last_status)))
+    listed = code_in("FDNXTR", cfg.return_next_status)
+    parts = ([sales_ok, sales & listed] if "sales" in classes else []) \
+        + ([returns & listed] if "returns" in classes else [])
+    used = parts[0]
+    for part in parts[1:]:
+        used = used | part
+    types = [*(cfg.sales_types if "sales" in classes else ()), *(cfg.return_types if "returns" in classes else ())]
+    # The type test says nothing that ``used`` does not, but its prefixes reach the scan.
+    lines = tables["F7611B"].select(*_LINE_COLS).where(code_in("FDPDCT", types) & used)
     hdr = tables["F7601B"].where(F.col("FHISSU") >= issue_from)
     if issue_to is not None:
         hdr = hdr.where(F.col("FHISSU") <= issue_to)
     hdr = hdr.select("FHFCO", "FHBNNF", "FHDCT", "FHN001", "FHISSU")
 
-    # Checked size of the selected header: the date filter is pushed to the
-    # scan, only the key columns are read, and the count stops once it passes
-    # the bound (a multi-year selection is never counted in full).
-    bound = cfg.header_broadcast_max_rows
-    n_hdr = hdr.limit(bound + 1).count()
-    header_keys = None
-    if n_hdr <= bound:
-        hdr = F.broadcast(hdr)
-        # Build side of semi-joins only, so duplicate keys are harmless and no
-        # de-duplication (shuffle) is needed.
-        header_keys = F.broadcast(hdr.select(
-            F.col("FHBNNF").alias("_H_BNNF"), F.rtrim("FHDCT").alias("_H_DCT"),
-            F.col("FHN001").alias("_H_N001")))
-    else:
-        spark = lines.sparkSession
-        # Let the 4-key header join and the 5-key detail joins all reuse the
-        # hash partitioning on the document number (a subset of their keys)
-        # instead of re-shuffling on each join's full key list.
-        spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-        n = _doc_partitions(spark)
-        lines = lines.repartition(n, "FDBNNF")
-        hdr = hdr.repartition(n, "FHBNNF")
     base = lines.join(
         hdr,
         (F.col("FDBNNF") == F.col("FHBNNF")) & (F.rtrim("FDFCO") == F.rtrim("FHFCO"))
@@ -147,72 +102,43 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     base = base.join(items, F.rtrim("FDLITM") == F.col("_I_KEY"), "inner")
 
     base = base.join(companies(tables, cfg), F.rtrim("FDCO") == F.col("_C_CCCO"), "inner")
-    base = center_hierarchy(base, tables, "FDMCU", cfg, with_parent=False)
+    if wanted("CENTRO_CUSTO"):
+        base = center_hierarchy(base, tables, "FDMCU", cfg, with_parent=False)
 
     cfop_ok = ~F.col("CFOP").isin(list(cfg.excluded_cfop))
-    sales_ok = (code_in("FDPDCT", cfg.sales_types)
-                & code_not_in("FDNXTR", cfg.sales_excluded_next_status)
-                & (F.col("FDLTTR") >= F.lit(cfg.sales_min_last_status)))
-    returns_ok = (code_in("FDPDCT", cfg.return_types)
-                  & code_in("FDNXTR", cfg.return_next_status) & cfop_ok)
-    tc_sales_ok = (code_in("FDPDCT", cfg.sales_types)
-                   & code_in("FDNXTR", cfg.return_next_status) & cfop_ok)
     plant = F.when(code_eq("IMSRP1", cfg.plant_item_line), F.lit(cfg.plant_label_special)) \
         .otherwise(F.lit(cfg.plant_label_default))
-    out = base.select(
-        *_LINE_COLS, "FHISSU", "CFOP", "IMSRP1", "ITEM", "LINHA", "TAMANHO", "TIPO", "COR",
-        "EMBALAGEM", "CCNAME", "CENTRO_CUSTO",
-        F.coalesce(sales_ok, F.lit(False)).alias("_SALES_OK"),
-        F.coalesce(returns_ok, F.lit(False)).alias("_RETURNS_OK"),
-        F.coalesce(tc_sales_ok, F.lit(False)).alias("_TC_SALES_OK"),
-        otrim(plant).alias("FILIAL"),
-    )
-    if cfg.materialize_documents:
-        # Three consumers (branches, DIFAL, PIS/COFINS) read these rows, so they
-        # are computed once (one scan of the fact):
-        # * small selection: written to the shared checkpoint folder; a lost
-        #   executor re-reads it instead of recomputing the joins;
-        # * large selection: persisted (memory, spilling to disk), which keeps
-        #   the hash partitioning on the document number, so the two detail
-        #   joins shuffle only the detail side. Lost blocks are recomputed from
-        #   lineage. ``release_documents`` frees them.
-        if header_keys is not None:
-            # The row count is observed while the checkpoint is written (no
-            # second job) and decides how the detail joins are planned.
-            obs = Observation("document_lines")
-            out = checkpoint(out.observe(obs, F.count(F.lit(1)).alias("rows")))
-            return DocumentLines(out, header_keys, int(obs.get["rows"]))
-        else:
-            out = out.persist(StorageLevel.MEMORY_AND_DISK)
-            tables.derived.setdefault("_persisted_documents", []).append(out)
-    return DocumentLines(out, header_keys)
-
-
-def release_documents(tables) -> None:
-    """Unpersist document lines persisted by earlier ``document_lines`` calls."""
-    for df in tables.derived.pop("_persisted_documents", []):
-        df.unpersist()
-
-
-def _common(cfg: LedgerConfig) -> list[str]:
-    """Ledger columns every document branch fills the same way (SQL text)."""
-    return [
-        f"{Q.decode_cyyddd('FHISSU')} AS DATA_LANCAMENTO",
-        "FDPDCT AS TIPO_DOCUMENTO",
-        "CAST(FDDCT AS STRING) AS NUM_DOCUMENTO",
-        "CAST(NULL AS STRING) AS CHAVE_CONTA",
-        "CAST(NULL AS STRING) AS ORDEM_CONTA",
-        "CENTRO_CUSTO",
-        f"CAST(0 AS {Q.PERCENT}) AS PERCENTUAL",
-        f"{Q.ocat('FDCO', Q.lit(' - '), 'CCNAME')} AS EMPRESA",
-        "FILIAL", "CFOP", "FDBNNF AS NOTA",
-        "ITEM", "LINHA", "TAMANHO", "TIPO", "COR", "EMBALAGEM",
-    ]
-
-
-_COMMON_NAMES = ["DATA_LANCAMENTO", "TIPO_DOCUMENTO", "NUM_DOCUMENTO", "CHAVE_CONTA", "ORDEM_CONTA",
-                 "CENTRO_CUSTO", "PERCENTUAL", "EMPRESA", "FILIAL", "CFOP", "NOTA", "ITEM", "LINHA",
-                 "TAMANHO", "TIPO", "COR", "EMBALAGEM"]
+    flags = {"_SALES_OK": sales_ok, "_RETURNS_OK": returns & listed & cfop_ok,
+             "_TC_SALES_OK": sales & listed & cfop_ok}
+    labels = [c for c in _ITEM_LABELS if wanted(c)]
+    if wanted("CENTRO_CUSTO"):
+        labels.append("CENTRO_CUSTO")
+    if wanted("EMPRESA"):
+        labels.append("CCNAME")
+    if wanted("FILIAL"):
+        labels.append(otrim(plant).alias("FILIAL"))
+    out = base.select(*_LINE_COLS, "FHISSU", "CFOP", *labels,
+                      *[F.coalesce(ok, F.lit(False)).alias(n) for n, ok in flags.items()])
+    return out.where("_SALES_OK OR _RETURNS_OK OR _TC_SALES_OK")
+
+
+# Ledger columns every document branch fills the same way (SQL text).
+_COMMON = {
+    "DATA_LANCAMENTO": Q.decode_cyyddd("FHISSU"),
+    "TIPO_DOCUMENTO": "FDPDCT",
+    "NUM_DOCUMENTO": "CAST(FDDCT AS STRING)",
+    "CHAVE_CONTA": "CAST(NULL AS STRING)",
+    "ORDEM_CONTA": "CAST(NULL AS STRING)",
+    "CENTRO_CUSTO": "CENTRO_CUSTO",
+    "PERCENTUAL": f"CAST(0 AS {Q.PERCENT})",
+    "EMPRESA": Q.ocat("FDCO", Q.lit(" - "), "CCNAME"),
+    "FILIAL": "FILIAL", "CFOP": "CFOP", "NOTA": "FDBNNF",
+    **{c: c for c in _ITEM_LABELS},
+}
+
+
+def _common(columns: Collection[str] | None) -> list[str]:
+    return [f"{sql} AS {name}" for name, sql in _COMMON.items() if columns is None or name in columns]
 
 
 def _amounts() -> dict[str, str]:
@@ -231,15 +157,15 @@ def _label_struct(keep: str, branch: str, qi: int, amount: str, labels: dict) ->
     return f"named_struct({', '.join(fields)})"
 
 
-def document_branches(lines: DocumentLines, cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                      classes: tuple = ("sales", "returns")) -> DataFrame:
+def document_branches(doc: DataFrame, cfg: LedgerConfig = DEFAULT_CONFIG, *,
+                      classes: tuple = ("sales", "returns"),
+                      columns: Collection[str] | None = None) -> DataFrame:
     """C4 (without DIFAL) and C5: up to eight ledger lines per document line.
 
     Sales: gross revenue (export variant for 'SX'), IPI, ICMS-ST (only where
     the ST value is non-zero), ICMS. Returns: total, IPI, ICMS, ICMS-ST.
     The rule array and the explode are one SQL projection.
     """
-    doc = lines.df
     amt = _amounts()
     opts = []
     if "sales" in classes:
@@ -260,33 +186,29 @@ def document_branches(lines: DocumentLines, cfg: LedgerConfig = DEFAULT_CONFIG,
     cond = {("sales", "returns"): "_SALES_OK OR _RETURNS_OK", ("sales",): "_SALES_OK",
             ("returns",): "_RETURNS_OK"}[tuple(classes)]
     arr = f"filter(array({', '.join(opts)}), o -> o.keep)"
-    out = doc.where(cond).selectExpr(*_common(cfg), f"explode({arr}) AS _b")
-    return out.selectExpr(*_COMMON_NAMES, *[f"_b.{f} AS {f}" for f in
+    out = doc.where(cond).selectExpr(*_common(columns), f"explode({arr}) AS _b")
+    return out.selectExpr(*[c for c in out.columns if c != "_b"], *[f"_b.{f} AS {f}" for f in
                                             ("VALOR_TRANSACAO", *R.LABEL_FIELDS, "EXPLICACAO",
                                              "QUERY_INFO", "BRANCH")])
 
 
-def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
+def difal_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
+                columns: Collection[str] | None = None) -> DataFrame:
     """C4's DIFAL branch: sales lines left-joined to the DIFAL detail.
 
     An unmatched line keeps a NULL amount; a duplicated detail row multiplies
     only this branch, exactly as in the source.
     """
     branch, qi, c2, est, desc, conta, conta_i, full, expl = R.DIFAL_RULE
-    doc = lines.df
-    detail = lines.restrict(tables["F5576007"], "DFBNNF", "DFDCT", "DFN001")
-    d = detail.select(
+    d = tables["F5576007"].select(
         F.col("DFBNNF"), F.rtrim("DFDCT").alias("_D_DCT"), F.col("DFN001"),
         F.rtrim("DFBSER").alias("_D_BSER"), F.col("DFUKID"), "DFBICM")
     cond = ((F.col("FDBNNF") == F.col("DFBNNF")) & (F.rtrim("FDDCT") == F.col("_D_DCT"))
             & (F.col("FDN001") == F.col("DFN001")) & (F.rtrim("FDBSER") == F.col("_D_BSER"))
             & (F.col("FDUKID") == F.col("DFUKID")))
-    # The lines are the preserved side of this left join, so they cannot be
-    # the broadcast side; the (restricted) detail is joined by shuffle, or
-    # broadcast by AQE when its measured size is small.
     j = doc.where(F.col("_SALES_OK")).join(d, cond, "left")
     return j.selectExpr(
-        *_common(cfg),
+        *_common(columns),
         f"CAST({Q.amount('DFBICM')} AS {Q.MONEY}) AS VALOR_TRANSACAO",
         f"{Q.lit(c2)} AS CONTA_II", f"{Q.lit(est)} AS CONTA_ESTRUTURA",
         f"{Q.lit(desc)} AS DESCRICAO_CONTA_II", f"{Q.lit(conta)} AS CONTA",
@@ -295,16 +217,15 @@ def difal_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG
         f"{qi} AS QUERY_INFO", f"{Q.lit(branch)} AS BRANCH")
 
 
-def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                   classes: tuple = ("sales", "returns")) -> DataFrame:
+def tax_code_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
+                   classes: tuple = ("sales", "returns"),
+                   columns: Collection[str] | None = None) -> DataFrame:
     """PIS (code 05) and COFINS (code 06) for sales (+) and returns (-).
 
     One inner join of the document lines with the per-line tax detail (J10);
     the sign and the labels come from the rule table by (class, code).
     """
-    doc = lines.df
-    detail = lines.restrict(tables["F76B011"], "TDBNNF", "TDDCT", "TDN001")
-    td = detail.where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins])).select(
+    td = tables["F76B011"].where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins])).select(
         F.col("TDBNNF"), F.rtrim("TDBSER").alias("_T_BSER"), F.rtrim("TDDCT").alias("_T_DCT"),
         F.col("TDN001"), F.col("TDUKID"), F.rtrim("TDBRTX").alias("_T_CODE"), "TDBRTXA")
     keep = None
@@ -312,8 +233,7 @@ def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CON
         keep = F.col("_TC_SALES_OK")
     if "returns" in classes:
         keep = F.col("_RETURNS_OK") if keep is None else keep | F.col("_RETURNS_OK")
-    side, _ = lines.side(cfg.broadcast_max_rows)
-    j = side.where(keep).join(
+    j = doc.where(keep).join(
         td, (F.col("FDBNNF") == F.col("TDBNNF")) & (F.rtrim("FDBSER") == F.col("_T_BSER"))
         & (F.rtrim("FDDCT") == F.col("_T_DCT")) & (F.col("FDN001") == F.col("TDN001"))
         & (F.col("FDUKID") == F.col("TDUKID")), "inner")
@@ -329,7 +249,7 @@ def tax_code_lines(lines: DocumentLines, tables, cfg: LedgerConfig = DEFAULT_CON
 
     amount = Q.amount("TDBRTXA")
     return j.selectExpr(
-        *_common(cfg),
+        *_common(columns),
         f"CAST({pick(lambda r: amount if r[4] > 0 else f'-{amount}')} AS {Q.MONEY}) AS VALOR_TRANSACAO",
         f"{pick(lambda r: Q.lit(r[5]))} AS CONTA_II",
         f"{pick(lambda r: Q.lit(r[6]))} AS CONTA_ESTRUTURA",

@@ -87,11 +87,10 @@ def period_balances(tables, params: PeriodParams, cfg: LedgerConfig = DEFAULT_CO
     GBANnn column (column pruning reaches the Parquet scan); for a longer
     range the needed columns are unpivoted. The fiscal-year predicate is a
     plain integer filter and is pushed to the scan.
-    Output: GBAID, DATA_LANCAMENTO (first day of the period), VALOR_PERIODO (cents).
+    Output: GBAID, DATA_LANCAMENTO, VALOR_PERIODO (cents). A balance is dated at the first
+    day of its period, and at the start date in the month where the range starts.
     """
     months = params.months()
-    if not months:
-        raise ValueError("the period range holds no whole month start")
     off = params.fiscal_year_offset
     fys = sorted({y - off for y, _ in months})
     periods = sorted({m for _, m in months})
@@ -105,7 +104,8 @@ def period_balances(tables, params: PeriodParams, cfg: LedgerConfig = DEFAULT_CO
     val = F.coalesce(F.col("_CENTS"), F.lit(Decimal(0)).cast("decimal(20,0)"))
     return (long.where(keep)
             .select("GBAID",
-                    F.make_date(F.col("GBFY") + off, period, F.lit(1)).alias("DATA_LANCAMENTO"),
+                    F.greatest(F.make_date(F.col("GBFY") + off, period, F.lit(1)),
+                               F.lit(params.date_from)).alias("DATA_LANCAMENTO"),
                     val.alias("VALOR_PERIODO"))
             .where(F.abs("VALOR_PERIODO") > 0))
 
@@ -167,6 +167,7 @@ def allocate(base: DataFrame, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
     r49 set             -> 1 row: amount * r49 / 100, LINHA 'BALOES'
     r49 and r50 set     -> 1 more row: amount * r50 / 100, LINHA 'LUVAS MULTIUSO'
     r50 without r49 is ignored; rates need not total 100 (a residue is dropped).
+    A rate above the PERCENTUAL column's range is applied in full and shown as NULL.
     One explode of a filtered array replaces a three-branch union, so the
     base is computed once instead of three times.
     """
@@ -176,7 +177,7 @@ def allocate(base: DataFrame, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
 
     def opt(keep, amount, pct, linha, branch):
         return F.struct(keep.alias("keep"), amount.cast(MONEY).alias("v"),
-                        pct.cast(PERCENT).alias("p"), F.lit(linha).alias("l"),
+                        pct.try_cast(PERCENT).alias("p"), F.lit(linha).alias("l"),
                         F.lit(branch).alias("b"))
 
     options = F.array(

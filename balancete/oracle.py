@@ -54,7 +54,7 @@ def _cents(x: str) -> str:
 
 def _percent(x: str) -> str:
     return (f"CASE WHEN regexp_full_match(COALESCE({_otrim(x)}, 'x'), '[0-9]+([.,][0-9]+)?%?') "
-            f"THEN TRY_CAST(replace(replace(TRIM({x}), '%', ''), ',', '.') AS DECIMAL(12,6)) END")
+            f"THEN TRY_CAST(replace(replace(TRIM({x}), '%', ''), ',', '.') AS DECIMAL(38,12)) END")
 
 
 def _amt(x: str) -> str:
@@ -87,7 +87,7 @@ f0010 AS (SELECT '0000' || CAST(r_regionkey AS VARCHAR) AS CCCO, r_name AS CCNAM
 f0006 AS (
     SELECT lpad(CAST(s_suppkey AS VARCHAR), 12, ' ') AS MCMCU, s_name AS MCDL01,
            CASE WHEN s_suppkey % 10 = 0 THEN '   ' ELSE CAST(s_suppkey - s_suppkey % 10 AS VARCHAR) END AS MCRP04,
-           rpad(CAST(s_nationkey % 8 AS VARCHAR), 3, ' ') AS MCRP49,
+           rpad(CAST(s_nationkey % 10 AS VARCHAR), 3, ' ') AS MCRP49,
            rpad(CAST(s_nationkey % 5 AS VARCHAR), 3, ' ') AS MCRP50
     FROM supplier),
 f0005 AS (
@@ -235,13 +235,14 @@ DIM_COLS = ("a.CONTA_ESTRUTURA, a.DESCRICAO_CONTA_II, a.CONTA, a.CONTA_I, a.CONT
             "a.CENTRO_CUSTO, a.EMPRESA, a.FILIAL, a.RATEIO_BALAO, a.RATEIO_MULTIUSO")
 
 
-def gl_balance_cte(months: list[tuple[int, int]], cfg=DEFAULT_CONFIG) -> str:
+def gl_balance_cte(months: list[tuple[int, int]], cfg=DEFAULT_CONFIG, start: _dt.date | None = None) -> str:
     """Period balances (P7 as a CASE pick per month) joined to the account dimension."""
     picks = []
     for y, m in months:
         fy = y - 1900
         pick = "CASE " + " ".join(f"WHEN {m} = {p} THEN COALESCE(GBAN{p:02d}, 0)" for p in range(1, 15)) + " ELSE 0 END"
-        picks.append(f"SELECT GBAID, DATE '{_dt.date(y, m, 1).isoformat()}' AS DATA_LANCAMENTO, {pick} AS VALOR_PERIODO "
+        day = max(_dt.date(y, m, 1), start or _dt.date.min)
+        picks.append(f"SELECT GBAID, DATE '{day.isoformat()}' AS DATA_LANCAMENTO, {pick} AS VALOR_PERIODO "
                      f"FROM f0902 WHERE rtrim(GBLT) = {_q(cfg.ledger_type)} AND GBFY = {fy}")
     return f"""bal AS (
     {chr(10).join(("UNION ALL " if i else "") + p for i, p in enumerate(picks))}),
@@ -285,11 +286,11 @@ def allocation_cte(cfg=DEFAULT_CONFIG) -> str:
     FROM glbase WHERE RATEIO_BALAO IS NULL
     UNION ALL
     SELECT {rest}, CAST(round(VALOR_TRANSACAO * RATEIO_BALAO * 0.01, 4) AS DECIMAL(38,4)),
-           CAST(RATEIO_BALAO AS DECIMAL(10,4)), {_q(balloons)}, 'GL_BALOES'
+           TRY_CAST(RATEIO_BALAO AS DECIMAL(10,4)), {_q(balloons)}, 'GL_BALOES'
     FROM glbase WHERE RATEIO_BALAO IS NOT NULL
     UNION ALL
     SELECT {rest}, CAST(round(VALOR_TRANSACAO * RATEIO_MULTIUSO * 0.01, 4) AS DECIMAL(38,4)),
-           CAST(RATEIO_MULTIUSO AS DECIMAL(10,4)), {_q(multi)}, 'GL_MULTIUSO'
+           TRY_CAST(RATEIO_MULTIUSO AS DECIMAL(10,4)), {_q(multi)}, 'GL_MULTIUSO'
     FROM glbase WHERE RATEIO_BALAO IS NOT NULL AND RATEIO_MULTIUSO IS NOT NULL)"""
 
 

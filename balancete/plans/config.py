@@ -56,11 +56,9 @@ class LedgerConfig:
     # Largest side (rows) broadcast after a checked count; about 50-100 MB for
     # the narrow key/label rows involved. Larger sides use shuffle joins.
     broadcast_max_rows: int = 1_000_000
-    # Same bound for the date-filtered document header (see operators.documents).
-    header_broadcast_max_rows: int = 1_000_000
     require_unique_lookups: bool = True
-    # Write the selected document lines once to spark.checkpoint.dir (one fact
-    # scan for the three consumers, lineage cut for executor loss).
+    # document_ledger writes its document lines once to spark.checkpoint.dir
+    # (one fact scan for its three consumers, lineage cut for executor loss).
     materialize_documents: bool = True
     # Build the account and item dimensions once per table bundle (checkpoint).
     materialize_dimensions: bool = True

@@ -8,6 +8,7 @@ from a start date on, no aggregation. Both return ``LEDGER_SCHEMA``.
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -17,46 +18,71 @@ from ..functions import MONEY, month_key
 from ..operators.documents import (difal_lines, document_branches, document_lines,
                                    tax_code_lines)
 from ..operators.gl import allocate, gl_balance, gl_detail
+from ..session import remove_shared, shared_scratch_path
 from ..sources.schemas import INCOME_STATEMENT_SCHEMA, LEDGER_SCHEMA
 from .config import DEFAULT_CONFIG, LedgerConfig
 from .params import DetailParams, PeriodParams
 
 
-_CONFORM_SQL = [f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in LEDGER_SCHEMA.fields]
+# The ledger columns that the income statement reads.
+STATEMENT_COLUMNS = ("DATA_LANCAMENTO", "VALOR_TRANSACAO", "CONTA", "CONTA_I", "CONTA_ESTRUTURA",
+                     "DESCRICAO_CONTA_II", "CONTA_COMPLETA")
 
 
-def conform(df: DataFrame) -> DataFrame:
+def conform(df: DataFrame, columns: Collection[str] | None = None) -> DataFrame:
     """Cast to the ledger schema, by name, in the ledger's column order.
 
     Written as SQL expressions: the whole projection is parsed in the JVM in
     one call instead of one driver round trip per column operation.
     """
-    return df.selectExpr(*_CONFORM_SQL)
+    return df.selectExpr(*[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+                           for f in LEDGER_SCHEMA.fields if columns is None or f.name in columns])
 
 
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), [conform(p) for p in parts])
+def union_all(parts: list[DataFrame], columns: Collection[str] | None = None) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b), [conform(p, columns) for p in parts])
 
 
 def document_ledger(tables, issue_from: int, issue_to: int | None,
-                    cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
-    """All document branches (C4 incl. DIFAL, C5, C6) for an issue-date range."""
-    doc = document_lines(tables, issue_from, issue_to, cfg)
-    return union_all([document_branches(doc, cfg), difal_lines(doc, tables, cfg),
-                      tax_code_lines(doc, tables, cfg)])
+                    cfg: LedgerConfig = DEFAULT_CONFIG, *,
+                    columns: Collection[str] | None = None) -> DataFrame:
+    """All document branches (C4 incl. DIFAL, C5, C6) for an issue-date range.
+
+    Three consumers read the lines, so they are computed once and written as
+    Parquet in the shared folder: columnar, read pruned, with real sizes for the
+    planner, and re-read rather than recomputed when an executor is lost. The
+    folder is removed by ``release_documents``.
+    """
+    doc = document_lines(tables, issue_from, issue_to, cfg, columns=columns)
+    if cfg.materialize_documents:
+        path = shared_scratch_path(doc.sparkSession, "document_lines")
+        doc.write.parquet(path)
+        tables.derived.setdefault("_document_folders", []).append((doc.sparkSession, path))
+        doc = doc.sparkSession.read.parquet(path)
+    return union_all([document_branches(doc, cfg, columns=columns),
+                      difal_lines(doc, tables, cfg, columns=columns),
+                      tax_code_lines(doc, tables, cfg, columns=columns)], columns)
+
+
+def release_documents(tables) -> None:
+    """Remove the document lines written by earlier ledgers of this bundle."""
+    for spark, path in tables.derived.pop("_document_folders", []):
+        remove_shared(spark, path)
 
 
-def ledger_for_period(tables, params: PeriodParams, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
+def ledger_for_period(tables, params: PeriodParams, cfg: LedgerConfig = DEFAULT_CONFIG, *,
+                      columns: Collection[str] | None = None) -> DataFrame:
     gl = allocate(gl_balance(tables, params, cfg), cfg)
-    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg)
-    return union_all([gl, docs])
+    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg, columns=columns)
+    return union_all([gl, docs], columns)
 
 
-def ledger_from_journal(tables, params: DetailParams, cfg: LedgerConfig | None = None) -> DataFrame:
+def ledger_from_journal(tables, params: DetailParams, cfg: LedgerConfig | None = None, *,
+                        columns: Collection[str] | None = None) -> DataFrame:
     cfg = cfg or DEFAULT_CONFIG.returns_label_old()
     gl = allocate(gl_detail(tables, params, cfg), cfg)
-    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg)
-    return union_all([gl, docs])
+    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg, columns=columns)
+    return union_all([gl, docs], columns)
 
 
 def income_statement(ledger: DataFrame, params: PeriodParams, *, trim_labels: bool = False,
@@ -82,12 +108,14 @@ def income_statement(ledger: DataFrame, params: PeriodParams, *, trim_labels: bo
     return out
 
 
-def ledger(tables, source: str, params, cfg: LedgerConfig | None = None) -> DataFrame:
+def ledger(tables, source: str, params, cfg: LedgerConfig | None = None, *,
+           columns: Collection[str] | None = None) -> DataFrame:
     """The common ledger from monthly balances (``source='balance'``, with
     ``PeriodParams``) or from posted journal lines (``source='detail'``, with
-    ``DetailParams``)."""
+    ``DetailParams``). ``columns`` limits it to the ledger columns that are
+    wanted (``STATEMENT_COLUMNS`` for an income statement)."""
     if source == "balance":
-        return ledger_for_period(tables, params, cfg or DEFAULT_CONFIG)
+        return ledger_for_period(tables, params, cfg or DEFAULT_CONFIG, columns=columns)
     if source == "detail":
-        return ledger_from_journal(tables, params, cfg)
+        return ledger_from_journal(tables, params, cfg, columns=columns)
     raise ValueError(f"unknown ledger source {source!r}")

@@ -52,13 +52,11 @@ class PeriodParams:
         return self.date_from.month
 
     def months(self) -> list[tuple[int, int]]:
-        """(calendar year, month) of every month that starts inside the range."""
+        """(calendar year, month) of every month with a day in the range; a range that
+        starts mid-month holds that month's balance, as in the source (its period is the
+        start date's month)."""
         out = []
         y, m = self.date_from.year, self.date_from.month
-        if self.date_from.day != 1:
-            m += 1
-            if m == 13:
-                y, m = y + 1, 1
         while _dt.date(y, m, 1) < self.date_to:
             out.append((y, m))
             y, m = (y + 1, 1) if m == 12 else (y, m + 1)

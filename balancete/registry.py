@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from . import oracle as O
 from .functions import decode_cyyddd, encode_cyyddd, otrim, parse_percent
-from .operators.documents import (difal_lines, document_branches, document_lines,
-                                  release_documents, tax_code_lines)
+from .operators.documents import difal_lines, document_branches, document_lines, tax_code_lines
 from .operators.gl import (account_dimension, allocate, gl_balance, gl_detail, gl_exclusion,
                            period_balances)
 from .operators.lookups import center_hierarchy, code_lookup, item_dimension
 from .plans.config import DEFAULT_CONFIG
-from .plans.ledger import (conform, income_statement, ledger_for_period, ledger_from_journal)
+from .plans.ledger import (STATEMENT_COLUMNS, conform, income_statement, ledger_for_period,
+                           ledger_from_journal, release_documents)
 from .plans.params import DetailParams, PeriodParams
 from .operators.invoices import ITENS_COLUMNS, itens, notas, quarantine
 from .session import shared_scratch_path
@@ -33,6 +33,8 @@ from .sources.standins import build_standins
 # a twelve-month range, and an open-ended journal history (the older query).
 PERIOD = PeriodParams.month(2000, 3)
 RANGE = PeriodParams(_dt.date(2000, 1, 1), _dt.date(2001, 1, 1))
+# A range that starts and ends inside a month.
+MIDMONTH = PeriodParams(_dt.date(2000, 3, 15), _dt.date(2000, 5, 10))
 DETAIL = DetailParams(_dt.date(1999, 1, 1))
 OLD_CFG = DEFAULT_CONFIG.returns_label_old()
 
@@ -46,7 +48,7 @@ def tables_for(spark: SparkSession, sf_dir: str):
         _TABLES.clear()
         _TABLES[key] = build_standins(spark, sf_dir)
     t = _TABLES[key]
-    release_documents(t)  # the previous query has run; free its persisted rows
+    release_documents(t)  # the previous query has run; remove its written lines
     return t
 
 
@@ -162,11 +164,15 @@ def q_ledger_detail(spark, sf):
 
 
 def q_dre_monthly(spark, sf):
-    return income_statement(ledger_for_period(tables_for(spark, sf), PERIOD), PERIOD)
+    return income_statement(ledger_for_period(tables_for(spark, sf), PERIOD, columns=STATEMENT_COLUMNS), PERIOD)
 
 
 def q_dre_range(spark, sf):
-    return income_statement(ledger_for_period(tables_for(spark, sf), RANGE), RANGE)
+    return income_statement(ledger_for_period(tables_for(spark, sf), RANGE, columns=STATEMENT_COLUMNS), RANGE)
+
+
+def q_dre_midmonth(spark, sf):
+    return income_statement(ledger_for_period(tables_for(spark, sf), MIDMONTH, columns=STATEMENT_COLUMNS), MIDMONTH)
 
 
 def _parsed_invoices(spark, sf):
@@ -213,6 +219,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_detail": q_ledger_detail,
     "dre_monthly": q_dre_monthly,
     "dre_range": q_dre_range,
+    "dre_midmonth": q_dre_midmonth,
     "xml_notas": q_xml_notas,
     "xml_itens": q_xml_itens,
     "xml_quarantine": q_xml_quarantine,
@@ -231,7 +238,7 @@ def _gl_cols() -> str:
 
 def _ledger_period_sql(p: PeriodParams, cfg=DEFAULT_CONFIG) -> list[str]:
     """CTE list + the union SELECT of the full ledger for a period."""
-    ctes = [O.standin_ctes(), O.dim_item_cte(cfg), O.acct_cte(cfg), O.gl_balance_cte(p.months(), cfg),
+    ctes = [O.standin_ctes(), O.dim_item_cte(cfg), O.acct_cte(cfg), O.gl_balance_cte(p.months(), cfg, p.date_from),
             O.allocation_cte(cfg), O.doc_cte(p.jul_from, p.jul_to, cfg)]
     selects = (["SELECT * FROM glalloc"] + O.sales_branches_sql(cfg) + [O.difal_sql(cfg)]
                + O.returns_branches_sql(cfg) + O.tax_code_sql(cfg))
@@ -309,6 +316,7 @@ FROM f0006 f
     out["ledger_detail"] = O._with(*dctes) + "\n" + O.union_sql(dsel)
     out["dre_monthly"] = _dre_sql(PERIOD)
     out["dre_range"] = _dre_sql(RANGE)
+    out["dre_midmonth"] = _dre_sql(MIDMONTH)
     out["xml_notas"] = O.notas_sql()
     out["xml_itens"] = O.itens_sql()
     out["xml_quarantine"] = O.quarantine_sql()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -18,9 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    # A join may reuse a hash partitioning on a subset of its keys (the
-    # document number): the document joins then share one partitioning.
-    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
@@ -53,23 +52,26 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
-_LOCAL_FALLBACK: dict[int, str] = {}
+_LOCAL_FALLBACK: dict[str, str] = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that folder is set by the operator (a shared filesystem every
-    executor can reach) and is only read here. Only when it is unset, as in
-    local tests, do we pick a scratch folder of our own.
+    executor can reach) and is only read here; without it this raises, since a
+    folder of one machine would be missing on the others. With a local master
+    (tests) a scratch folder is made, and removed when Python exits.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        key = id(sc)
-        if key not in _LOCAL_FALLBACK:
-            _LOCAL_FALLBACK[key] = tempfile.mkdtemp(prefix="balancete-ckpt-")
-        base = _LOCAL_FALLBACK[key]
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        base = _LOCAL_FALLBACK.get(sc.applicationId)
+        if not base:
+            base = _LOCAL_FALLBACK[sc.applicationId] = tempfile.mkdtemp(prefix="balancete-ckpt-")
+            atexit.register(shutil.rmtree, base, ignore_errors=True)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
@@ -82,6 +84,13 @@ def shared_scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def remove_shared(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``shared_scratch_path`` (on whatever file system it is)."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def local_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
 

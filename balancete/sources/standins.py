@@ -64,6 +64,8 @@ ACCOUNT_GROUP_ROWS = [
     ("00", "49", "5", "RATEIO BALOES 5", "x"),
     ("00", "49", "6", "RATEIO BALOES 6", "  "),
     ("00", "49", "7", "RATEIO BALOES 7", "1.2.3"),
+    ("00", "49", "8", "RATEIO BALOES 8", "33,3333333333"),
+    ("00", "49", "9", "RATEIO BALOES 9", "1234567"),
     ("00", "50", "1", "RATEIO MULTIUSO 1", "30"),
     ("00", "50", "2", "RATEIO MULTIUSO 2", "12,5%"),
     ("00", "50", "3", "RATEIO MULTIUSO 3", "-5"),
@@ -117,7 +119,7 @@ def build_standins(spark: SparkSession, sf_dir: str) -> ErpTables:
         F.lpad(sk.cast("string"), 12, " ").alias("MCMCU"),
         F.col("s_name").alias("MCDL01"),
         F.when(sk % 10 == 0, F.lit("   ")).otherwise((sk - sk % 10).cast("string")).alias("MCRP04"),
-        F.rpad((F.col("s_nationkey") % 8).cast("string"), 3, " ").alias("MCRP49"),
+        F.rpad((F.col("s_nationkey") % 10).cast("string"), 3, " ").alias("MCRP49"),
         F.rpad((F.col("s_nationkey") % 5).cast("string"), 3, " ").alias("MCRP50"),
     ), "F0006")
 

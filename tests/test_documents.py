@@ -90,111 +90,111 @@ def test_tax_code_lines_classes(spark):
 def test_issue_date_range_inclusive(spark):
     t = _docs(spark, [_line(1, 1, "SA"), _line(2, 1, "SA")])
     doc = document_lines(t, 116010, 116010)
-    assert {r.FDBNNF for r in doc.df.collect()} == {1}
+    assert {r.FDBNNF for r in doc.collect()} == {1}
 
 
-def _scans_of(df, table):
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return sum(1 for line in plan.splitlines() if "FileScan" in line and f"/{table}" in line)
-
-
-def test_fact_scanned_once(spark, tmp_dir):
+def _bundle(spark, folder, lines, **extra):
     from balancete.sources.erp import read_erp, write_erp
-    t = _docs(spark, [_line(1, 1, "SA"), _line(2, 1, "VR", FDBNOP="R", FDLITM="IT2")])
-    write_erp(t, tmp_dir)
-    t2 = read_erp(spark, tmp_dir)
-    led = document_ledger(t2, 116001, 116031)
-    assert led.count() > 0
-    # the document lines were materialised once; the ledger plan reads the
-    # checkpoint, not the line table, in each of its three consumers
-    assert _scans_of(led, "F7611B") == 0
-
-
-def test_small_header_broadcast_restricts_details(spark, tmp_dir):
-    from balancete.sources.erp import read_erp, write_erp
-    td = {"TDBNNF": 2, "TDBSER": "1", "TDDCT": "NS", "TDN001": 1, "TDUKID": 1, "TDBRTX": "05", "TDBRTXA": 1}
-    t = _docs(spark, [_line(1, 1, "SA", FDNXTR="999")], F76B011=[td, dict(td, TDBNNF=1)])
-    write_erp(t, tmp_dir)
-    t2 = read_erp(spark, tmp_dir)
-    doc = document_lines(t2, 116010, 116010)
-    assert doc.header_keys is not None
-    out = tax_code_lines(doc, t2)
-    assert [r.NOTA for r in out.collect()] == [1]
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin LeftSemi" in plan or "LeftSemi" in plan
-
-
-def test_large_header_path_gives_same_ledger(spark, tmp_dir):
-    import dataclasses
-
-    from balancete.plans.config import DEFAULT_CONFIG
-    from balancete.sources.erp import read_erp, write_erp
-    td = {"TDBNNF": 1, "TDBSER": "1", "TDDCT": "NS", "TDN001": 1, "TDUKID": 1, "TDBRTX": "05", "TDBRTXA": 7}
-    t = _docs(spark, [_line(1, 1, "SA", FDNXTR="999"), _line(2, 1, "VR", FDBNOP="R", FDLITM="IT2")],
-              F76B011=[td, dict(td, TDBNNF=2)],
-              F5576007=[{"DFBNNF": 1, "DFDCT": "NS", "DFN001": 1, "DFBSER": "1", "DFUKID": 1, "DFBICM": 300}])
-    write_erp(t, tmp_dir)
-    t2 = read_erp(spark, tmp_dir)
-    large = dataclasses.replace(DEFAULT_CONFIG, header_broadcast_max_rows=0)
-    lines = document_lines(t2, 116001, 116031, large)
-    assert lines.header_keys is None
-    got = sorted(map(str, document_ledger(t2, 116001, 116031, large).collect()))
-    want = sorted(map(str, document_ledger(t2, 116001, 116031).collect()))
-    assert got == want and len(got) == 11  # 4 sales + DIFAL + PIS, 4 returns + PIS
-
-
-def test_issue_date_filter_reaches_the_header_scan(spark, tmp_dir):
-    from balancete.sources.erp import read_erp, write_erp
-    t = _docs(spark, [_line(1, 1, "SA")])
-    write_erp(t, tmp_dir)
-    t2 = read_erp(spark, tmp_dir)
-    hdr = t2["F7601B"].where("FHISSU >= 116001 AND FHISSU <= 116031").select("FHBNNF")
-    plan = hdr._jdf.queryExecution().executedPlan().toString()
-    assert "PushedFilters: [IsNotNull(FHISSU), GreaterThanOrEqual(FHISSU,116001), LessThanOrEqual(FHISSU,116031)]" in plan
-    assert "ReadSchema: struct<FHBNNF:bigint,FHISSU:int>" in plan
-
+    write_erp(_docs(spark, lines, **extra), folder)
+    return read_erp(spark, folder)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _tax(nnf, ukid, code="05", value=7):
+    return {"TDBNNF": nnf, "TDBSER": "1", "TDDCT": "NS", "TDN001": 1, "TDUKID": ukid, "TDBRTX": code, "TDBRTXA": value}
+
+
+def _difal(nnf, ukid, value=300):
+    return {"DFBNNF": nnf, "DFDCT": "NS", "DFN001": 1, "DFBSER": "1", "DFUKID": ukid, "DFBICM": value}
+
+
+def test_ledger_reads_the_fact_once_and_removes_its_folder(spark, tmp_dir):
+    import os
+
+    from balancete.plans.ledger import release_documents
+    t = _bundle(spark, tmp_dir, [_line(1, 1, "SA", FDNXTR="999"), _line(2, 1, "VR", FDBNOP="R", FDLITM="IT2")],
+                F76B011=[_tax(1, 1), _tax(2, 1)], F5576007=[_difal(1, 1)])
+    led = document_ledger(t, 116001, 116031)
+    assert sorted(r.BRANCH for r in led.collect()) == sorted(
+        ["GROSS_REVENUE", "IPI", "ICMS_ST", "ICMS", "DIFAL", "SALES_PIS", "RETURN_TOTAL", "RETURN_IPI",
+         "RETURN_ICMS", "RETURN_ICMS_ST", "RETURN_PIS"])
+    plan = _plan(led)
+    (_, path), = t.derived["_document_folders"]
+    assert f"{tmp_dir}/F7611B" not in plan and plan.count("document_lines-") >= 3   # three reads of the written lines
+    assert os.path.isdir(path)
+    release_documents(t)
+    assert not os.path.isdir(path)
+
+
+def test_only_used_rows_are_kept(spark):
+    t = _docs(spark, [_line(1, 1, "SA"), _line(1, 2, "SA", FDNXTR="996"), _line(1, 3, "SA", FDLTTR="100", FDNXTR="100"),
+                      _line(2, 1, "VR", FDNXTR="100"), _line(2, 2, "ZZ"), _line(2, 3, "VR", FDBNOP="R")])
+    assert {(r.FDBNNF, r.FDUKID) for r in document_lines(t, 116001, 116031).collect()} == {(1, 1), (2, 3)}
+
+
+def test_statement_columns_prune_the_lines(spark, tmp_dir):
+    from balancete.plans.ledger import STATEMENT_COLUMNS
+    t = _bundle(spark, tmp_dir, [_line(1, 1, "SA")])
+    lines = document_lines(t, 116001, 116031, columns=STATEMENT_COLUMNS)
+    assert not {"CENTRO_CUSTO", "CCNAME", "ITEM", "FILIAL"} & set(lines.columns)
+    assert f"{tmp_dir}/F0006" not in _plan(lines)                          # no unit join
+    assert document_ledger(t, 116001, 116031, columns=STATEMENT_COLUMNS).columns == [
+        c for c in document_ledger(t, 116001, 116031).columns if c in STATEMENT_COLUMNS]
+
+
+def test_filters_reach_the_scans_of_the_document_plan(spark, tmp_dir):
+    t = _bundle(spark, tmp_dir, [_line(1, 1, "SA")], F76B011=[_tax(1, 1)])
+    spark.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    lines = document_lines(t, 116001, 116031)
+    scans = [x for x in _plan(tax_code_lines(lines, t)).splitlines() if "FileScan" in x or "PushedFilters" in x]
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    text = " ".join(scans)
+    assert "GreaterThanOrEqual(FHISSU,116001), LessThanOrEqual(FHISSU,116031)" in text
+    assert "StringStartsWith(FDPDCT,SA)" in text and "StringStartsWith(TDBRTX,05)" in text
+
+
+def test_hot_document_is_split_by_aqe(spark, tmp_dir):
+    """A document with a third of the lines: the header join splits it, with AQE as it runs."""
+    n = 6000
+    lines = [_line(1 if i < n // 3 else 100 + i, i, "SA", FDNXTR="999") for i in range(n)]
+    headers = [{"FHFCO": "00001", "FHBNNF": b, "FHDCT": "NS", "FHN001": 1, "FHISSU": 116010}
+               for b in [1] + [100 + i for i in range(n // 3, n)]]
+    t = _bundle(spark, tmp_dir, lines, F7601B=headers, F76B011=[_tax(x["FDBNNF"], x["FDUKID"]) for x in lines],
+                F5576007=[_difal(x["FDBNNF"], x["FDUKID"]) for x in lines[::2]])
+    small = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+             "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.files.maxPartitionBytes": "64k",
+             "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+        doc = document_lines(t, 116001, 116031)
+        assert len(doc.collect()) == n
+        assert "skew=true" in _plan(doc)
+        led = document_ledger(t, 116001, 116031)
+        rows = led.collect()
+        assert sum(r.BRANCH == "DIFAL" for r in rows) == n and sum(r.BRANCH == "SALES_PIS" for r in rows) == n
+        for df in (doc, led):
+            assert "SinglePartition" not in _plan(df)
+            assert "REPARTITION" not in _plan(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-def test_month_selection_never_shuffles_the_fact(spark, tmp_dir):
-    import dataclasses
 
-    from balancete.plans.config import DEFAULT_CONFIG
-    from balancete.sources.erp import read_erp, write_erp
-    t = _docs(spark, [_line(1, 1, "SA"), _line(2, 1, "VR", FDBNOP="R", FDLITM="IT2")])
-    write_erp(t, tmp_dir)
-    t2 = read_erp(spark, tmp_dir)
-    lazy = dataclasses.replace(DEFAULT_CONFIG, materialize_documents=False)
-    doc = document_lines(t2, 116001, 116031, lazy)
-    plan = doc.df._jdf.queryExecution().executedPlan().toString()
-    assert "FileScan parquet [FDFCO" in plan          # the line fact is scanned here
-    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
-    assert plan.count("BroadcastHashJoin") >= 5   # header, nature, items, company, unit
-
-
-def test_large_path_detail_joins_shuffle_only_the_detail(spark, tmp_dir):
-    import dataclasses
-
-    from balancete.operators.documents import release_documents
-    from balancete.plans.config import DEFAULT_CONFIG
-    from balancete.sources.erp import read_erp, write_erp
-    td = {"TDBNNF": 1, "TDBSER": "1", "TDDCT": "NS", "TDN001": 1, "TDUKID": 1, "TDBRTX": "05", "TDBRTXA": 7}
-    t = _docs(spark, [_line(1, 1, "SA", FDNXTR="999")], F76B011=[td])
-    write_erp(t, tmp_dir)
-    t2 = read_erp(spark, tmp_dir)
-    large = dataclasses.replace(DEFAULT_CONFIG, header_broadcast_max_rows=0)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")      # keep the planned join
+def test_building_document_lines_runs_no_job_over_the_facts(spark, tmp_dir):
+    t = _bundle(spark, tmp_dir, [_line(1, 1, "SA")])
+    document_lines(t, 116001, 116031)                # dimension checks of the bundle run here, once
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "build-only")
     try:
-        lines = document_lines(t2, 116001, 116031, large)
-        out = tax_code_lines(lines, t2, large)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert out.count() == 1
+        document_lines(t, 116001, 116031)
+        assert list(tracker.getJobIdsForGroup("build-only")) == []
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-        release_documents(t2)
-    # Exchanges the planner adds for the detail join (the cached plan's own
-    # REPARTITION_BY_NUM exchanges on the document number are printed too):
-    # only the tax detail is shuffled, on the document number; the persisted
-    # lines keep their partitioning.
-    added = [ln.strip() for ln in plan.splitlines()
-             if "Exchange hashpartitioning" in ln and "ENSURE_REQUIREMENTS" in ln]
-    assert len(added) == 1 and "hashpartitioning(TDBNNF" in added[0]
-    assert "InMemoryTableScan" in plan
+        spark.sparkContext._jsc.clearJobGroup()
