@@ -83,8 +83,8 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         F.rtrim("DPBNOP").alias("_N_BNOP"), F.rtrim("DPBSOP").alias("_N_BSOP"),
         F.rtrim("DPFCO").alias("_N_FCO"), F.col("DPBRNOP").alias("CFOP"))
     nstat = cached_stats(tables, "F76B200").get((), (0, 0))
-    nature = checked(nature, ["_N_BNOP", "_N_BSOP", "_N_FCO"], nstat, max_rows=cfg.broadcast_max_rows,
-                     unique=cfg.require_unique_lookups, name="F76B200", dedupe=False)
+    nature = checked(nature, ["_N_BNOP", "_N_BSOP", "_N_FCO"], nstat, max_bytes=cfg.broadcast_max_bytes,
+                     unique=cfg.require_unique_masters, name="F76B200", dedupe=False)
     base = base.join(nature, (F.rtrim("FDBNOP") == F.col("_N_BNOP"))
                      & (F.rtrim("FDBSOP") == F.col("_N_BSOP"))
                      & (F.rtrim("FDFCO") == F.col("_N_FCO")), "inner")
@@ -96,8 +96,8 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         tables, cfg, filter_lines=True, dedupe=not cfg.materialize_dimensions).withColumn(
         "_I_KEY", F.rtrim("IMLITM"))
     items = materialized(tables, ("items", cfg), build) if cfg.materialize_dimensions else build()
-    items = checked(items, ["_I_KEY"], istat, max_rows=cfg.broadcast_max_rows,
-                    unique=cfg.require_unique_lookups, name="item dimension",
+    items = checked(items, ["_I_KEY"], istat, max_bytes=cfg.broadcast_max_bytes,
+                    unique=cfg.require_unique_masters, name="item dimension",
                     dedupe=not cfg.materialize_dimensions)
     base = base.join(items, F.rtrim("FDLITM") == F.col("_I_KEY"), "inner")
 

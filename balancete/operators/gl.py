@@ -75,8 +75,8 @@ def _checked_accounts(tables, cfg: LedgerConfig) -> DataFrame:
     build = lambda: account_dimension(
         tables, cfg, dedupe=not cfg.materialize_dimensions).where(gl_exclusion(cfg))
     dim = materialized(tables, ("accounts", cfg), build) if cfg.materialize_dimensions else build()
-    return checked(dim, ["GMAID"], stat, max_rows=cfg.broadcast_max_rows,
-                   unique=cfg.require_unique_lookups, name="account dimension",
+    return checked(dim, ["GMAID"], stat, max_bytes=cfg.broadcast_max_bytes,
+                   unique=cfg.require_unique_masters, name="account dimension",
                    dedupe=not cfg.materialize_dimensions)
 
 

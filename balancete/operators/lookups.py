@@ -2,7 +2,8 @@
 
 Every lookup side is *checked* before it is broadcast: one small aggregate
 action counts its rows and its largest key multiplicity. A side above
-``max_rows`` is left to the planner (sort-merge join); a duplicate key raises,
+``max_bytes`` (rows times the width of a row) is left to the planner (sort-merge
+join); a duplicate key of a code lookup raises,
 because the older query form (a scalar subquery) fails on duplicates while
 a plain left join would silently multiply ledger rows (SURVEY J2/J12).
 After the check the side is de-duplicated on its key, which is a no-op on
@@ -17,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType, StructType
 
 from ..session import checkpoint
 
@@ -95,13 +97,21 @@ def materialized(tables, key, build) -> DataFrame:
     return tables.derived[key]
 
 
-def checked(df: DataFrame, keys: Sequence[str], stat: tuple, *, max_rows: int,
+def row_width(schema: StructType) -> int:
+    """Bytes of a row in a broadcast relation; text counts as 64 bytes a column."""
+    return 32 + sum(64 if isinstance(f.dataType, StringType) else 24 if isinstance(f.dataType, DecimalType) else 8
+                    for f in schema.fields)
+
+
+def checked(df: DataFrame, keys: Sequence[str], stat: tuple, *, max_bytes: int,
             unique: bool, name: str, dedupe: bool = True) -> DataFrame:
     """Apply a size/uniqueness verdict to a lookup side.
 
-    A duplicate key raises; a unique side is de-duplicated on its key (a
+    A duplicate key raises if ``unique`` asks for it (code lookups: the older
+    form is a scalar subquery) and otherwise multiplies rows, as the source's
+    joins do; a side whose keys are unique is de-duplicated on its key (a
     no-op on the data that lets Catalyst drop unused left joins); a side of
-    at most ``max_rows`` rows is broadcast, a larger one is left to the
+    at most ``max_bytes`` bytes is broadcast, a larger one is left to the
     planner (sort-merge join).
     """
     rows, maxdup = stat
@@ -112,16 +122,16 @@ def checked(df: DataFrame, keys: Sequence[str], stat: tuple, *, max_rows: int,
     for k in keys[1:]:
         not_null = not_null & F.col(k).isNotNull()
     df = df.where(not_null)
-    if unique and dedupe:
+    if maxdup <= 1 and dedupe:
         df = df.dropDuplicates(list(keys))
-    return F.broadcast(df) if rows <= max_rows else df
+    return F.broadcast(df) if rows * row_width(df.schema) <= max_bytes else df
 
 
-def checked_lookup(df: DataFrame, keys: Sequence[str], *, max_rows: int,
+def checked_lookup(df: DataFrame, keys: Sequence[str], *, max_bytes: int,
                    unique: bool = True, name: str = "lookup") -> DataFrame:
     """Check a lookup side with its own small job, then apply ``checked``."""
     stat = key_stats(df, [F.col(k) for k in keys]).get((), (0, 0))
-    return checked(df, keys, stat, max_rows=max_rows, unique=unique, name=name)
+    return checked(df, keys, stat, max_bytes=max_bytes, unique=unique, name=name)
 
 
 def code_lookup(df: DataFrame, key: Column, system: str, rec_type: str, out: str, *,
@@ -137,7 +147,7 @@ def code_lookup(df: DataFrame, key: Column, system: str, rec_type: str, out: str
     lk = (codes.where(code_eq("DRSY", system) & code_eq("DRRT", rec_type))
           .select(blank_key("DRKY").alias(kname), F.col(value_col).alias(out)))
     stat = code_table_stats(tables).get((system, rec_type), (0, 0))
-    lk = checked(lk, [kname], stat, max_rows=cfg.broadcast_max_rows,
+    lk = checked(lk, [kname], stat, max_bytes=cfg.broadcast_max_bytes,
                  unique=cfg.require_unique_lookups, name=f"F0005[{system},{rec_type}]", dedupe=dedupe)
     return df.join(lk, blank_key(key) == F.col(kname), how).drop(kname)
 
@@ -184,8 +194,8 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
     """
     u = units(tables).select(F.rtrim("MCMCU").alias("_U_MCMCU"), "*").drop("MCMCU")
     stat = cached_stats(tables, "F0006 unit").get((), (0, 0))
-    u = checked(u, ["_U_MCMCU"], stat, max_rows=cfg.broadcast_max_rows,
-                unique=cfg.require_unique_lookups, name="F0006", dedupe=False)
+    u = checked(u, ["_U_MCMCU"], stat, max_bytes=cfg.broadcast_max_bytes,
+                unique=cfg.require_unique_masters, name="F0006", dedupe=False)
     # Untrimmed key: leading blanks matter, trailing padding does not.
     out = df.join(u, F.rtrim(unit_key) == F.col("_U_MCMCU"), "left").drop("_U_MCMCU")
     out = out.withColumn("CENTRO_CUSTO", F.coalesce(F.col("CENTRO_CUSTO"), F.lit(" ")))
@@ -193,8 +203,8 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
         parent = tables["F0006"].select(blank_key("MCMCU").alias("_P_KEY"),
                                         ocat(F.col("MCMCU"), " ", F.col("MCDL01")).alias("_P_LABEL"))
         pstat = cached_stats(tables, "F0006 parent").get((), (0, 0))
-        parent = checked(parent, ["_P_KEY"], pstat, max_rows=cfg.broadcast_max_rows,
-                         unique=cfg.require_unique_lookups, name="F0006 parent")
+        parent = checked(parent, ["_P_KEY"], pstat, max_bytes=cfg.broadcast_max_bytes,
+                         unique=cfg.require_unique_masters, name="F0006 parent")
         out = (out.join(parent, blank_key("MCRP04") == F.col("_P_KEY"), "left")
                .withColumn("FILIAL", otrim(F.coalesce(F.col("_P_LABEL"), F.lit(" "))))
                .drop("_P_KEY", "_P_LABEL"))
@@ -204,5 +214,5 @@ def center_hierarchy(df: DataFrame, tables, unit_key: str, cfg: LedgerConfig = D
 def companies(tables, cfg: LedgerConfig = DEFAULT_CONFIG) -> DataFrame:
     c = tables["F0010"].select(F.rtrim("CCCO").alias("_C_CCCO"), "CCNAME")
     stat = cached_stats(tables, "F0010").get((), (0, 0))
-    return checked(c, ["_C_CCCO"], stat, max_rows=cfg.broadcast_max_rows,
-                   unique=cfg.require_unique_lookups, name="F0010", dedupe=False)
+    return checked(c, ["_C_CCCO"], stat, max_bytes=cfg.broadcast_max_bytes,
+                   unique=cfg.require_unique_masters, name="F0010", dedupe=False)

@@ -427,15 +427,15 @@ def invoice_ctes() -> str:
     states = ", ".join(_q(s) for s in X.STATES)
     tp = "CAST(o_totalprice AS DECIMAL(18,2))"
     return f"""li_rn AS (
-    SELECT *, CAST((row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
-                   l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag) - 1) // {X.MAX_ITEMS_PER_DOCUMENT}
-                   AS INTEGER) AS chunk
-    FROM lineitem),
+    SELECT *, CAST((rn - 1) // {X.MAX_ITEMS_PER_DOCUMENT} AS INTEGER) AS chunk
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                 l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag) AS rn FROM lineitem)),
 inv_docs AS (
     SELECT o.*, COALESCE(c.chunk, 0) AS chunk
     FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, chunk FROM li_rn) c ON o.o_orderkey = c.l_orderkey),
 inv_hdr AS (
-    SELECT o_orderkey, chunk, o_orderkey % 29 = 0 AS is_foreign, o_orderkey % 23 = 0 AS is_cut,
+    SELECT o_orderkey, chunk, (o_orderkey % 29 = 0 OR o_orderkey % 41 = 0) AS is_foreign,
+           (o_orderkey % 23 = 0 OR o_orderkey % 43 = 0 OR o_orderkey % 47 = 0) AS is_cut,
            'nfe_' || CAST(o_orderkey AS VARCHAR) || '_' || CAST(chunk AS VARCHAR) || '.xml' AS source_file,
            {_zpad('o_orderkey', X.KEY_WIDTH)} AS chNFe,
            CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
@@ -456,7 +456,7 @@ inv_hdr AS (
            {_money_txt(f'{tp} * 0.0165')} AS vPIS, {_money_txt(f'{tp} * 0.076')} AS vCOFINS
     FROM inv_docs),
 inv_items AS (
-    SELECT l_orderkey, chunk, CAST(l_linenumber AS VARCHAR) AS nItem, {_zpad('l_partkey', 6)} AS cProd,
+    SELECT l_orderkey, chunk, rn, CAST(l_linenumber AS VARCHAR) AS nItem, {_zpad('l_partkey', 6)} AS cProd,
            'PRODUTO ' || CAST(l_partkey AS VARCHAR)
                || CASE WHEN l_partkey % 50 = 0 THEN '; "ESPECIAL" & CIA' ELSE '' END AS xProd,
            {_q(X.NCM)} AS NCM, CASE WHEN l_returnflag = 'R' THEN '1202' ELSE '5102' END AS CFOP, 'UN' AS uCom,
@@ -481,9 +481,16 @@ def notas_sql() -> str:
     return _with(invoice_ctes()) + f"\nSELECT {cols} FROM inv_hdr WHERE NOT is_cut"
 
 
-def itens_sql() -> str:
+def itens_order_sql() -> str:
+    return _with(invoice_ctes()) + """
+SELECT h.source_file, i.nItem, row_number() OVER (ORDER BY h.source_file, i.rn) AS position
+FROM inv_hdr h JOIN inv_items i ON i.l_orderkey = h.o_orderkey AND i.chunk = h.chunk
+WHERE NOT h.is_cut AND NOT h.is_foreign"""
+
+
+def itens_sql(product: str = "xProd") -> str:
     hcols = ", ".join(f"h.{c}" for c in NOTAS_FIELDS)
-    icols = ", ".join(f"i.{c}" for c in ITEM_FIELDS)
+    icols = ", ".join(f"{product} AS xProd" if c == "xProd" else f"i.{c}" for c in ITEM_FIELDS)
     return _with(invoice_ctes()) + f"""
 SELECT {hcols}, {icols}, h.source_file
 FROM inv_hdr h JOIN inv_items i ON i.l_orderkey = h.o_orderkey AND i.chunk = h.chunk

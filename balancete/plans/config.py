@@ -53,10 +53,13 @@ class LedgerConfig:
     # --- end of fixed values ------------------------------------------------
 
     # Engineering knobs (not part of the source semantics)
-    # Largest side (rows) broadcast after a checked count; about 50-100 MB for
-    # the narrow key/label rows involved. Larger sides use shuffle joins.
-    broadcast_max_rows: int = 1_000_000
-    require_unique_lookups: bool = True
+    # Largest side broadcast after a checked count (counted rows times the width
+    # of a row, see operators.lookups.row_width). Larger sides use shuffle joins.
+    broadcast_max_bytes: int = 64 << 20
+    require_unique_lookups: bool = True    # code table: a duplicate key raises
+    # Master tables (accounts, units, companies, items, natures): the source joins
+    # them, so a duplicate key multiplies rows; True raises instead.
+    require_unique_masters: bool = False
     # document_ledger writes its document lines once to spark.checkpoint.dir
     # (one fact scan for its three consumers, lineage cut for executor loss).
     materialize_documents: bool = True

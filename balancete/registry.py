@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,10 +24,13 @@ from .plans.ledger import (STATEMENT_COLUMNS, conform, income_statement, ledger_
                            ledger_from_journal, release_documents)
 from .plans.params import DetailParams, PeriodParams
 from .operators.invoices import ITENS_COLUMNS, itens, notas, quarantine
-from .session import shared_scratch_path
+from .plans.positions import with_position
+from .session import remove_shared, shared_scratch_path
 from .sources.csv_sink import read_csv_strings, write_csv
 from .sources.invoice_standins import invoice_documents
-from .sources.invoices import parse_invoices
+from .sources.erp import read_erp, write_erp
+from .sources.invoices import parse_invoices, read_invoices
+from .sources.schemas import ERP_SCHEMAS
 from .sources.standins import build_standins
 
 # Parameters of the registered queries: one month (the source query's shape),
@@ -192,13 +196,72 @@ def q_xml_quarantine(spark, sf):
     return quarantine(_parsed_invoices(spark, sf)).select("source_file")
 
 
+def _scratch(spark, name):
+    """A shared folder for what a query writes and reads back; the one of the query's last
+    call is removed."""
+    old = _SCRATCH.pop(name, None)
+    if old and old[0] == spark.sparkContext.applicationId:
+        remove_shared(spark, old[1])
+    path = shared_scratch_path(spark, name)
+    _SCRATCH[name] = (spark.sparkContext.applicationId, path)
+    return path
+
+
+_SCRATCH: dict = {}
+
+
 def q_csv_roundtrip(spark, sf):
-    """Items written with the reference's CSV dialect to the shared folder, read back."""
-    path = shared_scratch_path(spark, "csv_roundtrip")
-    write_csv(itens(_parsed_invoices(spark, sf)), path)
+    """Items written with the reference's CSV dialect to the shared folder, read back; every
+    product text has a line feed and a quote added before."""
+    path = _scratch(spark, "csv_roundtrip")
+    rows = itens(_parsed_invoices(spark, sf))
+    write_csv(rows.withColumn("xProd", F.concat("xProd", F.lit('\n"'), "cProd")), path)
     return read_csv_strings(spark, path, ITENS_COLUMNS)
 
 
+def q_csv_zero_rows(spark, sf):
+    """An output without rows has no header line either (items of unreadable documents)."""
+    path = _scratch(spark, "csv_zero_rows")
+    parsed = _parsed_invoices(spark, sf)
+    write_csv(itens(parsed.where(F.col("malformed"))), path)
+    return spark.read.text(path).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
+def q_xml_folder(spark, sf):
+    """One file per document, read back as a folder."""
+    path = _scratch(spark, "xml_folder")
+    docs = _INVOICE_SOURCES.get((id(spark), sf))
+    docs = docs if docs is not None else invoice_documents(spark, sf)
+    docs.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return notas(read_invoices(spark, path, glob="*.txt"))
+
+
+def q_xml_itens_order(spark, sf):
+    """O2: the reference's file order, as a position."""
+    return with_position(itens(_parsed_invoices(spark, sf), ordered=True), "position").select(
+        "source_file", "nItem", "position")
+
+
+def q_erp_scan(spark, sf):
+    """All twelve tables written as Parquet and read with their schemas; the account
+    master with its padding, and the rows of every table."""
+    path = _scratch(spark, "erp")
+    write_erp(build_standins(spark, sf), path)
+    t = read_erp(spark, path)
+    counts = reduce(lambda a, b: a.unionByName(b), [
+        t[n].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(n).alias("name"), "n_rows") for n in sorted(t.tables)])
+    labels = t["F0901"].select(F.concat(F.lit("F0901 "), "GMAID", F.lit("|"), "GMOBJ", F.lit("|"), "GMDL01", F.lit("|")).alias("name"),
+                               F.lit(1).cast("long").alias("n_rows"))
+    return counts.unionByName(labels)
+
+
+def q_dre_order(spark, sf):
+    """O1: the place of each account in the sorted statement (its first row's position)."""
+    dre = income_statement(ledger_for_period(tables_for(spark, sf), RANGE, columns=STATEMENT_COLUMNS), RANGE)
+    return with_position(dre, "position").groupBy("CONTA", "CONTA_I", "CONTA_ESTRUTURA").agg(
+        F.min("position").alias("position"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "julian_codec": q_julian_codec,
     "trimmed_lookup": q_trimmed_lookup,
@@ -224,6 +287,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_itens": q_xml_itens,
     "xml_quarantine": q_xml_quarantine,
     "csv_roundtrip": q_csv_roundtrip,
+    "csv_zero_rows": q_csv_zero_rows,
+    "xml_folder": q_xml_folder,
+    "xml_itens_order": q_xml_itens_order,
+    "erp_scan": q_erp_scan,
+    "dre_order": q_dre_order,
 }
 
 
@@ -320,5 +388,16 @@ FROM f0006 f
     out["xml_notas"] = O.notas_sql()
     out["xml_itens"] = O.itens_sql()
     out["xml_quarantine"] = O.quarantine_sql()
-    out["csv_roundtrip"] = O.itens_sql()
+    out["csv_roundtrip"] = O.itens_sql("xProd || chr(10) || '\"' || cProd")
+    out["csv_zero_rows"] = f"SELECT count(*) AS n_lines FROM ({O.itens_sql()}) WHERE source_file IN ({O.quarantine_sql()})"
+    out["xml_folder"] = O.notas_sql()
+    out["xml_itens_order"] = O.itens_order_sql()
+    tables = " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n_rows FROM {n.lower()}" for n in sorted(ERP_SCHEMAS))
+    out["erp_scan"] = O._with(st) + f"""
+{tables} UNION ALL
+SELECT 'F0901 ' || GMAID || '|' || GMOBJ || '|' || GMDL01 || '|', 1 FROM f0901"""
+    out["dre_order"] = f"""
+SELECT CONTA, CONTA_I, CONTA_ESTRUTURA, min(position) AS position FROM (
+  SELECT *, row_number() OVER (ORDER BY CONTA NULLS LAST, CONTA_I NULLS LAST, CONTA_ESTRUTURA NULLS LAST) AS position
+  FROM ({_dre_sql(RANGE)})) GROUP BY 1, 2, 3"""
     return out

@@ -1,38 +1,57 @@
 """Semicolon CSV sink with the reference's dialect.
 
-``;`` separator, UTF-8, header, minimal quoting with quotes doubled, CRLF
-line ends, blanks kept as they are. Output is a directory of part files
-written in parallel; ``single_file=True`` coalesces to one part when a
-caller really needs a single file (a deliberate single-task write).
+``;`` separator, UTF-8, header, minimal quoting with quotes doubled, CRLF line
+ends, blanks and line feeds inside values kept as they are. Output is a directory
+of part files written in parallel, each with the header; ``single_file=True``
+shuffles the finished lines into one part (a deliberate single-task write; the work
+before it stays parallel).
+
+The lines are built as text: Spark's CSV writer would turn a line feed inside a value
+into the record separator.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-WRITE_OPTIONS = {
-    "sep": ";", "header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
-    "emptyValue": "", "nullValue": "", "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false", "lineSep": "\r\n",
-}
 READ_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
                 "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
                 "ignoreTrailingWhiteSpace": "false", "lineSep": "\r\n"}
+_ROW_IN_PARTITION = (1 << 33) - 1  # the low bits of monotonically_increasing_id
 
 
-def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str = "overwrite",
-              blank_when_empty: bool = True) -> None:
-    """Write ``df``; with no rows the output holds no header either.
+def _field(c: Column, alone: bool) -> Column:
+    """A value as the csv module writes it with minimal quoting."""
+    v = F.coalesce(c.cast("string"), F.lit(""))
+    quoted = F.concat(F.lit('"'), F.replace(v, F.lit('"'), F.lit('""')), F.lit('"'))
+    needs = v.rlike('[;"\r\n]')
+    return F.when(needs | (v == "") if alone else needs, quoted).otherwise(v)
 
-    The emptiness probe is a ``limit 1`` job that stops at the first row.
+
+def csv_lines(df: DataFrame) -> DataFrame:
+    """One column ``value``: the record of each row, without its line end."""
+    alone = len(df.columns) == 1
+    return df.select(F.concat_ws(";", *[_field(F.col(f"`{c}`"), alone) for c in df.columns]).alias("value"))
+
+
+def csv_header(columns: list[str]) -> str:
+    return ";".join('"' + c.replace('"', '""') + '"' if any(x in c for x in ';"\r\n') else c for c in columns)
+
+
+def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str = "overwrite") -> None:
+    """Write ``df`` in one pass; with no rows the output holds no header either.
+
+    The header goes before the first row of each part, so an empty result has none.
     """
-    if blank_when_empty and df.isEmpty():
-        df.sparkSession.createDataFrame([], "value string").coalesce(1).write.mode(mode).text(path)
-        return
-    out = df.coalesce(1) if single_file else df
-    out.write.mode(mode).options(**WRITE_OPTIONS).csv(path)
+    lines = csv_lines(df)
+    if single_file:
+        lines = lines.repartition(1)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION)) == 0
+    header = F.lit(csv_header(df.columns) + "\r\n")
+    lines = lines.select(F.when(first, F.concat(header, F.col("value"))).otherwise(F.col("value")).alias("value"))
+    lines.write.mode(mode).option("lineSep", "\r\n").text(path)
 
 
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

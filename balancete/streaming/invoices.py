@@ -21,9 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.invoices import itens, notas, quarantine
-from ..sources.csv_sink import WRITE_OPTIONS
-from ..sources.invoices import parse_invoices
+from ..plans.invoices import write_invoices
 
 
 def invoice_file_stream(spark: SparkSession, in_dir: str, *, glob: str = "*.xml",
@@ -40,14 +38,7 @@ def invoice_file_stream(spark: SparkSession, in_dir: str, *, glob: str = "*.xml"
 
 def _write_batch(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_invoices(batch).persist()
-        try:
-            for name, df in (("itens", itens(parsed)), ("notas", notas(parsed)),
-                             ("quarantine", quarantine(parsed))):
-                (df.write.mode("overwrite").options(**WRITE_OPTIONS)
-                 .csv(f"{out_dir.rstrip('/')}/{name}/batch_id={batch_id}"))
-        finally:
-            parsed.unpersist()
+        write_invoices(batch, out_dir, f"/batch_id={batch_id}")
     return write
 
 

@@ -55,3 +55,54 @@ def test_blank_and_null_rules(spark):
     assert r.t is None and r.sp == " " and r.empty is None
     assert r.fit == "a" * 30 and r.eq is True
     assert r.null_passes is True and r.blank_fails is None
+
+
+def test_rates_keep_their_digits(spark):
+    from balancete.functions import apply_rate
+    df = spark.createDataFrame([(1, "33,3333333333", Decimal("100000000.00")), (2, "1234567", Decimal("2.50")), (3, "12345678901234.123456789012%", Decimal("-1.00")),
+                                (4, "0,00005", Decimal("1.00")), (5, "99.99995", Decimal("0.01"))], "i int, s string, a decimal(20,2)")
+    got = {r.i: (r.p, r.v) for r in df.select("i", parse_percent("s").alias("p"), apply_rate("a", parse_percent("s")).alias("v")).collect()}
+    import decimal
+    ctx = decimal.Context(prec=80, rounding=decimal.ROUND_HALF_UP)
+    for i, text, a in [(r.i, r.s, r.a) for r in df.collect()]:
+        rate = Decimal(text.strip("%").replace(",", "."))
+        assert got[i][0] == rate
+        assert got[i][1] == ctx.multiply(ctx.multiply(a, rate), Decimal("0.01")).quantize(Decimal("0.0001"), context=ctx)
+
+
+def test_a_range_that_starts_mid_month_holds_that_month():
+    assert PeriodParams(dt.date(2016, 1, 15), dt.date(2016, 3, 1)).months() == [(2016, 1), (2016, 2)]
+    assert PeriodParams(dt.date(2016, 12, 31), dt.date(2017, 1, 2)).months() == [(2016, 12), (2017, 1)]
+
+
+def test_shared_folder_is_required_on_a_cluster(spark, monkeypatch):
+    import pytest
+
+    from balancete import session
+
+    class Context:
+        master, applicationId = "spark://host:7077", "app"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
+
+
+def test_remove_shared(spark):
+    import os
+
+    from balancete.session import remove_shared, shared_scratch_path
+    path = shared_scratch_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    remove_shared(spark, path)
+    assert not os.path.exists(path.removeprefix("file:"))

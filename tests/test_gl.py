@@ -106,12 +106,17 @@ def test_gl_detail_posted_only_and_truncation(spark):
         ("7", Decimal("-12.34"), "1.2", "x" * 30, dt.date(2021, 1, 5))
 
 
-def test_duplicate_account_id_raises(spark):
+def test_duplicate_account_id_multiplies_as_the_join_does(spark):
+    import dataclasses
+
     import pytest
 
     from balancete.operators.lookups import DuplicateLookupKey
-    t = _world(spark, [(None, None)])
-    dup = [r.asDict() for r in t["F0901"].collect()] * 2
-    t2 = _world(spark, [(None, None)], F0901=dup)
+    from balancete.plans.config import DEFAULT_CONFIG
+    once = _world(spark, [(None, None)])
+    dup = [r.asDict() for r in once["F0901"].collect()] * 2
+    t = _world(spark, [(None, None)], F0901=dup)
+    assert gl_balance(t, P).count() == 2 * gl_balance(once, P).count() > 0
+    strict = dataclasses.replace(DEFAULT_CONFIG, require_unique_masters=True)
     with pytest.raises(DuplicateLookupKey):
-        gl_balance(t2, P)
+        gl_balance(_world(spark, [(None, None)], F0901=dup), P, strict)

@@ -70,3 +70,83 @@ def test_latin1_with_declaration(spark, tmp_dir):
     _write(tmp_dir, "latin.xml", doc, enc="latin-1")
     parsed = parse_invoices(read_invoice_files(spark, tmp_dir, encoding="auto"))
     assert [r.natOp for r in notas(parsed).collect()] == ["DEVOLUÇÃO"]
+
+
+NFE = "http://www.portalfiscal.inf.br/nfe"
+ONE = '<infNFe Id="NFeX{n}"><ide><nNF>{n}</nNF></ide><det nItem="1"><prod><cProd>c{n}</cProd></prod></det></infNFe>'
+
+# name -> (document, nNF of the notas row or None if malformed, number of items)
+SHAPES = {
+    "deep": (f'<a xmlns="{NFE}"><b><nfeProc><NFe>{ONE.format(n=1)}</NFe></nfeProc></b></a>', "1", 1),
+    "deeper_protocol": (f'<e xmlns="{NFE}"><x><NFe>{ONE.format(n=2)}</NFe><protNFe><infProt><chNFe>CH</chNFe></infProt></protNFe></x></e>', "2", 1),
+    "first_leaf": (f'<NFe xmlns="{NFE}">{ONE.format(n=3).replace("<nNF>3</nNF>", "<nNF>3</nNF><nNF>LAST</nNF>")}</NFe>', "3", 1),
+    "first_leaf_empty": (f'<NFe xmlns="{NFE}">{ONE.format(n=4).replace("<nNF>4</nNF>", "<nNF/><nNF>LAST</nNF>")}</NFe>', "", 1),
+    "other_namespace": (f'<NFe xmlns="urn:other">{ONE.format(n=5)}</NFe>', "", 0),
+    "no_namespace": (f'<NFe>{ONE.format(n=6)}</NFe>', "", 0),
+    "prefix_of_other": (f'<n:NFe xmlns:n="urn:other" xmlns="{NFE}">' + ONE.format(n=7).replace("<", "<n:").replace("<n:/", "</n:") + "</n:NFe>", "", 0),
+    "inner_namespace": (f'<env><NFe xmlns="{NFE}">{ONE.format(n=8)}</NFe></env>', "8", 1),
+    "trailing_text": (f'<NFe xmlns="{NFE}">{ONE.format(n=9)}</NFe>junk', None, 0),
+    "trailing_comment": (f'<?xml version="1.0"?><!-- a --><NFe xmlns="{NFE}">{ONE.format(n=10)}</NFe><!-- <b> --><?pi x?>\n', "10", 1),
+    "second_root": (f'<NFe xmlns="{NFE}">{ONE.format(n=11)}</NFe><x/>', None, 0),
+    "second_same_root": (f'<NFe xmlns="{NFE}">{ONE.format(n=12)}</NFe><NFe xmlns="{NFE}"/>', None, 0),
+    "nested_same_name": ("<a><a><b/></a><c/></a>", "", 0),
+    "self_closed_root": (f'<NFe xmlns="{NFE}"/>', "", 0),
+    "leading_text": (f'junk<NFe xmlns="{NFE}">{ONE.format(n=13)}</NFe>', None, 0),
+    "commented_out": (f'<NFe xmlns="{NFE}"><!-- {ONE.format(n=14)} -->{ONE.format(n=15)}</NFe>', "15", 1),
+    "empty_invoice": (f'<NFe xmlns="{NFE}"><infNFe Id="NFeE"/></NFe>', "", 0),
+}
+
+
+def test_answers_of_a_tree_parser(spark):
+    """Each shape against Python's own tree parser, with the lookups of the source."""
+    import xml.etree.ElementTree as ET
+    ns = {"n": NFE}
+    df = spark.createDataFrame([(f"d/{k}.xml", f"{k}.xml", v[0]) for k, v in SHAPES.items()], "source_path string, source_file string, value string")
+    parsed = parse_invoices(df)
+    got = {r.source_file: r for r in parsed.selectExpr("source_file", "malformed", "header.ide[0].nNF[0] AS n", "size(inf.det) AS items",
+                                                         "prot.infProt[0].chNFe[0] AS ch").collect()}
+    for name, (doc, nnf, items) in SHAPES.items():
+        r = got[f"{name}.xml"]
+        try:
+            root = ET.fromstring(doc)
+        except ET.ParseError:
+            assert nnf is None and r.malformed, name
+            continue
+        inf = root.find(".//n:infNFe", ns)
+        text = inf.findtext("n:ide/n:nNF", "", ns) if inf is not None else ""
+        assert not r.malformed and (r.n or "") == (text or "") == nnf, name
+        assert max(r["items"] or 0, 0) == (len(inf.findall("n:det", ns)) if inf is not None else 0) == items, name
+        assert (r.ch or "") == root.findtext(".//n:protNFe/n:infProt/n:chNFe", "", ns), name
+    assert {r.source_file for r in quarantine(parsed).collect()} == {f"{k}.xml" for k, v in SHAPES.items() if v[1] is None}
+    assert notas(parsed).count() == sum(v[1] is not None for v in SHAPES.values())
+    assert itens(parsed).count() == sum(v[2] for v in SHAPES.values())
+
+
+def test_single_file_by_uri_and_folder_by_uri(spark, tmp_dir):
+    _write(tmp_dir, "one.txt", f'<NFe {NS}>{_inf("K9", 9, dets=1)}</NFe>')
+    _write(tmp_dir, "two.xml", f'<NFe {NS}>{_inf("K8", 8, dets=1)}</NFe>')
+    for encoding in ("UTF-8", "auto"):
+        one = parse_invoices(read_invoice_files(spark, f"file://{tmp_dir}/one.txt", encoding=encoding))
+        assert [r.nNF for r in notas(one).collect()] == ["9"]
+        folder = parse_invoices(read_invoice_files(spark, f"file://{tmp_dir}", encoding=encoding))
+        assert [r.nNF for r in notas(folder).collect()] == ["8"]
+
+
+def test_notas_does_not_parse_items(spark, tmp_dir):
+    _write(tmp_dir, "one.xml", f'<NFe {NS}>{_inf("K9", 9, dets=1)}</NFe>')
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    plan = notas(parse_invoices(read_invoice_files(spark, tmp_dir)))._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "StructField(det" not in plan and "cProd" not in plan
+
+
+def test_convert_folder_writes_the_three_outputs(spark, tmp_dir):
+    from balancete.plans.invoices import convert_folder
+    from balancete.sources.csv_sink import read_csv_strings
+    src, out = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "out")
+    _folder(src)
+    convert_folder(spark, src, out)
+    parsed = parse_invoices(read_invoice_files(spark, src))
+    for name, df in (("itens", itens(parsed)), ("notas", notas(parsed)), ("quarantine", quarantine(parsed))):
+        back = read_csv_strings(spark, os.path.join(out, name), df.columns).collect()
+        assert sorted(map(tuple, back)) == sorted(tuple("" if v is None else str(v) for v in r) for r in df.collect())

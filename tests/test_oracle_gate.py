@@ -26,9 +26,10 @@ def _rows(cols, rows):
     return sorted("|".join(_norm(r[i]) for i in order) for r in rows)
 
 
-import __spark_entry__ as E  # noqa: E402
+import __spark_entry__ as E
+from balancete import registry  # noqa: E402
 
-NAMES = sorted(E.queries())
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -46,4 +47,4 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns[0] == "COMPETENCIA"
-    assert df.count() >= 0
+    assert df.count() > 0
