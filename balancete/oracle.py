@@ -427,7 +427,7 @@ def invoice_ctes() -> str:
     states = ", ".join(_q(s) for s in X.STATES)
     tp = "CAST(o_totalprice AS DECIMAL(18,2))"
     return f"""li_rn AS (
-    SELECT *, CAST((rn - 1) // {X.MAX_ITEMS_PER_DOCUMENT} AS INTEGER) AS chunk
+    SELECT *, CAST((l_linenumber - 1) // {X.MAX_ITEMS_PER_DOCUMENT} AS INTEGER) AS chunk
     FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
                  l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag) AS rn FROM lineitem)),
 inv_docs AS (
