@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ SPACES = " \t\n\x0b\f\r"
 SPACES_RE = r"[\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-__all__ = ["SPACES", "SPACES_RE", "ascii_lower", "checkpoint", "documents", "drop_lines",
+__all__ = ["SPACES", "SPACES_RE", "arrow_batches", "ascii_lower", "checkpoint", "documents", "drop_lines",
            "let", "prefix_sum", "replace_text", "split_lines", "split_words", "table", "text_hash"]
 
 
@@ -26,6 +27,19 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send ``rows`` rows at a time to Python in the jobs run inside, so that a worker and the
+    JVM hold a few MB of text each; the session's own setting is put back afterwards."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Bind ``value`` to a lambda variable, so that it is evaluated once however often
     ``body`` uses it (an expression inlined below a lambda would run per element)."""

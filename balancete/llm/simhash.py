@@ -33,15 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import checkpoint, text_hash
+from .common import arrow_batches, checkpoint, text_hash
 from .components import components
 
 SHINGLE = 3
 RADIUS = 3
 SEED = 42
 MAX_GROUP = 4096
+TEXTS_AT_ONCE = 500
 PARTS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))  # (first bit, bits)
-_STEP = 1 << 16
+_STEP = 1 << 13
+_LANES = 1 << 12  # compared at once; bounds the pairs held by a task to 64 times as many
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -139,14 +141,14 @@ def link(groups: list[np.ndarray], radius: int = RADIUS) -> list[tuple[int, int]
     pos = np.flatnonzero(filled)
     own = pos // 64
     last = np.repeat(first[1:], sizes)
-    for s in range(0, len(pos), 4096):
-        p, o, e = pos[s:s + 4096], own[s:s + 4096], last[s:s + 4096]
+    for s in range(0, len(pos), 1024):
+        p, o, e = pos[s:s + 1024], own[s:s + 1024], last[s:s + 1024]
         n = e - o
         lane = np.repeat(np.arange(len(p)), n)
         block = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(o, n)
         later = np.where(block == o[lane], ~np.uint64(0) << (p[lane] % 64).astype(np.uint64) << np.uint64(1), ~np.uint64(0))
-        for t in range(0, len(lane), 1 << 15):
-            k = slice(t, t + (1 << 15))
+        for t in range(0, len(lane), _LANES):
+            k = slice(t, t + _LANES)
             mask = valid[block[k]] & later[k]
             some = mask != 0
             q, bl = p[lane[k]][some], block[k][some]
@@ -183,7 +185,7 @@ def _link_partition(batches: Iterator[pa.RecordBatch], radius: int) -> Iterator[
             g = np.asarray(fps.values.to_numpy(zero_copy_only=False), dtype="<i8").view("<u8")
             groups.append(g)
             n += 64 * -(-len(g) // 64)
-            if n >= 1 << 18:
+            if n >= 1 << 16:
                 yield flush(groups)
                 groups, n = [], 0
         yield flush(groups)
@@ -240,7 +242,8 @@ def near_links(fps: DataFrame, radius: int = RADIUS, max_group: int = MAX_GROUP)
 def _clustered(df: DataFrame, id_col: str, text_col: str, shingle: int, radius: int,
                max_group: int) -> tuple[DataFrame, DataFrame]:
     """(_id, _th, fp) per row, and (_f, root, component_id, first) per distinct fingerprint."""
-    rows = checkpoint(fingerprints(df, id_col, text_col, shingle))
+    with arrow_batches(df.sparkSession, TEXTS_AT_ONCE):
+        rows = checkpoint(fingerprints(df, id_col, text_col, shingle))
     first = F.min(F.when(F.col("_id").isNotNull(), F.struct("_id", "_th")))
     nodes = checkpoint(rows.groupBy("fp").agg(first.alias("_first"), F.min("_th").alias("_any")))
     roots = components(near_links(nodes.select("fp"), radius, max_group))
