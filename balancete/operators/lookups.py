@@ -61,7 +61,6 @@ def key_stats(df: DataFrame, keys: Sequence[Column], group: Sequence[Column] = (
 # group columns). They are all computed together, in one job, the first time
 # any of them is needed for a table bundle.
 CHECKS = {
-    "F0005 slices": ("F0005", lambda: [blank_key("DRKY")], lambda: [F.rtrim("DRSY"), F.rtrim("DRRT")]),
     "F0006 unit": ("F0006", lambda: [F.rtrim("MCMCU")], lambda: []),
     "F0006 parent": ("F0006", lambda: [blank_key("MCMCU")], lambda: []),
     "F0010": ("F0010", lambda: [F.rtrim("CCCO")], lambda: []),
@@ -146,15 +145,30 @@ def code_lookup(df: DataFrame, key: Column, system: str, rec_type: str, out: str
     codes = tables["F0005"]
     lk = (codes.where(code_eq("DRSY", system) & code_eq("DRRT", rec_type))
           .select(blank_key("DRKY").alias(kname), F.col(value_col).alias(out)))
-    stat = code_table_stats(tables).get((system, rec_type), (0, 0))
+    stat = code_table_stats(tables, system, rec_type, cfg)
     lk = checked(lk, [kname], stat, max_bytes=cfg.broadcast_max_bytes,
                  unique=cfg.require_unique_lookups, name=f"F0005[{system},{rec_type}]", dedupe=dedupe)
     return df.join(lk, blank_key(key) == F.col(kname), how).drop(kname)
 
 
-def code_table_stats(tables) -> dict:
-    """Size and key uniqueness of every (system, record type) slice of F0005, one job."""
-    return cached_stats(tables, "F0005 slices")
+def _used_slices(cfg: LedgerConfig) -> set[tuple[str, str]]:
+    return {cfg.account_group_lookup, cfg.account_subgroup_lookup, cfg.rate_balloons_lookup, cfg.rate_multiuse_lookup,
+            *((cfg.item_category_system, rt) for rt in cfg.item_category_types)}
+
+
+def code_table_stats(tables, system: str, rec_type: str, cfg: LedgerConfig = DEFAULT_CONFIG) -> tuple:
+    """(rows, largest key multiplicity) of one (system, record type) slice of F0005.
+
+    The configured slices are checked together in one job, with the wanted one; the driver
+    gets a row per slice that is asked for, not per slice of the table.
+    """
+    found = tables.stats.setdefault("F0005 slices", {})
+    if (system, rec_type) not in found:
+        wanted = sorted((_used_slices(cfg) | {(system, rec_type)}) - set(found))
+        test = reduce(lambda a, b: a | b, [code_eq("DRSY", sy) & code_eq("DRRT", rt) for sy, rt in wanted])
+        got = key_stats(tables["F0005"].where(test), [blank_key("DRKY")], [F.rtrim("DRSY"), F.rtrim("DRRT")])
+        found.update({k: got.get(k, (0, 0)) for k in wanted})
+    return found[system, rec_type]
 
 
 def item_dimension(tables, cfg: LedgerConfig = DEFAULT_CONFIG, *, filter_lines: bool = True,

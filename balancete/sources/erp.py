@@ -12,7 +12,12 @@ from .schemas import ERP_SCHEMAS
 
 @dataclass
 class ErpTables:
-    """The twelve source tables, by ERP name (F0901, F7611B, ...)."""
+    """The twelve source tables, by ERP name (F0901, F7611B, ...).
+
+    Checks and dimensions are kept for the life of the bundle: after the Parquet below has
+    been rewritten, read a new bundle with ``read_erp``; after another table has been put
+    into ``tables``, call ``refresh``.
+    """
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
     # Results of size / key-uniqueness checks, computed once per table and key.
@@ -30,6 +35,12 @@ class ErpTables:
     def __contains__(self, name: str) -> bool:
         return name in self.tables
 
+    def refresh(self) -> None:
+        """Forget checks and dimensions; they are built again when they are needed."""
+        self.stats.clear()
+        for key in [k for k in self.derived if k != "_document_folders"]:
+            del self.derived[key]
+
     def with_tables(self, **more: DataFrame) -> "ErpTables":
         t = dict(self.tables)
         t.update(more)
