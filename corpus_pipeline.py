@@ -16,7 +16,7 @@ from balancete.llm.line_dedup import line_dedup_documents
 from balancete.llm.mixing import mix
 from balancete.llm.quality import quality_documents
 from balancete.llm.simhash import simhash_documents
-from balancete.session import shared_scratch_path
+from balancete.session import remove_shared, shared_scratch_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -59,11 +59,16 @@ ORACLE_SQL = None  # XXH64 fingerprints and components have no DuckDB equivalent
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir)
+    """All stages over ``documents``. What a stage has written goes once the next has read it;
+    the mix keeps only figures, which it has checkpointed when its DataFrame is there."""
+    docs, last = documents(spark, sf_dir), None
     for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            path = shared_scratch_path(spark, f"pipeline-{name}")
+        path = shared_scratch_path(spark, f"pipeline-{name}") if k < len(STAGES) - 1 else None
+        if path:
             docs.write.parquet(path)
             docs = spark.read.parquet(path)
+        if last:
+            remove_shared(spark, last)
+        last = path
     return docs
