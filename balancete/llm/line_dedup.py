@@ -41,11 +41,13 @@ def find_drops(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                min_chars: int = MIN_KEY_CHARS) -> DataFrame:
     """(_id, _th, _pos): per document the positions of the lines it loses."""
     rows = checkpoint(line_rows(df, id_col, text_col, min_chars))
-    shared = (rows.groupBy("_h1", "_h2")
-              .agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"),
-                   F.max(F.col("_id").isNull()).alias("_nulls"))
-              .where((F.col("_first") != F.col("_last")) | (F.col("_nulls") & F.col("_first").isNotNull()))
-              .select("_h1", "_h2", "_first"))
+    # Written out, so that the join below has an exchange of its own on either side and AQE
+    # can split a line that a large part of all documents holds.
+    shared = checkpoint(rows.groupBy("_h1", "_h2")
+                        .agg(F.min("_id").alias("_first"), F.max("_id").alias("_last"),
+                             F.max(F.col("_id").isNull()).alias("_nulls"))
+                        .where((F.col("_first") != F.col("_last")) | (F.col("_nulls") & F.col("_first").isNotNull()))
+                        .select("_h1", "_h2", "_first"))
     lost = rows.join(shared, ["_h1", "_h2"]).where(
         F.col("_id").isNull() | (F.col("_id") != F.col("_first")))
     return lost.groupBy("_id", "_th").agg(F.collect_set("_p").alias("_pos"))
