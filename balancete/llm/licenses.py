@@ -2,12 +2,13 @@
 inheritance from the nearest ancestor directory by path joins.
 
 * Vectors. Terms are lower-cased words; the weight is the count times
-  ln((1 + N) / (1 + df)) + 1 with df counted over all N documents. Only the templates' terms
-  are counted (a few hundred rows reach the driver); a term outside the templates can only
-  add to a text's norm and takes the weight of df = 0.
+  ln((1 + N) / (1 + df)) + 1 with df counted over all N documents, for every term. The
+  counts stay on the executors (the driver receives those of the templates' terms, a few
+  hundred rows): the other terms of the candidates are joined to them for the norms.
 * Candidates. Every line of every text (a header), and the whole text (a licence file). A
   segment without an anchor term is skipped without loss: anchors are chosen so that the
-  other terms of a template cannot reach the threshold together.
+  other terms of a template cannot reach the threshold together. Nor is one lost that stays
+  below the threshold even if its other terms had the least weight there is (1, df = N).
 * Inheritance. A licence file (a name such as LICENSE, or a whole text that matches) declares
   its licence for its directory; each directory takes that of its nearest ancestor, itself
   first. Directories, not documents, are exploded into ancestors and joined; the documents
@@ -59,6 +60,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "Proprietary": ("All rights reserved.", "Copyright. All rights reserved. Confidential and proprietary."),
 }
 THRESHOLD = 0.8
+MAX_TERMS = 1 << 17  # that a task counts before it hands them on
 LICENSE_FILE_RE = r"(?i)^(un)?licen[sc]e|^copying|^notice"
 _TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 
@@ -99,38 +101,83 @@ class Matcher:
                 found = (score, name)
         return found
 
-    def scan(self, text: str) -> tuple[tuple[float, str] | None, list[dict], tuple[float, str] | None]:
-        """(best header, headers as code point spans, whole text)."""
-        if not text or self.anchors.isdisjoint(terms(text)):
-            return None, [], None
-        headers, top, at = [], None, 0
+    def candidate(self, words: list[str]) -> dict | None:
+        """What the cosine needs of a segment that can reach the threshold: the nearest template
+        (whatever the norm is) and its product, the templates' part of the squared norm, and
+        the other terms."""
+        got = self.best(words)
+        if not got:
+            return None
+        bag = Counter(words)
+        v = {t: n * self.idf[t] for t, n in bag.items() if t in self.idf}
+        dot = max(sum(x * v[t] for t, x in u.items() if t in v) for name, u in self.vectors if name == got[1])
+        rest = [t for t in bag if t not in self.idf]
+        return {"license": got[1], "dot": dot, "known": sum(x * x for x in v.values()), "terms": rest, "counts": [bag[t] for t in rest]}
+
+    def scan(self, text: str) -> list[dict]:
+        """The candidates among the lines, as code point spans, and the whole text."""
+        words = terms(text)
+        if self.anchors.isdisjoint(words):
+            return []
+        found, at = [], 0
         for line in text.split("\n"):
-            got = self.best(terms(line))
+            got = self.candidate(terms(line))
             if got:
-                headers.append({"start": at, "end": at + len(line), "license": got[1], "score": round(got[0], 6)})
-                if top is None or got[0] > top[0] + 1e-12 or (abs(got[0] - top[0]) <= 1e-12 and got[1] < top[1]):
-                    top = got
+                found.append(got | {"start": at, "end": at + len(line), "whole": False})
             at += len(line) + 1
-        return top, headers, self.best(terms(text))
-
+        got = self.candidate(words)
+        return found + [got | {"start": 0, "end": len(text), "whole": True}] if got else found
 
-def fit(df: DataFrame, text_col: str) -> tuple[dict[str, float], float]:
-    """idf of the templates' terms over all documents."""
-    vocab = frozenset(t for texts in TEMPLATES.values() for x in texts for t in terms(x))
 
+def document_counts(df: DataFrame, text_col: str) -> DataFrame:
+    """(term, n): the documents that hold each term; under "" all documents."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
+                                              names=["term", "n"])
         seen: Counter = Counter()
         for b in batches:
             for t in b.column(0):
                 seen[""] += 1
-                seen.update(vocab.intersection(terms(t.as_py() or "")))
-        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())],
-                                         names=["term", "n"])
+                seen.update(set(terms(t.as_py() or "")))
+                if len(seen) > MAX_TERMS:
+                    yield flush()
+                    seen.clear()
+        yield flush()
+
+    return checkpoint(df.select(F.col(text_col).alias("t")).mapInArrow(count, "term string, n long")
+                      .groupBy("term").agg(F.sum("n").alias("n")))
 
-    got = {r.term: r.n for r in df.select(F.col(text_col).alias("t")).mapInArrow(count, "term string, n long")
-           .groupBy("term").agg(F.sum("n").alias("n")).collect()}
+
+def weights(counts: DataFrame) -> tuple[dict[str, float], float, int]:
+    """Weights of the templates' terms, that of a term in no document, number of documents."""
+    vocab = sorted({t for texts in TEMPLATES.values() for x in texts for t in terms(x)})
+    got = {r.term: r.n for r in counts.where(F.col("term").isin(["", *vocab])).collect()}
     n = got.get("", 0)
-    return {t: math.log((1 + n) / (1 + got.get(t, 0))) + 1 for t in vocab}, math.log(1 + n) + 1
+    return {t: math.log((1 + n) / (1 + got.get(t, 0))) + 1 for t in vocab}, math.log(1 + n) + 1, n
+
+
+def fit(df: DataFrame, text_col: str) -> tuple[dict[str, float], float]:
+    """idf of the templates' terms over all documents."""
+    return weights(document_counts(df, text_col))[:2]
+
+
+def _scored(rows: DataFrame, counts: DataFrame, n: int, threshold: float) -> DataFrame:
+    """(_r, headers, header, whole) of the rows with a segment at the threshold or above."""
+    segments = rows.select(F.col("_rid").alias("_r"), F.inline("segments"))
+    segment = ["_r", "start", "end", "whole", "license", "dot", "known"]
+    other = segments.select(*segment, F.explode_outer(F.arrays_zip("terms", "counts")).alias("x")) \
+        .select(*segment, F.col("x.terms").alias("_t"), F.col("x.counts").alias("_c"))
+    weight = F.log(F.lit(1.0 + n) / (F.col("n") + 1)) + 1
+    idf = counts.where(F.col("term") != "").select("term", weight.alias("idf"))
+    square = F.pow(F.col("_c") * F.col("idf"), F.lit(2))
+    found = other.join(idf, F.col("_t") == F.col("term"), "left").groupBy(*segment).agg(F.sum(square).alias("rest"))
+    score = F.round(F.col("dot") / F.sqrt(F.col("known") + F.coalesce("rest", F.lit(0.0))), 12)
+    found = found.withColumn("b", F.struct((-score).alias("s"), F.col("license").alias("l"))).where(F.col("b.s") <= -threshold)
+    line = F.when(~F.col("whole"), F.struct("start", "end", F.col("b.l").alias("license"), F.round(-F.col("b.s"), 6).alias("score")))
+    return found.groupBy("_r").agg(
+        F.array_sort(F.collect_list(line)).alias("headers"), F.min(F.when(~F.col("whole"), F.col("b"))).alias("header"),
+        F.min(F.when(F.col("whole"), F.col("b"))).alias("whole"))
 
 
 def ancestors(path: Column) -> Column:
@@ -144,23 +191,30 @@ def licenses(df: DataFrame, path: Column, id_col: str = "doc_id", text_col: str
              threshold: float = THRESHOLD) -> DataFrame:
     """Per row: id, path, header_license, header_score, headers (spans), file_license,
     license (own header, else inherited), inherited_from (the declaring directory)."""
-    idf, other = fit(df, text_col)
+    counts = document_counts(df, text_col)
+    idf, _, n = weights(counts)
     src = df.select(F.col(id_col).alias("_id"), path.alias("path"), F.col(text_col).alias("_text"))
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("license", pa.string()), ("score", pa.float64())]))
+    kind = pa.list_(pa.struct([
+        ("start", pa.int32()), ("end", pa.int32()), ("whole", pa.bool_()), ("license", pa.string()), ("dot", pa.float64()),
+        ("known", pa.float64()), ("terms", pa.list_(pa.string())), ("counts", pa.list_(pa.int32()))]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Matcher(idf, other, threshold)
-        for b in batches:
-            got = [m.scan(t.as_py() or "") for t in b.column(2)]
-            part = lambda k, i: [g[k][i] if g[k] else None for g in got]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(part(0, 1), pa.string()), pa.array(part(0, 0), pa.float64()),
-                 pa.array([g[1] for g in got], span), pa.array(part(2, 1), pa.string()), pa.array(part(2, 0), pa.float64())],
-                names=["_id", "path", "header_license", "header_score", "headers", "whole_license", "whole_score"])
-
-    kind = src.schema[0].dataType.simpleString()
-    rows = checkpoint(src.mapInArrow(scan, f"_id {kind}, path string, header_license string, header_score double, headers "
-                                     "array<struct<start:int,end:int,license:string,score:double>>, whole_license string, whole_score double"))
+        m = Matcher(idf, 1.0, threshold)  # at the least weight of all other terms nothing is lost
+        for whole in batches:
+            for at in range(0, len(whole), 500):
+                b = whole.slice(at, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), b.column(1), pa.array([m.scan(t.as_py() or "") for t in b.column(2)], kind)],
+                    names=["_id", "path", "segments"])
+
+    base = checkpoint(src.mapInArrow(scan, f"_id {src.schema[0].dataType.simpleString()}, path string, segments array<struct<"
+                                     "start:int,end:int,whole:boolean,license:string,dot:double,known:double,"
+                                     "terms:array<string>,counts:array<int>>>").withColumn("_rid", F.monotonically_increasing_id()))
+    found = _scored(base, counts, n, threshold)
+    none = F.array().cast(found.schema["headers"].dataType)
+    rows = checkpoint(base.drop("segments").join(found, F.col("_rid") == F.col("_r"), "left").select(
+        "_id", "path", F.col("header.l").alias("header_license"), (-F.col("header.s")).alias("header_score"),
+        F.coalesce("headers", none).alias("headers"), F.col("whole.l").alias("whole_license"), (-F.col("whole.s")).alias("whole_score")))
     clean = F.array_join(F.filter(F.split("path", "/"), lambda p: p != ""), "/")
     rows = rows.withColumn("_clean", clean).withColumn("_dir", F.regexp_replace("_clean", "(^|/)[^/]*$", ""))
     named = F.regexp_extract("_clean", "[^/]*$", 0).rlike(LICENSE_FILE_RE)
