@@ -5,7 +5,12 @@ inheritance from the nearest ancestor directory by path joins.
   ln((1 + N) / (1 + df)) + 1 with df counted over all N documents, for every term. The
   counts stay on the executors (the driver receives those of the templates' terms, a few
   hundred rows): the other terms of the candidates are joined to them for the norms.
-* Candidates. Every line of every text (a header), and the whole text (a licence file). A
+* Templates. Notices, and the whole texts of licences (``license_texts``; those of the CC
+  licences are not there). Holder and years of a copyright statement are no terms.
+* Candidates. Every line of every text (a header), every run of lines about as long as a
+  template (a notice wrapped over lines, a licence within a file), and the whole text (a
+  licence file). Of headers that overlap the one with the highest score stays. A text is
+  compared in runs if the templates' terms that it holds can reach the threshold. A
   segment without an anchor term is skipped without loss: anchors are chosen so that the
   other terms of a template cannot reach the threshold together. Nor is one lost that stays
   below the threshold even if its other terms had the least weight there is (1, df = N).
@@ -22,6 +27,7 @@ repeated ids give a row each; empty table: empty result; other columns are not r
 from __future__ import annotations
 
 import math
+import pkgutil
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -36,11 +42,14 @@ from .common import checkpoint
 TEMPLATES: dict[str, tuple[str, ...]] = {
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
+        "Apache License",
+        "This software is licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
+        "BSD 3-Clause License",
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
         "the following conditions are met"),
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "Licensed under the Creative Commons Attribution 4.0 International License."),
@@ -48,11 +57,14 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
                      "Licensed under the Creative Commons Attribution-NonCommercial 4.0 International License."),
     "GPL-3.0": (
         "Released under the GNU General Public License version 3.",
+        "GNU General Public License version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
     "MIT": (
         "Released under the MIT License.",
+        "MIT License",
+        "This code is licensed under the MIT License.",
         "Licensed under the MIT License.",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction"),
@@ -63,10 +75,40 @@ THRESHOLD = 0.8
 MAX_TERMS = 1 << 17  # that a task counts before it hands them on
 LICENSE_FILE_RE = r"(?i)^(un)?licen[sc]e|^copying|^notice"
 _TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
+_HOLDER = re.compile(r"\bcopyright\b[^\n]{0,200}?\ball rights reserved\b")
+# Whole licence texts.
+FILES: dict[str, str] = {name: pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()
+                         for name in ("Apache-2.0", "BSD-3-Clause", "GPL-3.0", "MIT", "MPL-2.0")}
 
 
 def terms(text: str) -> list[str]:
-    return _TERM.findall(text.lower())
+    low = text.lower()
+    if "all rights reserved" in low:
+        low = _HOLDER.sub("copyright all rights reserved", low)
+    return _TERM.findall(low)
+
+
+class Template:
+    """A template's unit vector, its length, and the terms one of which any match must hold."""
+
+    def __init__(self, name: str, text: str, idf: dict[str, float], threshold: float, file: bool) -> None:
+        words = terms(text)
+        v = {t: n * idf[t] for t, n in Counter(words).items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        self.name, self.n, self.file = name, len(words), file
+        self.vector = {t: x / norm for t, x in v.items()}
+        self.anchors: set[str] = set()
+        rest = 0.0  # the commonest terms that cannot reach the threshold together
+        for t in sorted(v, key=lambda t: (idf[t], t)):
+            rest += self.vector[t] ** 2
+            if rest >= threshold ** 2 - 1e-9:
+                self.anchors.add(t)
+
+    def reachable(self, have: set[str], threshold: float) -> bool:
+        """No segment of a text with these terms can reach the threshold unless their part of the vector does."""
+        if self.anchors.isdisjoint(have):
+            return False
+        return sum(self.vector[t] ** 2 for t in self.vector.keys() & have) >= threshold ** 2 - 1e-9
 
 
 class Matcher:
@@ -88,6 +130,8 @@ class Matcher:
                     if rest >= threshold ** 2 - 1e-9:
                         anchors.add(t)
         self.anchors = anchors
+        self.templates = [Template(name, text, idf, threshold, False) for name in sorted(TEMPLATES) for text in TEMPLATES[name]] \
+            + [Template(name, FILES[name], idf, threshold, True) for name in sorted(FILES)]
 
     def best(self, words: list[str]) -> tuple[float, str] | None:
         if self.anchors.isdisjoint(words):
@@ -101,32 +145,91 @@ class Matcher:
                 found = (score, name)
         return found
 
-    def candidate(self, words: list[str]) -> dict | None:
-        """What the cosine needs of a segment that can reach the threshold: the nearest template
-        (whatever the norm is) and its product, the templates' part of the squared norm, and
-        the other terms."""
-        got = self.best(words)
-        if not got:
-            return None
+    def candidate(self, words: list[str], name: str, vector: dict[str, float]) -> dict:
+        """What the cosine needs of a segment: the template and its product, the templates' part
+        of the squared norm, and the other terms."""
         bag = Counter(words)
         v = {t: n * self.idf[t] for t, n in bag.items() if t in self.idf}
-        dot = max(sum(x * v[t] for t, x in u.items() if t in v) for name, u in self.vectors if name == got[1])
         rest = [t for t in bag if t not in self.idf]
-        return {"license": got[1], "dot": dot, "known": sum(x * x for x in v.values()), "terms": rest, "counts": [bag[t] for t in rest]}
+        return {"license": name, "dot": sum(x * v[t] for t, x in vector.items() if t in v), "known": sum(x * x for x in v.values()),
+                "terms": rest, "counts": [bag[t] for t in rest]}
+
+    def nearest(self, words: list[str]) -> dict | None:
+        """The candidate of a segment that can reach the threshold; whatever the norm is, the
+        nearest notice is the one with the largest product."""
+        got = self.best(words)
+        return max((self.candidate(words, got[1], u) for name, u in self.vectors if name == got[1]),
+                   key=lambda c: c["dot"]) if got else None
+
+    def runs(self, lines: list[list[str]], template: Template) -> Iterator[tuple[int, int]]:
+        """(first, last + 1) of the runs of lines about as long as the template (just as long or
+        longer, and a line shorter) that can reach the threshold."""
+        u, idf, limit = template.vector, self.idf, self.threshold - 1e-9
+        least = 1 if template.file else 2
+        held = [0]  # lines with an anchor, summed up
+        for x in lines:
+            held.append(held[-1] + (not template.anchors.isdisjoint(x)))
+        bag: Counter = Counter()
+        dot = square = 0.0
+        n = last = 0
+
+        def put(words: list[str], sign: int) -> None:
+            nonlocal dot, square, n
+            for t in words:
+                w, c = idf.get(t, self.other), bag[t]
+                bag[t] = c + sign
+                square += ((c + sign) ** 2 - c * c) * w * w
+                dot += sign * w * u.get(t, 0.0)
+            n += sign * len(words)
+
+        def fits(first: int, end: int) -> bool:
+            return end - first >= least and held[end] > held[first] and square > 0 and dot >= limit * math.sqrt(square)
+
+        for first, words in enumerate(lines):
+            while last < len(lines) and n < template.n:
+                put(lines[last], 1)
+                last += 1
+            if words:
+                if fits(first, last):
+                    yield first, last
+                if last - first > 1 and lines[last - 1]:
+                    put(lines[last - 1], -1)
+                    if fits(first, last - 1):
+                        yield first, last - 1
+                    put(lines[last - 1], 1)
+            if last > first:
+                put(words, -1)
+            else:
+                last = first + 1
 
     def scan(self, text: str) -> list[dict]:
-        """The candidates among the lines, as code point spans, and the whole text."""
+        """The candidates among the lines and runs of lines, as code point spans, and the whole text."""
         words = terms(text)
-        if self.anchors.isdisjoint(words):
+        have = set(words)
+        near = [t for t in self.templates if t.reachable(have, self.threshold)]
+        if not near and self.anchors.isdisjoint(have):
             return []
-        found, at = [], 0
+        found: dict[tuple[int, int, bool], dict] = {}
+
+        def add(start: int, end: int, whole: bool, got: dict | None) -> None:
+            if got and ((start, end, whole) not in found or got["dot"] > found[start, end, whole]["dot"] + 1e-12):
+                found[start, end, whole] = got
+
+        lines, starts, at = [], [], 0
         for line in text.split("\n"):
-            got = self.candidate(terms(line))
-            if got:
-                found.append(got | {"start": at, "end": at + len(line), "whole": False})
+            lines.append(terms(line))
+            starts.append(at)
             at += len(line) + 1
-        got = self.candidate(words)
-        return found + [got | {"start": 0, "end": len(text), "whole": True}] if got else found
+            add(starts[-1], at - 1, False, self.nearest(lines[-1]))
+        starts.append(at)
+        add(0, len(text), True, self.nearest(words))
+        for t in near:
+            for first, end in self.runs(lines, t):
+                run = [w for x in lines[first:end] for w in x]
+                add(starts[first], starts[end] - 1, False, self.candidate(run, t.name, t.vector))
+            if t.file:
+                add(0, len(text), True, self.candidate(words, t.name, t.vector))
+        return [got | {"start": s, "end": e, "whole": w} for (s, e, w), got in found.items()]
 
 
 def document_counts(df: DataFrame, text_col: str) -> DataFrame:
@@ -151,7 +254,7 @@ def document_counts(df: DataFrame, text_col: str) -> DataFrame:
 
 def weights(counts: DataFrame) -> tuple[dict[str, float], float, int]:
     """Weights of the templates' terms, that of a term in no document, number of documents."""
-    vocab = sorted({t for texts in TEMPLATES.values() for x in texts for t in terms(x)})
+    vocab = sorted({t for texts in (*TEMPLATES.values(), FILES.values()) for x in texts for t in terms(x)})
     got = {r.term: r.n for r in counts.where(F.col("term").isin(["", *vocab])).collect()}
     n = got.get("", 0)
     return {t: math.log((1 + n) / (1 + got.get(t, 0))) + 1 for t in vocab}, math.log(1 + n) + 1, n
@@ -174,10 +277,14 @@ def _scored(rows: DataFrame, counts: DataFrame, n: int, threshold: float) -> Dat
     found = other.join(idf, F.col("_t") == F.col("term"), "left").groupBy(*segment).agg(F.sum(square).alias("rest"))
     score = F.round(F.col("dot") / F.sqrt(F.col("known") + F.coalesce("rest", F.lit(0.0))), 12)
     found = found.withColumn("b", F.struct((-score).alias("s"), F.col("license").alias("l"))).where(F.col("b.s") <= -threshold)
-    line = F.when(~F.col("whole"), F.struct("start", "end", F.col("b.l").alias("license"), F.round(-F.col("b.s"), 6).alias("score")))
-    return found.groupBy("_r").agg(
-        F.array_sort(F.collect_list(line)).alias("headers"), F.min(F.when(~F.col("whole"), F.col("b"))).alias("header"),
-        F.min(F.when(F.col("whole"), F.col("b"))).alias("whole"))
+    line = F.when(~F.col("whole"), F.struct(F.col("b.s").alias("s"), "start", "end", F.col("b.l").alias("l")))
+    found = found.groupBy("_r").agg(F.array_sort(F.collect_list(line)).alias("lines"), F.min(F.when(F.col("whole"), F.col("b"))).alias("whole"))
+    # The best first, without those that overlap one before.
+    kept = F.aggregate("lines", F.filter("lines", lambda x: F.lit(False)), lambda got, x: F.when(
+        F.exists(got, lambda g: (g["start"] < x["end"]) & (x["start"] < g["end"])), got).otherwise(F.concat(got, F.array(x))))
+    return found.withColumn("kept", kept).select("_r", "whole", F.get("kept", F.lit(0)).alias("header"), F.array_sort(F.transform(
+        "kept", lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["l"].alias("license"),
+                                   F.round(-x["s"], 6).alias("score")))).alias("headers"))
 
 
 def ancestors(path: Column) -> Column:

@@ -55,6 +55,30 @@ def test_cosines_use_the_true_weight_of_every_term(spark):
     assert got[2001].license is None and got[0].license is None
 
 
+def test_wrapped_notices_whole_licences_and_short_headers(spark):
+    """Notices wrapped over comment lines, licence texts with other lines around, short headers."""
+    from balancete.llm.licenses import FILES
+    mit = """# Permission is hereby granted, free of charge, to any person obtaining a copy
+# of this software and associated documentation files (the "Software"), to deal
+# in the Software without restriction"""
+    bsd = """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions are met"""
+    rows = {0: (f"import os\n{mit}\nx = 1", "MIT"), 1: (f"int a;\n{bsd}\nint b;", "BSD-3-Clause"), 2: ("MIT License\n\nplain", "MIT"),
+            3: ("Apache License", "Apache-2.0"), 4: ("# Copyright 2020 Acme Inc. All rights reserved.\ncode", "Proprietary"),
+            5: ("This code is licensed under the MIT License.", "MIT"), 6: ("plain words about nothing", None)}
+    for i, name in enumerate(sorted(FILES)):
+        rows[10 + i] = (f"Copyright (c) 2020 Some One\n{FILES[name]}", name)
+        rows[20 + i] = ("first line of code\n" * 3 + FILES[name] + "\nlast line of code" * 3, name)
+    prose = [(1000 + i, f"plain words number{i} of other things\nand this is the next of them") for i in range(200)]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in rows.items()] + prose, "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses(df, F.lit(None).cast("string")).collect()}
+    assert {i: got[i].license for i in rows} == {i: want for i, (_, want) in rows.items()}
+    assert all(got[i].license is None for i, _ in prose)
+    assert [got[10 + i].file_license for i in range(len(FILES))] == sorted(FILES)
+    assert [rows[0][0][h.start:h.end] for h in got[0].headers] == [mit]
+    assert [rows[1][0][h.start:h.end] for h in got[1].headers] == [bsd]
+
+
 def test_inheritance_from_the_nearest_directory(spark):
     rows = [("r/LICENSE", "Released under the MIT License."), ("r/a/COPYING", "Licensed under the Apache License, Version 2.0."),
             ("r/a/b/x.py", "plain words only"), ("r/y.py", "plain words"), ("r/a/z.py", "code\n# Licensed under CC BY-NC 4.0.\ncode"),
