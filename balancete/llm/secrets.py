@@ -3,11 +3,11 @@
 The models are bigram models over the base64 and identifier characters, one of random
 strings and one of ordinary identifiers. Labelled samples: random are seeded random strings
 and the values that the fixed rules find; ordinary are the words of the sampled texts and
-identifiers joined from them. The sample is the documents whose id hash falls below
+identifiers joined from them, the numbers of those texts and seeded numbers. The sample is the documents whose id hash falls below
 ``sample_docs`` / (number of documents): a bounded number of labelled rows, counted on the
 executors; the driver receives at most one number per pair of characters and class.
 
-A token of ``min_token`` or more characters with a letter and a digit is a span of kind
+A token of ``min_token`` or more characters (whatever they are) is a span of kind
 ``random`` if its log-likelihood ratio is at least ``min_llr`` (the log of the prior odds
 against a token being a secret), unless it overlaps a fixed rule's span.
 
@@ -41,6 +41,7 @@ _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _NAMES = ("password", "passwd", "secret", "token", "api")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
+_NUMBER = re.compile(r"(?<![A-Za-z0-9+/_=-])[0-9]{3,}(?![A-Za-z0-9+/_=-])")
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _CODE = {c: i + 1 for i, c in enumerate(_CHARS)}  # 0: the start of a string, or another character
 _N = len(_CHARS) + 1
@@ -75,7 +76,8 @@ def _identifiers(words: list[str]) -> Iterator[str]:
 
 def _random_strings(n: int = 3000, seed: int = 11) -> Iterator[str]:
     rng = random.Random(seed)
-    alphabets = (_CHARS[52:62] + "abcdef", _CHARS[:62], _CHARS[:64], _CHARS[26:62], _CHARS[:26] + _CHARS[52:62])
+    alphabets = (_CHARS[52:62] + "abcdef", _CHARS[:62], _CHARS[:64], _CHARS[26:62], _CHARS[:26] + _CHARS[52:62],
+                 _CHARS[:52], _CHARS[26:52])
     for i in range(n):
         yield "".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(16, 64)))
 
@@ -96,7 +98,8 @@ def train(df: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_D
                 for s, _, e in spans:
                     seen[0].update(pairs_of(re.split(r"[\x20:='\"]+", text[s:e].rstrip("'\""))[-1]))
                 plain = [w.group() for w in _WORD.finditer(text) if not any(s < w.end() and w.start() < e for s, _, e in spans)]
-                for w in _identifiers(plain):
+                numbers = [m.group() for m in _NUMBER.finditer(text) if not any(s < m.end() and m.start() < e for s, _, e in spans)]
+                for w in (*_identifiers(plain), *numbers):
                     seen[1].update(pairs_of(w))
         rows = [(k, p, c) for k in (0, 1) for p, c in seen[k].items()]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in
@@ -106,6 +109,10 @@ def train(df: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_D
     for s in _random_strings():
         for p in pairs_of(s):
             counts[0, p // _N, p % _N] += 1
+    rng = random.Random(12)
+    for _ in range(3000):
+        for p in pairs_of("".join(rng.choices("0123456789", k=rng.randint(4, 20)))):
+            counts[1, p // _N, p % _N] += 1
     for r in sample.mapInArrow(count, "k int, p int, c long").groupBy("k", "p").agg(F.sum("c").alias("c")).collect():
         counts[r.k, r.p // _N, r.p % _N] += r.c
     logs = np.log(counts / counts.sum(axis=2, keepdims=True))
@@ -117,8 +124,6 @@ def random_spans(text: str, ratio: list[float], base: list[tuple[int, int, int]]
     out = []
     for m in _TOKEN.finditer(text):
         token = m.group()
-        if not (any(c.isdigit() for c in token) and any(c.isalpha() for c in token)):
-            continue
         if sum(ratio[p] for p in pairs_of(token)) >= min_llr and \
                 not any(s < m.end() and m.start() < e for s, _, e in base):
             out.append((m.start(), 3, m.end()))
