@@ -111,9 +111,20 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY doc_id
 """
 
+WARC = """
+WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
+firsts AS (
+  SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN firsts USING (payload_digest)
+"""
+
 SQL: dict[str, str] = {
     "op2_quality": QUALITY,
     "op5_mixing": MIXING,
     "op6_decontaminate": DECONTAMINATE,
     "op9_line_dedup": LINE_DEDUP,
+    "op13_warc": WARC,
 }

@@ -22,6 +22,7 @@ from .secrets import KINDS as SECRET_KINDS
 from .secrets import secrets
 from .simhash import simhash
 from .token_counts import token_counts
+from .warc import warc
 
 
 def corpus_path(doc_id: Column) -> Column:
@@ -107,6 +108,11 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc(table(spark, sf_dir, "pages")).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": q_licenses,
     "op2_quality": q_quality,
@@ -118,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": q_token_counts,
     "op9_line_dedup": q_line_dedup,
     "op10_passages": q_passages,
+    "op13_warc": q_warc,
 }
 
 
