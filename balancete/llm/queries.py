@@ -23,6 +23,7 @@ from .secrets import secrets
 from .simhash import simhash
 from .token_counts import token_counts
 from .warc import warc
+from .whitening import whiten
 
 
 def corpus_path(doc_id: Column) -> Column:
@@ -108,6 +109,10 @@ def q_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc(table(spark, sf_dir, "pages")).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -124,6 +129,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": q_token_counts,
     "op9_line_dedup": q_line_dedup,
     "op10_passages": q_passages,
+    "op11_whitening": q_whitening,
     "op13_warc": q_warc,
 }
 

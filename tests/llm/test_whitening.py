@@ -1,0 +1,85 @@
+"""Whitening against numpy over the whole query, exact deviations, and the defined cases."""
+
+import math
+
+import numpy as np
+import pytest
+
+from balancete.llm import queries
+from balancete.llm.whitening import whiten
+
+SF = "/root/testdata/sf0.001"
+INF, NAN = float("inf"), float("nan")
+
+
+def brute(rows, components=16, weights="one"):
+    """{id: (n, deviation, components), ...} with plain numpy and Python integers."""
+    ok = [(i, [math.floor(64 * c) + 1_000_000 for c in v]) for i, v in rows
+          if v and all(c is not None and math.isfinite(c) for c in v)]
+    fit = [list(x) for x in {tuple(x) for _, x in ok}] if weights == "one" else [x for _, x in ok]
+    n, sums = len(fit), [sum(col) for col in zip(*fit)]
+    centre = lambda x: np.array([(n * a - s) / n for a, s in zip(x, sums)])
+    c = np.array([centre(x) for x in fit])
+    e, vec = np.linalg.eigh(c.T @ c / n)
+    e, vec = e[::-1], vec[:, ::-1]
+    k = min(components, len(e))
+    return [(i, n, sum((n * a - s) ** 2 for a, s in zip(x, sums)), centre(x) @ vec[:, :k] / np.sqrt(e[:k])) for i, x in ok], e[:k] / e.sum()
+
+
+def check(df, rows, **options):
+    want, explained = brute(rows, **options)
+    got = {}
+    for r in df.collect():
+        got.setdefault((r.vec_id, r.deviation), []).append(r)
+    assert sum(map(len, got.values())) == len(want) * len(explained)
+    signs = None
+    for i, n, dev, y in want:
+        mine = sorted(got[i, dev], key=lambda r: r.component)[::len(got[i, dev]) // len(explained)]
+        assert [r.component for r in mine] == list(range(1, len(explained) + 1))
+        assert all(r.n == n and abs(r.identity_error) < 1e-8 for r in mine)
+        np.testing.assert_allclose([r.explained for r in mine], explained, rtol=1e-8)
+        z = np.array([r.whitened for r in mine])
+        signs = np.sign(z * y) if signs is None else signs
+        np.testing.assert_allclose(z * signs, y, atol=1e-6)
+
+
+def test_query_equals_brute_force(spark, tmp_dir):
+    base = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in base.collect()]
+    extra = [(9001, None), (9002, [None] * 64), (9003, [NAN] + [0.5] * 63), (9004, [INF] * 64), (9005, []),
+             (None, rows[3][1]), (rows[4][0], rows[5][1]), (9006, [1.5] * 64)] + [(9100 + i, rows[0][1]) for i in range(250)]
+    both = base.unionByName(spark.createDataFrame([(i, v, 1) for i, v in extra], base.schema))
+    both.write.parquet(f"{tmp_dir}/embeddings.parquet")
+    check(queries.QUERIES["op11_whitening"](spark, tmp_dir), rows + extra)
+
+
+def test_copies_as_weights_and_clashing_columns(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, [float(a) for a in rng.normal(size=5)]) for i in range(60)]
+    rows += [(100 + i, rows[i % 3][1]) for i in range(40)]
+    df = spark.createDataFrame([(i, v, 1, "x", 2.0) for i, v in rows], "vec_id long, embedding array<double>, n int, x string, key double")
+    check(whiten(df, weights="copies"), rows, weights="copies")
+    check(whiten(df), rows)
+
+
+def test_components_without_variance(spark):
+    flat = spark.createDataFrame([(i, [float(i % 2), 3.0, float(i % 2)]) for i in range(6)], "vec_id long, embedding array<float>")
+    got = whiten(flat).collect()
+    assert len(got) == 18 and {r.n for r in got} == {2}
+    assert all((r.whitened is None) == (r.component > 1) for r in got)
+    assert all(abs(abs(r.whitened) - 1) < 1e-9 for r in got if r.component == 1) and abs(got[0].identity_error) < 1e-9
+    one = whiten(flat.where("vec_id = 1")).collect()
+    assert len(one) == 3 and all(r.deviation == 0 and r.whitened is None and r.explained is None and r.identity_error is None for r in one)
+    assert whiten(flat.where("false")).count() == 0
+    assert whiten(flat.where("false")).schema["deviation"].dataType.simpleString() == "bigint"
+    with pytest.raises(ValueError, match="several lengths"):
+        whiten(flat.union(spark.createDataFrame([(9, [1.0])], flat.schema)))
+
+
+def test_long_deviations_are_exact_or_null(spark):
+    far = spark.createDataFrame([(1, [1e15, 0.5]), (2, [-1e15, 0.25]), (3, [0.0, 0.0])], "vec_id long, embedding array<double>")
+    assert {r.deviation for r in whiten(far).where("vec_id < 3").collect()} == {None}
+    mid = spark.createDataFrame([(1, [1e6, 0.5]), (2, [-1e6, 0.25])], "vec_id long, embedding array<double>")
+    xs = [[64_000_000 + 1_000_000, 1_000_032], [-64_000_000 + 1_000_000, 1_000_016]]
+    want = sum((2 * a - a - b) ** 2 for a, b in zip(*xs))
+    assert {r.deviation for r in whiten(mid).collect()} == {want}
