@@ -435,10 +435,13 @@ inv_docs AS (
     FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, chunk FROM li_rn) c ON o.o_orderkey = c.l_orderkey),
 inv_hdr AS (
     SELECT o_orderkey, chunk, (o_orderkey % 29 = 0 OR o_orderkey % 41 = 0) AS is_foreign,
-           (o_orderkey % 23 = 0 OR o_orderkey % 43 = 0 OR o_orderkey % 47 = 0) AS is_cut,
+           (o_orderkey % 23 = 0 OR o_orderkey % 43 = 0 OR o_orderkey % 47 = 0
+            OR (o_orderkey % 79 = 0 AND o_orderkey % 17 <> 5 AND o_orderkey % 29 <> 0)) AS is_cut,
            'nfe_' || CAST(o_orderkey AS VARCHAR) || '_' || CAST(chunk AS VARCHAR) || '.xml' AS source_file,
-           {_zpad('o_orderkey', X.KEY_WIDTH)} AS chNFe,
-           CAST(o_orderkey AS VARCHAR) AS nNF, '1' AS serie,
+           CASE WHEN o_orderkey % 6 = 4 AND o_orderkey % 10 <> 4 THEN '9' || substr({_zpad('o_orderkey', X.KEY_WIDTH)}, 2)
+                ELSE {_zpad('o_orderkey', X.KEY_WIDTH)} END AS chNFe,
+           CAST(o_orderkey AS VARCHAR) AS nNF,
+           CASE WHEN o_orderkey % 83 = 0 AND o_orderkey % 17 <> 5 THEN {_q(X.SERIE_CDATA)} ELSE '1' END AS serie,
            strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '-03:00' AS dhEmi,
            CASE WHEN o_orderstatus = 'F' THEN '1' ELSE '0' END AS tpNF,
            CASE WHEN o_orderstatus = 'P' THEN 'REMESSA' ELSE 'VENDA DE MERCADORIA' END AS natOp,
@@ -481,6 +484,19 @@ def notas_sql() -> str:
     return _with(invoice_ctes()) + f"\nSELECT {cols} FROM inv_hdr WHERE NOT is_cut"
 
 
+def customer_notas_sql() -> str:
+    """One document per customer, whatever case its key's synthesised envelope would be."""
+    from .sources import invoice_standins as X
+    own = {"chNFe": _zpad("o_orderkey", X.KEY_WIDTH), "serie": "'1'", "natOp": _q(X.ACCENTED_NATURE)}
+    cols = ", ".join(f"{own.get(c, c)} AS {c}" for c in NOTAS_FIELDS)
+    customers = """customer_orders AS (
+    SELECT o_custkey, min(o_orderkey) AS o_orderkey, max(o_orderdate) AS o_orderdate, max(o_orderstatus) AS o_orderstatus,
+           sum(CAST(o_totalprice AS DECIMAL(18,2))) AS o_totalprice
+    FROM orders GROUP BY o_custkey)"""
+    ctes = invoice_ctes().replace("FROM orders o", "FROM customer_orders o")
+    return _with(f"{customers},\n{ctes}") + f"\nSELECT {cols} FROM (SELECT DISTINCT ON (o_orderkey) * FROM inv_hdr)"
+
+
 def itens_order_sql() -> str:
     return _with(invoice_ctes()) + """
 SELECT h.source_file, i.nItem, row_number() OVER (ORDER BY h.source_file, i.rn) AS position

@@ -27,7 +27,7 @@ from .operators.invoices import ITENS_COLUMNS, itens, notas, quarantine
 from .plans.positions import with_position
 from .session import remove_shared, shared_scratch_path
 from .sources.csv_sink import read_csv_strings, write_csv
-from .sources.invoice_standins import invoice_documents
+from .sources.invoice_standins import invoice_documents, write_invoice_files
 from .sources.erp import read_erp, write_erp
 from .sources.invoices import parse_invoices, read_invoices
 from .sources.schemas import ERP_SCHEMAS
@@ -236,6 +236,13 @@ def q_xml_folder(spark, sf):
     return notas(read_invoices(spark, path, glob="*.txt"))
 
 
+def q_xml_folder_charsets(spark, sf):
+    """One ``*.xml`` file per customer in three character sets, read with the default options."""
+    path = _scratch(spark, "xml_folder_charsets")
+    write_invoice_files(spark, sf, path)
+    return notas(read_invoices(spark, path))
+
+
 def q_xml_itens_order(spark, sf):
     """O2: the reference's file order, as a position."""
     return with_position(itens(_parsed_invoices(spark, sf), ordered=True), "position").select(
@@ -289,6 +296,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_roundtrip": q_csv_roundtrip,
     "csv_zero_rows": q_csv_zero_rows,
     "xml_folder": q_xml_folder,
+    "xml_folder_charsets": q_xml_folder_charsets,
     "xml_itens_order": q_xml_itens_order,
     "erp_scan": q_erp_scan,
     "dre_order": q_dre_order,
@@ -391,6 +399,7 @@ FROM f0006 f
     out["csv_roundtrip"] = O.itens_sql("xProd || chr(10) || '\"' || cProd")
     out["csv_zero_rows"] = f"SELECT count(*) AS n_lines FROM ({O.itens_sql()}) WHERE source_file IN ({O.quarantine_sql()})"
     out["xml_folder"] = O.notas_sql()
+    out["xml_folder_charsets"] = O.customer_notas_sql()
     out["xml_itens_order"] = O.itens_order_sql()
     tables = " UNION ALL ".join(f"SELECT '{n}' AS name, count(*) AS n_rows FROM {n.lower()}" for n in sorted(ERP_SCHEMAS))
     out["erp_scan"] = O._with(st) + f"""

@@ -2,9 +2,9 @@
 
 ``;`` separator, UTF-8, header, minimal quoting with quotes doubled, CRLF line
 ends, blanks and line feeds inside values kept as they are. Output is a directory
-of part files written in parallel, each with the header; ``single_file=True``
-shuffles the finished lines into one part (a deliberate single-task write; the work
-before it stays parallel).
+of part files written in parallel, each with the header. ``write_csv_file`` makes one
+file with one header: the parts are written in parallel and in the order of the rows, and
+the file system joins them (by itself where it can, otherwise by copying their bytes).
 
 The lines are built as text: Spark's CSV writer would turn a line feed inside a value
 into the record separator.
@@ -12,10 +12,13 @@ into the record separator.
 
 from __future__ import annotations
 
+from pyspark.errors import UnsupportedOperationException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from ..session import remove_shared, shared_scratch_path
+
 READ_OPTIONS = {"sep": ";", "header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"',
                 "multiLine": "true", "ignoreLeadingWhiteSpace": "false",
                 "ignoreTrailingWhiteSpace": "false", "lineSep": "\r\n"}
@@ -44,16 +47,73 @@ def write_csv(df: DataFrame, path: str, *, single_file: bool = False, mode: str
     """Write ``df`` in one pass; with no rows the output holds no header either.
 
     The header goes before the first row of each part, so an empty result has none.
+    ``single_file``: one joined part (see ``write_csv_file``).
     """
-    lines = csv_lines(df)
     if single_file:
-        lines = lines.repartition(1)
+        if mode != "overwrite":
+            raise ValueError("a single file can only be overwritten")
+        remove_shared(df.sparkSession, path)
+        return write_csv_file(df, f"{path.rstrip('/')}/part-00000.csv")
     first = F.monotonically_increasing_id().bitwiseAND(F.lit(_ROW_IN_PARTITION)) == 0
     header = F.lit(csv_header(df.columns) + "\r\n")
-    lines = lines.select(F.when(first, F.concat(header, F.col("value"))).otherwise(F.col("value")).alias("value"))
+    lines = csv_lines(df).select(F.when(first, F.concat(header, F.col("value"))).otherwise(F.col("value")).alias("value"))
     lines.write.mode(mode).option("lineSep", "\r\n").text(path)
 
 
+def write_csv_file(df: DataFrame, path: str) -> None:
+    """Write ``df`` as the one file ``path``, its rows in the order of ``df``; no task holds
+    more than its part. With no rows the file is empty (S8)."""
+    spark = df.sparkSession
+    parts = shared_scratch_path(spark, "csv")
+    try:
+        csv_lines(df).write.option("lineSep", "\r\n").text(parts)
+        join_parts(spark, parts, path, (csv_header(df.columns) + "\r\n").encode("utf-8"))
+    finally:
+        remove_shared(spark, parts)
+
+
+def join_parts(spark: SparkSession, folder: str, path: str, header: bytes) -> None:
+    """``header`` and the part files of ``folder``, in the order of their names, as one file."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    source, target = jvm.org.apache.hadoop.fs.Path(folder), jvm.org.apache.hadoop.fs.Path(path)
+    fs, out_fs = source.getFileSystem(conf), target.getFileSystem(conf)
+    files = [f for f in fs.listStatus(source) if f.getPath().getName().startswith("part-") and f.getLen() > 0]
+    files = [f.getPath() for f in sorted(files, key=lambda f: f.getPath().getName())]
+    out = out_fs.create(target, True)
+    try:
+        if files:
+            out.write(bytearray(header))
+    finally:
+        out.close()
+    if not files or _concatenated(spark, fs, out_fs, target, files):
+        return
+    out = out_fs.create(target, True)
+    try:
+        out.write(bytearray(header))
+        for f in files:
+            read = fs.open(f)
+            try:
+                jvm.org.apache.hadoop.io.IOUtils.copyBytes(read, out, 1 << 20, False)
+            finally:
+                read.close()
+    finally:
+        out.close()
+
+
+def _concatenated(spark: SparkSession, fs, out_fs, target, files: list) -> bool:
+    """Whether the file system has appended the files to ``target`` by itself (HDFS does)."""
+    if fs.getUri().toString() != out_fs.getUri().toString():
+        return False
+    paths = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(files))
+    for i, f in enumerate(files):
+        paths[i] = f
+    try:
+        out_fs.concat(target, paths)
+    except UnsupportedOperationException:
+        return False
+    return True
+
+
 def read_csv_strings(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Read a written directory back, all columns text; NULL (empty) -> ''."""
     schema = StructType([StructField(c, StringType()) for c in columns])

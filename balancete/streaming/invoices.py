@@ -2,7 +2,7 @@
 
 The batch job reads a whole folder; invoices usually *arrive* in a folder,
 so the same flattening runs as a stream over the file source: each
-micro-batch picks up the new XML files (one row per file, ``wholetext``),
+micro-batch picks up the new XML files (one row of bytes per file),
 parses them once, and writes three outputs through ``foreachBatch``:
 
   <out>/itens/batch_id=N       one row per item (37 columns, CSV dialect)
@@ -18,22 +18,20 @@ file is written exactly once.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.invoices import write_invoices
+from ..sources.invoices import BINARY_FILE, file_rows
 
 
 def invoice_file_stream(spark: SparkSession, in_dir: str, *, glob: str = "*.xml",
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame of (source_path, source_file, value), one row per new file."""
-    r = (spark.readStream.option("wholetext", "true").option("recursiveFileLookup", "true")
+    """Streaming DataFrame of the documents (see ``file_rows``), one row per new file."""
+    r = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("recursiveFileLookup", "true")
          .option("pathGlobFilter", glob))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    raw = r.text(in_dir)
-    return raw.select(F.col("_metadata.file_path").alias("source_path"),
-                      F.col("_metadata.file_name").alias("source_file"), "value")
+    return file_rows(r.load(in_dir))
 
 
 def _write_batch(out_dir: str):

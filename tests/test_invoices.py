@@ -1,7 +1,7 @@
 import os
 
 from balancete.operators.invoices import ITENS_COLUMNS, NOTAS_COLUMNS, itens, notas, quarantine
-from balancete.sources.invoices import parse_invoices, read_invoice_files
+from balancete.sources.invoices import parse_invoices, read_invoice_files, read_invoices
 
 NS = 'xmlns="http://www.portalfiscal.inf.br/nfe"'
 INF = ('<infNFe Id="NFe{key}"><ide><nNF>{n}</nNF><serie>1</serie></ide>'
@@ -93,6 +93,26 @@ SHAPES = {
     "self_closed_root": (f'<NFe xmlns="{NFE}"/>', "", 0),
     "leading_text": (f'junk<NFe xmlns="{NFE}">{ONE.format(n=13)}</NFe>', None, 0),
     "commented_out": (f'<NFe xmlns="{NFE}"><!-- {ONE.format(n=14)} -->{ONE.format(n=15)}</NFe>', "15", 1),
+    "signed": (f'<nfeProc xmlns="{NFE}"><NFe>{ONE.format(n=16)}<Signature xmlns="http://www.w3.org/2000/09/xmldsig#"><a/></Signature></NFe>'
+               '<protNFe><infProt><chNFe>222</chNFe></infProt></protNFe></nfeProc>', "16", 1),
+    "closed_sibling": (f'<NFe xmlns="{NFE}"><x xmlns="urn:other"><y/></x>{ONE.format(n=17)}</NFe>', "17", 1),
+    "foreign_first": (f'<NFe xmlns="{NFE}"><infNFe xmlns="urn:other"><ide><nNF>9</nNF></ide></infNFe>{ONE.format(n=18)}</NFe>', "18", 1),
+    "foreign_protocol_first": (f'<p xmlns="{NFE}">{ONE.format(n=19)}<protNFe xmlns="urn:o"><infProt><chNFe>9</chNFe></infProt></protNFe>'
+                               '<protNFe><infProt/></protNFe><protNFe><infProt><chNFe>7</chNFe><chNFe>8</chNFe></infProt></protNFe></p>', "19", 1),
+    "quoted_invoice": (f'<NFe xmlns="{NFE}"><![CDATA[{ONE.format(n=9)}]]>{ONE.format(n=20)}</NFe>', "20", 1),
+    "nested_leaf": (f'<NFe xmlns="{NFE}">{ONE.format(n=21).replace("<nNF>21", "<nNF>7<b>x</b>8")}</NFe>', "7", 1),
+    "leaf_of_markup": (f'<NFe xmlns="{NFE}">{ONE.format(n=22).replace("<nNF>22", "<nNF><b>x</b>8")}</NFe>', "", 1),
+    "cdata_leaf": (f'<NFe xmlns="{NFE}">{ONE.format(n=23).replace("<nNF>23", "<nNF><![CDATA[7<!--x-->]]>8")}</NFe>', "7<!--x-->8", 1),
+    "comment_in_leaf": (f'<NFe xmlns="{NFE}">{ONE.format(n=24).replace("<nNF>24", "<nNF>2<!--x-->4<?pi?>")}</NFe>', "24", 1),
+    "foreign_leaf": (f'<NFe xmlns="{NFE}">{ONE.format(n=25).replace("<nNF>", "<nNF xmlns='urn:o'>9</nNF><nNF>")}</NFe>', "25", 1),
+    "undeclared_prefix": (f'<NFe xmlns="{NFE}"><q:z/>{ONE.format(n=26)}</NFe>', None, 0),
+    "undeclared_attribute_prefix": (f'<NFe xmlns="{NFE}" q:a="1">{ONE.format(n=27)}</NFe>', None, 0),
+    "repeated_attribute": (f'<NFe xmlns="{NFE}" a="1" a="2">{ONE.format(n=28)}</NFe>', None, 0),
+    "entities": (f'<!DOCTYPE NFe [<!ENTITY e "29">]><NFe xmlns="{NFE}">{ONE.format(n="&e;")}</NFe>', "29", 1),
+    "unknown_entity": (f'<NFe xmlns="{NFE}">{ONE.format(n="&e;")}</NFe>', None, 0),
+    "root_invoice": (f'<infNFe xmlns="{NFE}" Id="NFeR"><ide><nNF>30</nNF></ide></infNFe>', "", 0),
+    "markup_in_attribute": (f'<NFe xmlns="{NFE}" a="&lt;infNFe> xmlns=\'urn:o\'">{ONE.format(n=31)}</NFe>', "31", 1),
+    "prefix_rebound": (f'<n:a xmlns:n="urn:o"><n:infNFe/><n:NFe xmlns:n="{NFE}">' + ONE.format(n=32).replace("<", "<n:").replace("<n:/", "</n:") + "</n:NFe></n:a>", "32", 1),
     "empty_invoice": (f'<NFe xmlns="{NFE}"><infNFe Id="NFeE"/></NFe>', "", 0),
 }
 
@@ -103,8 +123,7 @@ def test_answers_of_a_tree_parser(spark):
     ns = {"n": NFE}
     df = spark.createDataFrame([(f"d/{k}.xml", f"{k}.xml", v[0]) for k, v in SHAPES.items()], "source_path string, source_file string, value string")
     parsed = parse_invoices(df)
-    got = {r.source_file: r for r in parsed.selectExpr("source_file", "malformed", "header.ide[0].nNF[0] AS n", "size(inf.det) AS items",
-                                                         "prot.infProt[0].chNFe[0] AS ch").collect()}
+    got = {r.source_file: r for r in parsed.selectExpr("source_file", "malformed", "header.ide.nNF AS n", "size(inf.det) AS items", "key AS ch").collect()}
     for name, (doc, nnf, items) in SHAPES.items():
         r = got[f"{name}.xml"]
         try:
@@ -122,6 +141,66 @@ def test_answers_of_a_tree_parser(spark):
     assert itens(parsed).count() == sum(v[2] for v in SHAPES.values())
 
 
+def test_values_are_stripped_as_str_strip_does(spark):
+    doc = f'<NFe xmlns="{NFE}"><infNFe Id=" NFeK1\u00a0"><ide><nNF>\u00a0\u2003 7 8\u3000</nNF></ide><det nItem="\u00a01 "/></infNFe></NFe>'
+    parsed = parse_invoices(spark.createDataFrame([("a.xml", "a.xml", doc)], "source_path string, source_file string, value string"))
+    row = itens(parsed).first()
+    assert (row.chNFe, row.nNF, row.nItem) == ("K1", "7 8", "1")
+
+
+def test_character_sets_and_file_names(spark, tmp_dir):
+    """Every file by its own bytes, with default options; one bad file is one quarantined file."""
+    doc = f'<NFe xmlns="{NFE}"><infNFe Id="NFe{{n}}"><ide><nNF>{{n}}</nNF><natOp>DEVOLUÇÃO</natOp></ide><det/></infNFe></NFe>'
+    declared = lambda enc, n: f'<?xml version="1.0" encoding="{enc}"?>' + doc.format(n=n)
+    _write(tmp_dir, "1 a.xml", doc.format(n=1))
+    _write(tmp_dir, "sub dir/b%20c+d.xml", declared("UTF-16", 2), "utf-16")
+    _write(tmp_dir, "sub dir/ç.xml", declared("ISO-8859-1", 3), "latin-1")
+    _write(tmp_dir, "bom.xml", declared("UTF-8", 4), "utf-8-sig")
+    _write(tmp_dir, "cp.xml", declared("windows-1252", 5), "cp1252")
+    _write(tmp_dir, "le.xml", doc.format(n=6), "utf-16")  # a byte-order mark and no declaration
+    _write(tmp_dir, "bad byte.xml", doc.format(n=7), "latin-1")
+    _write(tmp_dir, "unknown.xml", declared("no-such-set", 8))
+    _write(tmp_dir, "wide.xml", declared("shift_jis", 9).replace("ÇÃ", ""), "shift_jis")
+    parsed = read_invoices(spark, tmp_dir)
+    got = {r.source_file: (r.nNF, r.natOp) for r in itens(parsed).collect()}
+    name = "DEVOLUÇÃO"
+    assert got == {"1 a.xml": ("1", name), "b%20c+d.xml": ("2", name), "ç.xml": ("3", name), "bom.xml": ("4", name),
+                   "cp.xml": ("5", name), "le.xml": ("6", name)}
+    assert {r.source_file for r in quarantine(parsed).collect()} == {"bad byte.xml", "unknown.xml", "wide.xml"}
+    assert [r.natOp for r in notas(read_invoices(spark, os.path.join(tmp_dir, "bad byte.xml"), encoding="latin-1")).collect()] == [name]
+
+
+def test_one_ordered_file_equals_the_csv_module(spark, tmp_dir):
+    """Folder conversion into one file each, byte by byte, without a single-task shuffle."""
+    import csv
+    import io
+    from pathlib import Path
+    from balancete.plans.invoices import convert_folder
+    src = os.path.join(tmp_dir, "in")
+    _folder(src)
+    for i in range(40):
+        name = f"d{i % 7}/x {i % 3}/nota;{i}.xml" if i % 2 else f"d{i % 7}-{i}.xml"
+        _write(src, name, f'<NFe {NS}>{_inf(f"k{i}", i, dets=i % 4).replace("RIO", f"R;I{chr(34)}O{chr(10)}{i}")}</NFe>')
+    convert_folder(spark, src, os.path.join(tmp_dir, "out"), single_file=True)
+    places = {str(p): k for k, p in enumerate(sorted(Path(src).rglob("*.xml")))}
+    parsed = read_invoices(spark, src)
+    paths = parsed.select("source_path", "source_file", "header.ide.nNF").collect()
+    assert {r.source_path.replace("file:", "") for r in paths} <= set(places)
+    for name, df, columns in (("itens", itens(parsed, ordered=True), ITENS_COLUMNS), ("notas", notas(parsed, ordered=True), NOTAS_COLUMNS)):
+        f = io.StringIO(newline="")
+        w = csv.writer(f, delimiter=";", quoting=csv.QUOTE_MINIMAL)
+        rows = df.collect()
+        w.writerow(columns)
+        w.writerows(rows)
+        assert open(os.path.join(tmp_dir, "out", f"{name}.csv"), "rb").read() == f.getvalue().encode("utf-8")
+    order = [r.chNFe for r in notas(parsed, ordered=True).collect()]
+    by_path = {r.source_path.replace("file:", ""): r for r in paths}
+    well = [p for p in sorted(by_path, key=places.get) if os.path.basename(p) not in ("trunc.xml", "page.xml")]
+    assert [x[1:] for x in order if x.startswith("k")] == [by_path[p].nNF for p in well if "nota;" in p or "-" in os.path.basename(p)]
+    plan = notas(parsed, ordered=True)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "rangepartitioning" in plan
+
+
 def test_single_file_by_uri_and_folder_by_uri(spark, tmp_dir):
     _write(tmp_dir, "one.txt", f'<NFe {NS}>{_inf("K9", 9, dets=1)}</NFe>')
     _write(tmp_dir, "two.xml", f'<NFe {NS}>{_inf("K8", 8, dets=1)}</NFe>')
