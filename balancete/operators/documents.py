@@ -39,6 +39,19 @@ _LINE_COLS = ["FDFCO", "FDBNNF", "FDDCT", "FDN001", "FDBSER", "FDUKID", "FDPDCT"
               "FDAEXP", "FDBIPI", "FDBVIS", "FDBDIZ", "FDBICM"]
 
 
+def in_key_range(fact: DataFrame, key: str, of: DataFrame, of_key: str) -> DataFrame:
+    """Rows of ``fact`` whose ``key`` lies between the least and the largest ``of_key`` of the
+    rows it is going to be joined to on that key.
+
+    The bounds are scalar subqueries: they are found when the query runs and reach the Parquet
+    scan of ``fact``, which skips row groups outside them. A fact in the order of its document
+    numbers is read near the wanted documents only; rows in between are left to the join and to
+    the runtime Bloom filter (see ``session.DEFAULT_CONF``).
+    """
+    bound = lambda f: of.select(f(of_key)).scalar()
+    return fact.where((F.col(key) >= bound(F.min)) & (F.col(key) <= bound(F.max)))
+
+
 _ITEM_LABELS = ["ITEM", "LINHA", "TAMANHO", "TIPO", "COR", "EMBALAGEM"]
 
 
@@ -72,6 +85,7 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
     if issue_to is not None:
         hdr = hdr.where(F.col("FHISSU") <= issue_to)
     hdr = hdr.select("FHFCO", "FHBNNF", "FHDCT", "FHN001", "FHISSU")
+    lines = in_key_range(lines, "FDBNNF", hdr, "FHBNNF")
 
     base = lines.join(
         hdr,
@@ -193,14 +207,18 @@ def document_branches(doc: DataFrame, cfg: LedgerConfig = DEFAULT_CONFIG, *,
 
 
 def difal_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                columns: Collection[str] | None = None) -> DataFrame:
+                columns: Collection[str] | None = None, written: bool = False) -> DataFrame:
     """C4's DIFAL branch: sales lines left-joined to the DIFAL detail.
 
     An unmatched line keeps a NULL amount; a duplicated detail row multiplies
-    only this branch, exactly as in the source.
+    only this branch, exactly as in the source. ``written``: ``doc`` is a stored table, so
+    its key range is cheap to find and limits the scan of the detail.
     """
     branch, qi, c2, est, desc, conta, conta_i, full, expl = R.DIFAL_RULE
-    d = tables["F5576007"].select(
+    d = tables["F5576007"]
+    if written:
+        d = in_key_range(d, "DFBNNF", doc, "FDBNNF")
+    d = d.select(
         F.col("DFBNNF"), F.rtrim("DFDCT").alias("_D_DCT"), F.col("DFN001"),
         F.rtrim("DFBSER").alias("_D_BSER"), F.col("DFUKID"), "DFBICM")
     cond = ((F.col("FDBNNF") == F.col("DFBNNF")) & (F.rtrim("FDDCT") == F.col("_D_DCT"))
@@ -219,13 +237,17 @@ def difal_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
 
 def tax_code_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
                    classes: tuple = ("sales", "returns"),
-                   columns: Collection[str] | None = None) -> DataFrame:
+                   columns: Collection[str] | None = None, written: bool = False) -> DataFrame:
     """PIS (code 05) and COFINS (code 06) for sales (+) and returns (-).
 
     One inner join of the document lines with the per-line tax detail (J10);
-    the sign and the labels come from the rule table by (class, code).
+    the sign and the labels come from the rule table by (class, code). ``written`` as in
+    ``difal_lines``.
     """
-    td = tables["F76B011"].where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins])).select(
+    td = tables["F76B011"].where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins]))
+    if written:
+        td = in_key_range(td, "TDBNNF", doc, "FDBNNF")
+    td = td.select(
         F.col("TDBNNF"), F.rtrim("TDBSER").alias("_T_BSER"), F.rtrim("TDDCT").alias("_T_DCT"),
         F.col("TDN001"), F.col("TDUKID"), F.rtrim("TDBRTX").alias("_T_CODE"), "TDBRTXA")
     keep = None

@@ -59,9 +59,10 @@ def document_ledger(tables, issue_from: int, issue_to: int | None,
         doc.write.parquet(path)
         tables.derived.setdefault("_document_folders", []).append((doc.sparkSession, path))
         doc = doc.sparkSession.read.parquet(path)
+    written = cfg.materialize_documents
     return union_all([document_branches(doc, cfg, columns=columns),
-                      difal_lines(doc, tables, cfg, columns=columns),
-                      tax_code_lines(doc, tables, cfg, columns=columns)], columns)
+                      difal_lines(doc, tables, cfg, columns=columns, written=written),
+                      tax_code_lines(doc, tables, cfg, columns=columns, written=written)], columns)
 
 
 def release_documents(tables) -> None:
