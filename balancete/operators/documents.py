@@ -23,6 +23,8 @@ columns that its caller wants.
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,7 @@ from ..functions import code_eq, code_in, code_not_in, otrim
 from ..functions import sql as Q
 from ..plans import rules as R
 from ..plans.config import DEFAULT_CONFIG, LedgerConfig
+from ..sources.layout import same
 from .lookups import (cached_stats, center_hierarchy, checked, companies, item_dimension,
                       materialized)
 
@@ -52,6 +55,22 @@ def in_key_range(fact: DataFrame, key: str, of: DataFrame, of_key: str) -> DataF
     return fact.where((F.col(key) >= bound(F.min)) & (F.col(key) <= bound(F.max)))
 
 
+def _join_facts(left: DataFrame, right: DataFrame, keys: list, how: str) -> DataFrame:
+    """Join on all ``keys`` (pairs of columns). Two facts in the layout of ``sources.layout``
+    are joined on its key, on which they lie together, and the pairs are compared."""
+    if "_DOC_K" in left.columns and "_K" in right.columns:
+        on = reduce(and_, [same(a, b) for a, b in keys], F.col("_DOC_K") == F.col("_K"))
+        return left.join(right, on, how).drop("_K")
+    return left.join(right, reduce(and_, [a == b for a, b in keys]), how)
+
+
+def _fact(doc: DataFrame, tables, name: str) -> tuple[DataFrame, list[str]]:
+    """A detail fact for a join with ``doc``, and the names of its layout's key column."""
+    if "_DOC_K" in doc.columns and name in tables.layouts:
+        return tables.layouts[name], ["_K"]
+    return tables[name], []
+
+
 _ITEM_LABELS = ["ITEM", "LINHA", "TAMANHO", "TIPO", "COR", "EMBALAGEM"]
 
 
@@ -80,18 +99,18 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         used = used | part
     types = [*(cfg.sales_types if "sales" in classes else ()), *(cfg.return_types if "returns" in classes else ())]
     # The type test says nothing that ``used`` does not, but its prefixes reach the scan.
-    lines = tables["F7611B"].select(*_LINE_COLS).where(code_in("FDPDCT", types) & used)
-    hdr = tables["F7601B"].where(F.col("FHISSU") >= issue_from)
+    laid_out = {"F7611B", "F7601B"} <= set(tables.layouts)
+    line_cols = [*_LINE_COLS, *([F.col("_K").alias("_DOC_K")] if laid_out else [])]
+    lines = tables.layouts["F7611B"] if laid_out else tables["F7611B"]
+    lines = lines.where(code_in("FDPDCT", types) & used).select(*line_cols)
+    hdr = tables.layouts["F7601B"] if laid_out else tables["F7601B"]
+    hdr = hdr.where(F.col("FHISSU") >= issue_from)
     if issue_to is not None:
         hdr = hdr.where(F.col("FHISSU") <= issue_to)
-    hdr = hdr.select("FHFCO", "FHBNNF", "FHDCT", "FHN001", "FHISSU")
-    lines = in_key_range(lines, "FDBNNF", hdr, "FHBNNF")
-
-    base = lines.join(
-        hdr,
-        (F.col("FDBNNF") == F.col("FHBNNF")) & (F.rtrim("FDFCO") == F.rtrim("FHFCO"))
-        & (F.rtrim("FDDCT") == F.rtrim("FHDCT")) & (F.col("FDN001") == F.col("FHN001")),
-        "inner")
+    hdr = hdr.select("FHFCO", "FHBNNF", "FHDCT", "FHN001", "FHISSU", *(["_K"] if laid_out else []))
+    base = _join_facts(lines if laid_out else in_key_range(lines, "FDBNNF", hdr, "FHBNNF"), hdr, [
+        (F.col("FDBNNF"), F.col("FHBNNF")), (F.rtrim("FDFCO"), F.rtrim("FHFCO")),
+        (F.rtrim("FDDCT"), F.rtrim("FHDCT")), (F.col("FDN001"), F.col("FHN001"))], "inner")
 
     nature = tables["F76B200"].select(
         F.rtrim("DPBNOP").alias("_N_BNOP"), F.rtrim("DPBSOP").alias("_N_BSOP"),
@@ -131,7 +150,7 @@ def document_lines(tables, issue_from: int, issue_to: int | None,
         labels.append("CCNAME")
     if wanted("FILIAL"):
         labels.append(otrim(plant).alias("FILIAL"))
-    out = base.select(*_LINE_COLS, "FHISSU", "CFOP", *labels,
+    out = base.select(*_LINE_COLS, *(["_DOC_K"] if laid_out else []), "FHISSU", "CFOP", *labels,
                       *[F.coalesce(ok, F.lit(False)).alias(n) for n, ok in flags.items()])
     return out.where("_SALES_OK OR _RETURNS_OK OR _TC_SALES_OK")
 
@@ -215,16 +234,15 @@ def difal_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *,
     its key range is cheap to find and limits the scan of the detail.
     """
     branch, qi, c2, est, desc, conta, conta_i, full, expl = R.DIFAL_RULE
-    d = tables["F5576007"]
-    if written:
+    d, key = _fact(doc, tables, "F5576007")
+    if written and not key:
         d = in_key_range(d, "DFBNNF", doc, "FDBNNF")
     d = d.select(
         F.col("DFBNNF"), F.rtrim("DFDCT").alias("_D_DCT"), F.col("DFN001"),
-        F.rtrim("DFBSER").alias("_D_BSER"), F.col("DFUKID"), "DFBICM")
-    cond = ((F.col("FDBNNF") == F.col("DFBNNF")) & (F.rtrim("FDDCT") == F.col("_D_DCT"))
-            & (F.col("FDN001") == F.col("DFN001")) & (F.rtrim("FDBSER") == F.col("_D_BSER"))
-            & (F.col("FDUKID") == F.col("DFUKID")))
-    j = doc.where(F.col("_SALES_OK")).join(d, cond, "left")
+        F.rtrim("DFBSER").alias("_D_BSER"), F.col("DFUKID"), "DFBICM", *key)
+    j = _join_facts(doc.where(F.col("_SALES_OK")), d, [
+        (F.col("FDBNNF"), F.col("DFBNNF")), (F.rtrim("FDDCT"), F.col("_D_DCT")), (F.col("FDN001"), F.col("DFN001")),
+        (F.rtrim("FDBSER"), F.col("_D_BSER")), (F.col("FDUKID"), F.col("DFUKID"))], "left")
     return j.selectExpr(
         *_common(columns),
         f"CAST({Q.amount('DFBICM')} AS {Q.MONEY}) AS VALOR_TRANSACAO",
@@ -244,21 +262,21 @@ def tax_code_lines(doc: DataFrame, tables, cfg: LedgerConfig = DEFAULT_CONFIG, *
     the sign and the labels come from the rule table by (class, code). ``written`` as in
     ``difal_lines``.
     """
-    td = tables["F76B011"].where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins]))
-    if written:
+    td, key = _fact(doc, tables, "F76B011")
+    td = td.where(code_in("TDBRTX", [cfg.tax_code_pis, cfg.tax_code_cofins]))
+    if written and not key:
         td = in_key_range(td, "TDBNNF", doc, "FDBNNF")
     td = td.select(
         F.col("TDBNNF"), F.rtrim("TDBSER").alias("_T_BSER"), F.rtrim("TDDCT").alias("_T_DCT"),
-        F.col("TDN001"), F.col("TDUKID"), F.rtrim("TDBRTX").alias("_T_CODE"), "TDBRTXA")
+        F.col("TDN001"), F.col("TDUKID"), F.rtrim("TDBRTX").alias("_T_CODE"), "TDBRTXA", *key)
     keep = None
     if "sales" in classes:
         keep = F.col("_TC_SALES_OK")
     if "returns" in classes:
         keep = F.col("_RETURNS_OK") if keep is None else keep | F.col("_RETURNS_OK")
-    j = doc.where(keep).join(
-        td, (F.col("FDBNNF") == F.col("TDBNNF")) & (F.rtrim("FDBSER") == F.col("_T_BSER"))
-        & (F.rtrim("FDDCT") == F.col("_T_DCT")) & (F.col("FDN001") == F.col("TDN001"))
-        & (F.col("FDUKID") == F.col("TDUKID")), "inner")
+    j = _join_facts(doc.where(keep), td, [
+        (F.col("FDBNNF"), F.col("TDBNNF")), (F.rtrim("FDBSER"), F.col("_T_BSER")), (F.rtrim("FDDCT"), F.col("_T_DCT")),
+        (F.col("FDN001"), F.col("TDN001")), (F.col("FDUKID"), F.col("TDUKID"))], "inner")
     codes = {"05": cfg.tax_code_pis, "06": cfg.tax_code_cofins}
 
     def pick(value) -> str:

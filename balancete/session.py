@@ -23,12 +23,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     # A month's headers select few of a fact's rows: a Bloom filter of their keys is applied to
     # any fact scan of 1 GB or more before its exchange. The bound on the filter's own side is on
-    # the size of the header before its date filter, which reaches the scan; the filter has at
-    # most 8 MB whatever that size.
+    # the size of the header before its date filter (which reaches the scan); the filter has at
+    # most 1 MB whatever that size.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "1GB",
-    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1TB",
-    "spark.sql.optimizer.runtime.bloomFilter.expectedNumItems": "4000000",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "20GB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
