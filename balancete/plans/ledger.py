@@ -8,6 +8,7 @@ from a start date on, no aggregation. Both return ``LEDGER_SCHEMA``.
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Collection
 from functools import reduce
 
@@ -45,19 +46,20 @@ def union_all(parts: list[DataFrame], columns: Collection[str] | None = None) ->
 
 def document_ledger(tables, issue_from: int, issue_to: int | None,
                     cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                    columns: Collection[str] | None = None) -> DataFrame:
+                    columns: Collection[str] | None = None, folders: list | None = None) -> DataFrame:
     """All document branches (C4 incl. DIFAL, C5, C6) for an issue-date range.
 
     Three consumers read the lines, so they are computed once and written as
     Parquet in the shared folder: columnar, read pruned, with real sizes for the
     planner, and re-read rather than recomputed when an executor is lost. The
-    folder is removed by ``release_documents``.
+    folder is noted in ``folders``, by default the bundle's, which
+    ``release_documents`` removes; ``OpenLedger`` owns its own.
     """
     doc = document_lines(tables, issue_from, issue_to, cfg, columns=columns)
     if cfg.materialize_documents:
         path = shared_scratch_path(doc.sparkSession, "document_lines")
         doc.write.parquet(path)
-        tables.derived.setdefault("_document_folders", []).append((doc.sparkSession, path))
+        (tables.derived.setdefault("_document_folders", []) if folders is None else folders).append((doc.sparkSession, path))
         doc = doc.sparkSession.read.parquet(path)
     written = cfg.materialize_documents
     return union_all([document_branches(doc, cfg, columns=columns),
@@ -72,17 +74,17 @@ def release_documents(tables) -> None:
 
 
 def ledger_for_period(tables, params: PeriodParams, cfg: LedgerConfig = DEFAULT_CONFIG, *,
-                      columns: Collection[str] | None = None) -> DataFrame:
+                      columns: Collection[str] | None = None, folders: list | None = None) -> DataFrame:
     gl = allocate(gl_balance(tables, params, cfg), cfg)
-    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg, columns=columns)
+    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg, columns=columns, folders=folders)
     return union_all([gl, docs], columns)
 
 
 def ledger_from_journal(tables, params: DetailParams, cfg: LedgerConfig | None = None, *,
-                        columns: Collection[str] | None = None) -> DataFrame:
+                        columns: Collection[str] | None = None, folders: list | None = None) -> DataFrame:
     cfg = cfg or DEFAULT_CONFIG.returns_label_old()
     gl = allocate(gl_detail(tables, params, cfg), cfg)
-    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg, columns=columns)
+    docs = document_ledger(tables, params.jul_from, params.jul_to, cfg, columns=columns, folders=folders)
     return union_all([gl, docs], columns)
 
 
@@ -110,13 +112,74 @@ def income_statement(ledger: DataFrame, params: PeriodParams, *, trim_labels: bo
 
 
 def ledger(tables, source: str, params, cfg: LedgerConfig | None = None, *,
-           columns: Collection[str] | None = None) -> DataFrame:
+           columns: Collection[str] | None = None, folders: list | None = None) -> DataFrame:
     """The common ledger from monthly balances (``source='balance'``, with
     ``PeriodParams``) or from posted journal lines (``source='detail'``, with
     ``DetailParams``). ``columns`` limits it to the ledger columns that are
-    wanted (``STATEMENT_COLUMNS`` for an income statement)."""
+    wanted (``STATEMENT_COLUMNS`` for an income statement).
+
+    Its document lines are written while the DataFrame is built, and stay until
+    ``release_documents``; see ``open_ledger`` for a ledger that looks after them."""
     if source == "balance":
-        return ledger_for_period(tables, params, cfg or DEFAULT_CONFIG, columns=columns)
+        return ledger_for_period(tables, params, cfg or DEFAULT_CONFIG, columns=columns, folders=folders)
     if source == "detail":
-        return ledger_from_journal(tables, params, cfg, columns=columns)
+        return ledger_from_journal(tables, params, cfg, columns=columns, folders=folders)
     raise ValueError(f"unknown ledger source {source!r}")
+
+
+def _remove(folders: list) -> None:
+    while folders:
+        spark, path = folders.pop()
+        if spark.sparkContext._jsc is not None:  # a stopped session has no file system to ask
+            remove_shared(spark, path)
+
+
+class OpenLedger:
+    """A ledger that owns its written document lines.
+
+    ``rows`` is the ledger; nothing runs before it is first asked for. The lines it reads are
+    this ledger's alone and go when it is closed, at the end of a ``with`` block, or at the
+    latest when the object is collected or Python exits::
+
+        with open_ledger(tables, "balance", params) as led:
+            led.rows.write.parquet(path)
+            led.income_statement().show()
+
+    DataFrames made from ``rows`` are to be used while it is open.
+    """
+
+    def __init__(self, tables, source: str, params, cfg: LedgerConfig | None = None, *,
+                 columns: Collection[str] | None = None) -> None:
+        if source not in ("balance", "detail"):
+            raise ValueError(f"unknown ledger source {source!r}")
+        self._make = lambda folders: ledger(tables, source, params, cfg, columns=columns, folders=folders)
+        self._params, self._rows, self._folders = params, None, []
+        self._finalizer = weakref.finalize(self, _remove, self._folders)
+
+    @property
+    def rows(self) -> DataFrame:
+        if not self._finalizer.alive:
+            raise ValueError("the ledger is closed")
+        if self._rows is None:
+            self._rows = self._make(self._folders)
+        return self._rows
+
+    def income_statement(self, params: PeriodParams | None = None, **options) -> DataFrame:
+        """C8 of the ledger's own period, or of ``params`` (a ledger of journal lines has no end)."""
+        return income_statement(self.rows, params or self._params, **options)
+
+    def close(self) -> None:
+        self._rows = None
+        self._finalizer()
+
+    def __enter__(self) -> OpenLedger:
+        return self
+
+    def __exit__(self, *exc) -> None:
+        self.close()
+
+
+def open_ledger(tables, source: str, params, cfg: LedgerConfig | None = None, *,
+                columns: Collection[str] | None = None) -> OpenLedger:
+    """``ledger`` with an owner of what it writes."""
+    return OpenLedger(tables, source, params, cfg, columns=columns)

@@ -123,3 +123,38 @@ def test_a_renamed_or_retyped_column_raises(spark, tmp_dir):
     good.withColumn("CCNAME", F.lit(1)).write.mode("append").parquet(path)
     with pytest.raises(Exception, match="CCNAME"):
         read_erp(spark, tmp_dir)
+
+
+def test_an_open_ledger_owns_what_it_writes(spark, bundles):
+    import gc
+    import os
+
+    from balancete.plans.ledger import ledger, open_ledger
+    from balancete.plans.params import PeriodParams
+    (_, a), _ = bundles
+    p = PeriodParams.month(2016, 1)
+    want = _rows(ledger(a, "balance", p))
+    shared = a.derived["_document_folders"][-1][1]
+    jobs = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("open", "open")
+    with open_ledger(a, "balance", p) as led, open_ledger(a, "balance", p) as other:
+        assert list(jobs.getJobIdsForGroup("open")) == [] and not led._folders
+        assert _rows(led.rows) == want
+        (_, own), = led._folders
+        _ = other.rows
+        other.close()                                     # its lines only
+        assert os.path.isdir(own) and os.path.isdir(shared) and led.income_statement().count() > 0
+        release_documents(a)
+        assert os.path.isdir(own) and not os.path.isdir(shared)
+    assert not os.path.isdir(own)
+    with pytest.raises(ValueError, match="closed"):
+        led.rows
+    lost = open_ledger(a, "balance", p)
+    _ = lost.rows
+    (_, path), = lost._folders
+    del lost
+    gc.collect()
+    assert not os.path.isdir(path)
+    spark.sparkContext._jsc.clearJobGroup()
+    with pytest.raises(ValueError, match="unknown"):
+        open_ledger(a, "x", p)
