@@ -8,7 +8,10 @@ which the new split meets the old one, encodes only those pre-tokens, and update
 on the paths of the touched leaves. The pattern has no look-behind: from a common border on,
 both splits agree.
 
-Trees are built where the document is and never leave their task; one map-only pass. The
+``token_trees`` returns the trees as columns (lengths and counts of the pre-tokens) to be
+written, ``edit_trees`` reads such columns, applies edits and returns them again: a later batch
+of edits encodes only what it touches. ``token_counts`` builds a tree, applies the edits and
+keeps only the figures. All are one map-only pass. The
 vocabulary (a file of about 1 MB; its size is checked) is sent to the tasks; each worker
 keeps a bounded memo of the token counts of pre-tokens.
 
@@ -61,12 +64,25 @@ class Counter:
 class Tree:
     """Leaves of [lengths, counts] of pre-tokens under a binary tree of (characters, tokens)."""
 
-    def __init__(self, text: str, counter: Counter) -> None:
+    def __init__(self, text: str, counter: Counter, lengths: list[int] | None = None,
+                 counts: list[int] | None = None) -> None:
+        """With the ``lengths`` and ``counts`` of a kept tree nothing is split or encoded."""
         self.text, self.counter = text, counter
-        pieces = counter.split.findall(text)
-        self._build([len(p) for p in pieces], [counter.count(p) for p in pieces])
+        if lengths is None or counts is None:
+            pieces = counter.split.findall(text)
+            lengths, counts = [len(p) for p in pieces], [counter.count(p) for p in pieces]
+        self._build(lengths, counts)
         self.encoded = 0  # pre-tokens encoded by edits
 
+    def parts(self) -> tuple[list[int], list[int]]:
+        """Lengths and counts of all pre-tokens: what is kept of the tree."""
+        return [x for a, _ in self.leaves for x in a], [x for _, b in self.leaves for x in b]
+
+    def apply(self, edits: list | None) -> None:
+        for x in edits or []:
+            if x and x["at"] is not None:
+                self.edit(x["at"], x["remove"] or 0, x["insert"] or "")
+
     def _build(self, lengths: list[int], counts: list[int]) -> None:
         self.leaves = [(lengths[i:i + LEAF], counts[i:i + LEAF]) for i in range(0, len(lengths), LEAF)] or [([], [])]
         self.size = 1 << (len(self.leaves) - 1).bit_length()
@@ -106,28 +122,15 @@ class Tree:
         end = min(at + max(remove, 0), n)
         if end == at and not insert:
             return
-        # Back over the pre-token before the edit and all white space before that one: a match
-        # looks at most one character past a run of its own class.
-        back = max(at - 1, 0)
-        while back > 0 and self.text[back].isspace():
-            back -= 1
+        # A match looks at most one character past the one after its end (a contraction that
+        # fails, white space before a word): pre-tokens that end two or more before the edit stay.
+        back = max(at - 2, 0)
         leaf, first = self._leaf_at(back)
         lengths = self.leaves[leaf][0]
         k, start = 0, first
         while k < len(lengths) and start + lengths[k] <= back:
             start += lengths[k]
             k += 1
-        while start > 0 and self.text[start - 1].isspace():  # a border within white space is no safe start
-            if k:
-                k -= 1
-                start -= lengths[k]
-            else:
-                leaf -= 1
-                while not self.leaves[leaf][0]:
-                    leaf -= 1
-                lengths = self.leaves[leaf][0]
-                k = len(lengths) - 1
-                start -= lengths[k]
         text = self.text[:at] + insert + self.text[end:]
         shift = len(text) - n
         # Old borders from the end of the edit on, walked together with the new split.
@@ -168,7 +171,7 @@ class Tree:
             self._set(old_leaf, *rest)
         self.text = text
         if len(self.leaves[leaf][0]) > 8 * LEAF:  # a long insertion: deal out the leaves anew
-            self._build([x for a, _ in self.leaves for x in a], [x for _, b in self.leaves for x in b])
+            self._build(*self.parts())
 
 
 _COUNTERS: dict = {}
@@ -182,17 +185,21 @@ def _counter(shared) -> Counter:
     return _COUNTERS[key][1]
 
 
+def _shared(df: DataFrame, vocabulary: str):
+    if os.path.getsize(vocabulary) > MAX_VOCABULARY_BYTES:
+        raise ValueError(f"{vocabulary} is larger than {MAX_VOCABULARY_BYTES} bytes")
+    with open(vocabulary, "rb") as f:
+        return df.sparkSession.sparkContext.broadcast(f.read())
+
+
 def token_counts(df: DataFrame, edits: Column, id_col: str = "doc_id", text_col: str = "text",
                  vocabulary: str = VOCABULARY) -> DataFrame:
     """Per row: id, n_tokens (of the text), n_tokens_after (all edits), n_pretokens, n_reencoded.
 
     ``edits``: array<struct<at: int, remove: int, insert: string>>, places in code points of
-    the text as the edits before have left it.
+    the text as the edits before have left it. Nothing is kept; see ``token_trees``.
     """
-    if os.path.getsize(vocabulary) > MAX_VOCABULARY_BYTES:
-        raise ValueError(f"{vocabulary} is larger than {MAX_VOCABULARY_BYTES} bytes")
-    with open(vocabulary, "rb") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())
+    shared = _shared(df, vocabulary)
     src = df.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"), edits.alias("_edits"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -202,12 +209,47 @@ def token_counts(df: DataFrame, edits: Column, id_col: str = "doc_id", text_col:
             for t, e in zip(b.column(1), b.column(2)):
                 tree = Tree(t.as_py() or "", counter)
                 before, pieces = tree.n_tokens, sum(len(a) for a, _ in tree.leaves)
-                for x in e.as_py() or []:
-                    if x and x["at"] is not None:
-                        tree.edit(x["at"], x["remove"] or 0, x["insert"] or "")
+                tree.apply(e.as_py())
                 rows.append((before, tree.n_tokens, pieces, tree.encoded))
             yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in rows], pa.int64()) for i in range(4)]],
                                              names=[id_col, "n_tokens", "n_tokens_after", "n_pretokens", "n_reencoded"])
 
     return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, n_tokens long, n_tokens_after long, "
                                "n_pretokens long, n_reencoded long")
+
+
+TREE = "text string, lengths array<int>, counts array<int>, n_tokens long, n_reencoded long"
+
+
+def _trees(src: DataFrame, id_col: str, vocabulary: str, kept: bool) -> DataFrame:
+    """``src``: id, text, then the kept lengths, counts and the edits if ``kept``."""
+    shared = _shared(src, vocabulary)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counter = _counter(shared)
+        for b in batches:
+            out = []
+            for row in zip(*b.columns[1:]):
+                text, *more = [v.as_py() for v in row]
+                tree = Tree(text or "", counter, *more[:2])
+                if kept:
+                    tree.apply(more[2])
+                out.append((tree.text, *tree.parts(), tree.n_tokens, tree.encoded))
+            kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column(0), *[pa.array([r[i] for r in out], k) for i, k in enumerate(kinds)]],
+                                             names=[id_col, "text", "lengths", "counts", "n_tokens", "n_reencoded"])
+
+    return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, {TREE}")
+
+
+def token_trees(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                vocabulary: str = VOCABULARY) -> DataFrame:
+    """The trees of all rows, to be written and kept: id, text, lengths and counts of the
+    pre-tokens, n_tokens, n_reencoded (0). Inner sums follow from these without an encoding."""
+    return _trees(df.select(F.col(id_col).alias(id_col), F.col(text_col).alias("text")), id_col, vocabulary, False)
+
+
+def edit_trees(trees: DataFrame, edits: Column, id_col: str = "doc_id", vocabulary: str = VOCABULARY) -> DataFrame:
+    """Kept trees after their ``edits`` (an expression over ``trees``), as trees again: only the
+    pre-tokens that the edits touch are encoded (``n_reencoded``)."""
+    return _trees(trees.select(id_col, "text", "lengths", "counts", edits.alias("_edits")), id_col, vocabulary, True)

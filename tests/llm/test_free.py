@@ -244,3 +244,43 @@ def test_passage_edges(spark):
     got = {r.doc_id: (r.component_id, r.n_repeated_words > 0, r.n_removed_words > 0) for r in P.passages(df).collect()}
     assert got == {None: (None, True, False), 7: (None, True, True), 8: (8, False, False), 9: (9, False, False), 10: (10, False, False)}
     assert P.passages(df.where("false")).count() == 0
+
+
+def test_short_texts_and_contractions_against_full_encoding():
+    with open(VOCABULARY, "rb") as f:
+        counter = Counter(f.read())
+    full = lambda t: len(counter.encoding.encode_ordinary(t))
+    tree = Tree("'r", counter)
+    tree.edit(2, 0, "e")
+    assert tree.n_tokens == full("'re") == 1
+    rng = random.Random(8)
+    for chars in ("'slrev ", "'lv1 \n.", " \t'a"):
+        for _ in range(12_000):
+            text = "".join(rng.choice(chars) for _ in range(rng.randrange(10)))
+            tree = Tree(text, counter)
+            for _ in range(rng.randrange(1, 4)):
+                at, remove = rng.randrange(len(text) + 1), rng.randrange(4)
+                insert = "".join(rng.choice(chars) for _ in range(rng.randrange(4)))
+                tree.edit(at, remove, insert)
+                text = text[:at] + insert + text[at + remove:]
+                assert tree.text == text
+                assert tree.parts()[0] == [len(p) for p in counter.split.findall(text)], (text, at, remove, insert)
+            assert tree.n_tokens == full(text)
+
+
+def test_kept_trees_encode_only_what_later_edits_touch(spark, tmp_path):
+    from balancete.llm.token_counts import edit_trees, token_trees
+    with open(VOCABULARY, "rb") as f:
+        counter = Counter(f.read())
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").union(
+        spark.createDataFrame([(None, None), (7, ""), (7, "it'")], "doc_id long, text string"))
+    token_trees(df).write.parquet(f"{tmp_path}/0")
+    one = lambda at, remove, insert: F.array(F.struct(F.lit(at).alias("at"), F.lit(remove).alias("remove"), F.lit(insert).alias("insert")))
+    for k, e in enumerate([one(3, 1, "'ll be"), one(60, 0, " two words"), one(0, 9, "")]):
+        trees = spark.read.parquet(f"{tmp_path}/{k}")
+        assert set(trees.columns) == {"doc_id", "text", "lengths", "counts", "n_tokens", "n_reencoded"}
+        edit_trees(trees, e).write.parquet(f"{tmp_path}/{k + 1}")
+        got = spark.read.parquet(f"{tmp_path}/{k + 1}").collect()
+        assert len(got) == df.count() and max(r.n_reencoded for r in got) <= 12
+        assert all(r.n_tokens == len(counter.encoding.encode_ordinary(r.text)) == sum(r.counts) for r in got)
+        assert all(r.lengths == [len(p) for p in counter.split.findall(r.text)] for r in got)
