@@ -12,7 +12,8 @@ shard adds a pass over the words in the same task, not a join.
 Defined results:
 * null text or item: no words; an item without words matches nothing;
 * an item of fewer than ``window`` words is one window; repeated item ids count once,
-  null item ids are left out; repeated documents give a row each;
+  the words of an item with a null id are hit like any other's, but it is not among ``items``;
+  repeated documents give a row each;
 * empty tables: no rows, or no hits; other columns of ``df`` are not read.
 """
 
@@ -39,14 +40,16 @@ def words_of(text: bytes | None) -> list[bytes]:
     return text.translate(_TABLE).split() if text else []
 
 
-def build(items: list[tuple[str, bytes | None]], window: int):
+def build(items: list[tuple[str | None, bytes | None]], window: int):
     """(vocabulary, automaton or None, items of each window) of one shard."""
     vocab: dict[bytes, int] = {}
     windows: dict[tuple[int, ...], set[str]] = {}
     for item, text in items:
         ids = [vocab.setdefault(w, len(vocab) + 1) for w in words_of(text)]
         for i in range(max(1, len(ids) - window + 1) if ids else 0):
-            windows.setdefault(tuple(ids[i:i + window]), set()).add(item)
+            owners_ = windows.setdefault(tuple(ids[i:i + window]), set())
+            if item is not None:
+                owners_.add(item)
     if not windows:
         return vocab, None, []
     auto = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
@@ -99,7 +102,7 @@ def benchmark_shards(bench: DataFrame, item_col: str, text_col: str, max_shard_b
     """Broadcasts of the items, each with at most about ``max_shard_bytes`` of text."""
     spark = bench.sparkSession
     rows = bench.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("binary").alias("t")) \
-        .where(F.col("i").isNotNull() & F.col("t").isNotNull())
+        .where(F.col("t").isNotNull())
     total = rows.agg(F.sum(F.octet_length("t") + 64)).first()[0] or 0
     n = max(1, -(-total // max_shard_bytes))
     for k in range(n):

@@ -20,12 +20,12 @@ dups AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM raw_lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
 lines AS (SELECT doc_id, source, text, {_KEY} AS k FROM raw_lines),
-keyed AS (SELECT *, len(regexp_extract_all(k, '[^\x20\x09-\x0D]+')) AS n FROM lines WHERE length(k) >= 10),
+keyed AS (SELECT *, len(regexp_extract_all(k, '[^\x20\x09-\x0D]+')) AS n FROM lines WHERE length(k) > 0),
 hosts AS (SELECT source, count(DISTINCT text) + max(CASE WHEN text IS NULL THEN 1 ELSE 0 END) AS n FROM d GROUP BY source),
 counts AS (SELECT source, k, count(DISTINCT text) AS n FROM keyed GROUP BY source, k),
 frequent AS (
   SELECT c.source, c.k FROM counts c JOIN hosts h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE c.n >= 20 AND c.n > h.n * 0.05::DOUBLE),
+  WHERE c.n >= 3 AND c.n > h.n * 0.05::DOUBLE),
 lost AS (
   SELECT l.doc_id, sum(l.n) AS n FROM keyed l JOIN frequent f
   ON l.source IS NOT DISTINCT FROM f.source AND l.k = f.k GROUP BY l.doc_id),
@@ -78,7 +78,7 @@ _ITEM_WORDS = rf"regexp_extract_all({_LOW}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 DECONTAMINATE = rf"""
 WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
-b AS (SELECT DISTINCT item_id::VARCHAR AS item, {_ITEM_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+b AS (SELECT DISTINCT item_id::VARCHAR AS item, {_ITEM_WORDS} AS w FROM benchmark),
 windows AS (
   SELECT DISTINCT item, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS g
   FROM (SELECT item, w, least(10, len(w)) AS n, unnest(range(1, greatest(1, len(w) - 9) + 1)) AS i FROM b WHERE len(w) > 0)),
@@ -92,7 +92,7 @@ words AS (
   FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM hits)) GROUP BY doc_id),
 found AS (
   SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
-  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item FROM hits WHERE item IS NOT NULL) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (doc_id) LEFT JOIN found USING (doc_id)

@@ -3,7 +3,7 @@
 Line frequency: normalised lines are hashed and, per host (``source``), the distinct
 documents that hold each line are counted. A line is above the limit when more than
 ``max_share`` of the host's distinct documents and at least ``min_docs`` of them hold it.
-Such lines are removed; a document that loses more than ``max_lost`` of its words, or keeps
+Every line that is not blank counts, however short. Lines above the limit are removed; a document that loses more than ``max_lost`` of its words, or keeps
 fewer than ``min_words``, is depleted and rejected. Documents are distinct by their text, so
 a text copied many times counts once and does not make its own lines frequent.
 
@@ -14,6 +14,8 @@ pre-aggregated and spread by the document.
 
 Defined results:
 * null text: no words, so it fails the base rules; empty table: empty result;
+* very long texts are read whole; a line exactly at the share, or documents that lose exactly
+  ``max_lost``, are not above it;
 * null host: a host of its own; null and repeated ids: every row is judged by itself;
 * other columns are not read (``quality_documents`` passes them through).
 """
@@ -30,8 +32,7 @@ SYMBOLS_RE = r"[#*$%&|<>]+"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 WINDOW = 5
-MIN_LINE_CHARS = 10   # shorter lines (list marks, single words) are no boilerplate
-MIN_DOCS = 20
+MIN_DOCS = 3          # on a host of under 60 texts the share alone would be less than three
 MAX_SHARE = 0.05
 MAX_LOST = 0.8
 
@@ -85,7 +86,7 @@ def digest(df: DataFrame, id_col: str, text_col: str, host_col: str) -> DataFram
 
 def frequent_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFrame:
     """(_host, h1, h2) of the lines above the limit."""
-    lines = rows.select("_host", "_th", F.explode("lines").alias("x")).where(F.col("x.n") >= MIN_LINE_CHARS)
+    lines = rows.select("_host", "_th", F.explode("lines").alias("x")).where(F.col("x.n") > 0)
     counts = lines.select("_host", "x.h1", "x.h2", "_th").distinct().groupBy("_host", "h1", "h2") \
         .agg(F.count(F.lit(1)).alias("docs"))
     hosts = rows.select("_host", "_th").distinct().groupBy(F.col("_host").alias("_h")).agg(F.count(F.lit(1)).alias("all"))
@@ -96,10 +97,11 @@ def frequent_lines(rows: DataFrame, min_docs: int, max_share: float) -> DataFram
 def _judged(df: DataFrame, id_col: str, text_col: str, host_col: str, min_docs: int, max_share: float,
             max_lost: float) -> tuple[DataFrame, DataFrame]:
     rows = checkpoint(digest(df, id_col, text_col, host_col))
-    frequent = frequent_lines(rows, min_docs, max_share) \
-        .select(F.col("_host").alias("_fh"), F.col("h1").alias("_f1"), F.col("h2").alias("_f2"))
+    # Written out, so that AQE can split a hot line of a hot host in the join below.
+    frequent = checkpoint(frequent_lines(rows, min_docs, max_share)
+                          .select(F.col("_host").alias("_fh"), F.col("h1").alias("_f1"), F.col("h2").alias("_f2")))
     each = rows.select("_rid", "_id", "_th", "_host", F.posexplode("lines").alias("_p", "x")) \
-        .where(F.col("x.n") >= MIN_LINE_CHARS)
+        .where(F.col("x.n") > 0)
     lost = each.join(frequent, F.col("_host").eqNullSafe(F.col("_fh")) & (F.col("x.h1") == F.col("_f1"))
                      & (F.col("x.h2") == F.col("_f2"))) \
         .groupBy("_rid", "_id", "_th").agg(F.sum("x.w").alias("_lost"), F.collect_set("_p").alias("_pos"))
