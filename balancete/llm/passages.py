@@ -1,56 +1,59 @@
 """Substring dedup (10): paragraph MinHash banding, exact Jaccard, removal by components.
 
-A repeated passage may start in the middle of a line, so the paragraphs compared are placed
-by content: in every run of ``window`` consecutive word positions the one with the least
-hash of three words is chosen (winnowing), and a paragraph is the ``size`` words from it.
-Texts that share a passage of ``window + size`` words or more (48) therefore share a whole
-paragraph, wherever the passage stands.
-
-1. One pass over the texts writes (document, place, content hash, ``bands`` band keys of
-   ``rows`` MinHash values over 5-word shingles) per paragraph; the shuffles of all
-   paragraphs are an aggregation and a join on the keys of one band after the other, and a
-   join on the content hash.
-2. Keys found in two or more documents survive. Their paragraphs are read again from one
-   document each, and within a key all pairs are verified by exact Jaccard (0.8 or more) in
-   blocks of at most ``max_group`` members (a larger key is dealt out as pairs of blocks; no
-   pair is left out). A task returns a spanning forest, not the pairs.
-3. Connected components of the links are the repeated paragraphs. A component found in two
-   or more documents stays in the one with the smallest id and is removed from the others.
-
-Bands: a pair at similarity 0.8 is found with probability 1 - (1 - 0.8^2)^7 = 0.9992 per
-paragraph; passages hold several paragraphs, equal ones are always found.
-
-Defined results: null and short texts (fewer than ``size`` words) have no paragraphs; a
-null id is one document, numbered before all others; repeated ids are one document (its
-texts' places are merged); empty table: empty result; other columns are not read.
+Two kinds of repeats are found over the distinct texts (a copied text counts once, with the
+smallest of its ids; texts are numbered in the order of that id):
+
+* **Paragraphs.** The lines of a text that hold a 5-word shingle. Seven bands of two MinHash
+  values; lines that collide in a band are verified by exact Jaccard of their shingles (0.8
+  or more), in blocks of bounded members and words (a larger key is dealt out as pairs of
+  blocks; no pair is left out). Connected components of the links are the repeated
+  paragraphs; equal lines are always one.
+* **Passages across paragraph borders.** Seeds of 8 words, the least hash of every 13
+  consecutive places (winnowing), are exchanged; every 20-word window around a seed that two
+  texts hold is then compared, so that a hit grows left and right to its whole length. Equal
+  windows hold equal seeds: every passage of 20 words or more that two texts share is found
+  whole, wherever it stands.
+
+A repeat found in two or more texts stays in the first and is removed from the others. Of a
+text held under several ids the first keeps what the text keeps and the others lose all.
+
+Bands: a pair of lines at similarity 0.8 meets with probability 1 - (1 - 0.8^2)^7 = 0.9992.
+
+Defined results: one row per row of the input; null, empty and blank texts have no words and
+nothing repeated; texts of less than five words repeat as whole texts only; a null id stands
+before all others and its texts stay apart; rows equal in id and text are one document and
+get equal results; one id with several texts: the texts are told apart by their hash; very
+long texts are read whole; empty table: empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from ..session import remove_shared, shared_scratch_path
-from .common import checkpoint, let
+from .common import checkpoint
 from .components import components
 
-SIZE = 20
-WINDOW = 28
+SIZE = 20  # words of a window
+SEED, WINDOW = 8, 13  # SEED + WINDOW - 1 = SIZE: every window holds a seed
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 7, 2
 MAX_GROUP = 512
+GROUP_WORDS = 200_000
 _NULL_ID = -(2**63)
 _BATCH_WORDS = 200_000
+_CELLS = 1 << 24
 _P = np.uint64(0x9E3779B97F4A7C15)
-_TOP = np.uint64(2**64 - 1)
 _SALT = np.array([xxh64_intdigest(f"minhash {i}") | 1 for i in range(2 * BANDS * ROWS)], dtype=np.uint64)
+_KEYS = [f"k{b}" for b in range(BANDS)]
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -60,7 +63,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 def _fold(h: np.ndarray, n: int) -> np.ndarray:
     """Hash of each n consecutive values."""
-    out = h[:len(h) - n + 1].copy()
+    out = h[:max(len(h) - n + 1, 0)].copy()
     for k in range(1, n):
         out = _mix(out * _P + h[k:len(h) - n + 1 + k])
     return out
@@ -77,90 +80,140 @@ class _Hashes(dict):
 _HASHES = _Hashes()
 
 
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
 def split(text: bytes | None) -> list[bytes]:
     return text.lower().split() if text else []
 
 
-def paragraphs(texts: list[list[bytes]]) -> tuple[np.ndarray, ...]:
-    """(text index, first word, content hash, keys[bands]) of the paragraphs of several texts."""
-    lengths = np.array([len(t) for t in texts])
-    starts = np.concatenate([[0], np.cumsum(lengths)])
-    none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64))
-    if starts[-1] < SIZE:
-        return none
-    h = np.array([_HASHES[w] for t in texts for w in t], dtype=np.uint64)
-    grams = _fold(h, 3)
-    chosen = np.zeros(len(h), dtype=bool)
-    places = np.maximum(lengths - SIZE + 1, 0)  # places where a whole paragraph fits
-    if len(h) >= WINDOW + 2:
-        least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1)
-        ok = np.zeros(len(least) + 1, dtype=np.int64)
-        for s, n in zip(starts, places):
-            if n >= WINDOW:
-                ok[s] += 1
-                ok[min(s + n - WINDOW + 1, len(least))] -= 1
-        at = np.flatnonzero(np.cumsum(ok[:-1]))
-        chosen[at + least[at]] = True
-    for s, n in zip(starts, places):
-        if 0 < n < WINDOW:
-            chosen[s + grams[s:s + n].argmin()] = True
-    at = np.flatnonzero(chosen)
-    if not len(at):
-        return none
-    content = h[at]
-    for k in range(1, SIZE):
-        content = _mix(content * _P + h[at + k])
-    shingles = _fold(h, SHINGLE)[at[:, None] + np.arange(SIZE - SHINGLE + 1)]
-    low = [_mix(shingles * _SALT[2 * j] + _SALT[2 * j + 1]).min(axis=1) for j in range(BANDS * ROWS)]
+def _lines(text: bytes | None) -> list[list[bytes]]:
+    return [w for x in text.lower().split(b"\n") if (w := x.split())] if text else []
+
+
+def paragraphs(lines: list[list[bytes]], h: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(index, words, content hash, keys[bands]) of the lines that hold a shingle."""
+    h = _hashed([w for x in lines for w in x]) if h is None else h
+    n = np.array([len(x) for x in lines], dtype=np.int64)
+    starts = np.cumsum(n) - n
+    which = np.flatnonzero(n >= SHINGLE)
+    if not len(which):
+        return which, n[which], np.zeros(0, np.uint64), np.zeros((0, BANDS), np.uint64)
+    content = np.array([xxh64_intdigest(b" ".join(lines[i])) for i in which], dtype=np.uint64)
+    many = n[which] - SHINGLE + 1
+    first = np.cumsum(many) - many
+    shingles = _fold(h, SHINGLE)[np.arange(many.sum()) + np.repeat(starts[which] - first, many)]
+    low = [np.minimum.reduceat(_mix(shingles * _SALT[2 * j] + _SALT[2 * j + 1]), first) for j in range(BANDS * ROWS)]
     keys = []
     for b in range(BANDS):
-        key = np.full(len(at), b, dtype=np.uint64)
+        key = np.full(len(which), b, dtype=np.uint64)
         for r in range(ROWS):
             key = _mix(key * _P + low[b * ROWS + r])
         keys.append(key)
-    which = np.searchsorted(starts, at, side="right") - 1
-    return which, at - starts[which], content, np.stack(keys, axis=1)
-
+    return which, n[which], content, np.stack(keys, axis=1)
+
+
+def seeds(h: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(place in h, hash) of the seeds of consecutive texts of these lengths."""
+    if len(h) < SIZE:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    grams = _fold(h, SEED)
+    least = np.lib.stride_tricks.sliding_window_view(grams, WINDOW).argmin(axis=1)
+    ends = np.cumsum(lengths)
+    at = np.arange(len(least))  # a window of SIZE words from here, within one text
+    at = at[at + SIZE <= ends[np.searchsorted(ends, at, side="right")]]
+    at = np.unique(at + least[at])
+    return at, grams[at]
+
+
+def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """kind 0: lines (u, t, p, n, keys); 1: seeds (u, t, p); 2: texts (t, n)."""
+    def flush(ids: list[int], texts: list[list[list[bytes]]]) -> pa.RecordBatch:
+        ids = np.array(ids, dtype=np.int64)
+        lines = [x for t in texts for x in t]
+        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+        n = np.array([len(x) for x in lines], dtype=np.int64)
+        lengths = np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
+        begin = np.cumsum(lengths) - lengths
+        h = _hashed([w for x in lines for w in x])
+        which, words, content, keys = paragraphs(lines, h)
+        at, grams = seeds(h, lengths)
+        holder = np.searchsorted(begin + lengths, at, side="right")
+        kinds = np.repeat(np.array([0, 1, 2], dtype=np.int8), [len(which), len(at), len(ids)])
+        place = (np.cumsum(n) - n - begin[owner])[which] if len(lines) else which
+        blank = np.zeros(len(at) + len(ids), dtype=np.int64)
+        columns = [kinds, np.concatenate([content.view(np.int64), grams.view(np.int64), ids * 0]),
+                   np.concatenate([ids[owner[which]], ids[holder], ids]),
+                   np.concatenate([place, at - begin[holder], ids * 0]).astype(np.int32),
+                   np.concatenate([words, at * 0, lengths]).astype(np.int32),
+                   *[np.concatenate([keys[:, b].view(np.int64), blank]) for b in range(BANDS)]]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["kind", "u", "t", "p", "n", *_KEYS])
 
-def _paragraph_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def flush(ids, texts):
-        which, first, content, keys = paragraphs(texts)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.array(ids, dtype=np.int64)[which] if len(which) else np.zeros(0, np.int64)), pa.array(first.astype(np.int32)),
-             pa.array(content.view(np.int64)), *[pa.array(np.ascontiguousarray(keys[:, b]).view(np.int64)) for b in range(BANDS)]],
-            names=["d", "p", "u", *[f"k{b}" for b in range(BANDS)]])
     for batch in batches:
-        ids, texts, n = [], [], 0
-        for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids.append(d)
-            texts.append(split(t.as_py()))
-            n += len(texts[-1])
-            if n >= _BATCH_WORDS:
+        ids, texts, size = [], [], 0
+        for t, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            ids.append(t)
+            texts.append(_lines(text.as_py()))
+            size += sum(map(len, texts[-1]))
+            if size >= _BATCH_WORDS:
                 yield flush(ids, texts)
-                ids, texts, n = [], [], 0
+                ids, texts, size = [], [], 0
         if ids:
             yield flush(ids, texts)
 
 
+def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, t, p): every window of a text (t, text, places of shared seeds) that holds one of them."""
+    for batch in batches:
+        for i, t in enumerate(batch.column(0).to_pylist()):
+            h = _hashed(split(batch.column(1)[i].as_py()))
+            at = batch.column(2)[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+            near = np.zeros(len(h) + 1, dtype=np.int64)
+            np.add.at(near, np.maximum(at + SEED - SIZE, 0), 1)
+            np.add.at(near, at + 1, -1)
+            p = np.flatnonzero(np.cumsum(near)[:len(h) - SIZE + 1] > 0)
+            yield pa.RecordBatch.from_arrays([pa.array(_fold(h, SIZE)[p].view(np.int64)), pa.array(np.full(len(p), t, dtype=np.int64)),
+                                              pa.array(p.astype(np.int32))], names=["u", "t", "p"])
+
+
+def _content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, s): the distinct shingles (as hashes) of the wanted lines of a text."""
+    for batch in batches:
+        for text, wanted in zip(batch.column(0), batch.column(1)):
+            h = _hashed(split(text.as_py()))
+            got = [(w["u"], np.unique(_fold(h[w["p"]:w["p"] + w["n"]], SHINGLE)).view(np.int64)) for w in wanted.as_py()]
+            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in got], pa.int64()),
+                                              pa.array([s for _, s in got], pa.list_(pa.int64()))], names=["u", "s"])
+
+
 def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
     """Spanning forest of the pairs with Jaccard >= similarity in each group of (u, shingles)."""
     for batch in batches:
         edges: list[tuple[int, int]] = []
         for group in batch.column(0):
-            got = {m["u"]: m["s"] for m in group.as_py()}
-            if len(got) > 1:
-                edges += jaccard_forest(list(got), list(got.values()), similarity)
+            members = group.values
+            us = members.field("u").to_numpy()
+            lists = members.field("s")
+            at, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            edges += jaccard_forest(us.tolist(), [values[at[i]:at[i + 1]] for i in range(len(us))], similarity)
         yield pa.RecordBatch.from_arrays([pa.array([e[i] for e in edges], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
 
-def jaccard_forest(ids: list[int], sets: list[list[int]], similarity: float) -> list[tuple[int, int]]:
-    vocab: dict[int, int] = {}
-    cols = [np.array([vocab.setdefault(x, len(vocab)) for x in set(s)], dtype=np.int64) for s in sets]
-    m = np.zeros((len(sets), len(vocab)), dtype=np.float32)
-    for i, c in enumerate(cols):
-        m[i, c] = 1
-    both = m @ m.T
-    n = m.sum(axis=1)
+def jaccard_forest(ids: list[int], sets: list, similarity: float) -> list[tuple[int, int]]:
+    cols = [np.unique(np.asarray(s, dtype=np.int64)) for s in sets]
+    n = np.array([len(c) for c in cols], dtype=np.float32)
+    vocab, col = np.unique(np.concatenate(cols), return_inverse=True)
+    row = np.repeat(np.arange(len(sets)), n.astype(np.int64))
+    order = np.argsort(col, kind="stable")
+    row, col = row[order], col[order]
+    both = np.zeros((len(sets), len(sets)), dtype=np.float32)
+    width = max(_CELLS // len(sets), 1)  # a slice of the vocabulary at a time
+    for start in range(0, len(vocab), width):
+        lo, hi = np.searchsorted(col, [start, start + width])
+        m = np.zeros((len(sets), min(width, len(vocab) - start)), dtype=np.float32)
+        m[row[lo:hi], col[lo:hi] - start] = 1
+        both += m @ m.T
     a, b = np.nonzero(np.triu(both >= similarity * (n[:, None] + n[None, :] - both) - 1e-4, 1))
     parent = np.arange(len(sets))
     edges = []
@@ -180,113 +233,155 @@ def jaccard_forest(ids: list[int], sets: list[list[int]], similarity: float) ->
     return edges
 
 
-def _contents(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(u, s): the distinct 5-word shingles (as hashes) of each wanted paragraph."""
-    lists = wanted.groupBy(F.col("d").alias("_wd")).agg(F.collect_list(F.struct("p", "u")).alias("w"))
-    read = docs.join(lists, F.col("d") == F.col("_wd")).select("t", "w")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            us, ss = [], []
-            for t, w in zip(b.column(0), b.column(1)):
-                words = split(t.as_py())
-                for m in w.as_py():
-                    part = words[m["p"]:m["p"] + SIZE]
-                    if len(part) < SIZE:
-                        continue  # a repeated id with another text
-                    h = np.array([_HASHES[x] for x in part], dtype=np.uint64)
-                    if int(_fold(h, SIZE).view(np.int64)[0]) == m["u"]:
-                        us.append(m["u"])
-                        ss.append([xxh64_intdigest(b" ".join(part[i:i + SHINGLE])) - 2**63 for i in range(SIZE - SHINGLE + 1)])
-            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(ss, pa.list_(pa.int64()))], names=["u", "s"])
-
-    return read.mapInArrow(cut, "u bigint, s array<bigint>").dropDuplicates(["u"])
-
-
-def _candidate_groups(pairs: DataFrame, content: DataFrame, max_group: int) -> DataFrame:
-    """One array of (u, s) per key, or per pair of blocks of a key with more than max_group."""
-    sizes = checkpoint(pairs.groupBy(F.col("key").alias("_k")).count().where(F.col("count") > 1))
-    n = F.ceil(F.col("count") / max_group).cast("int")
-    blocks = pairs.join(sizes, F.col("key") == F.col("_k")).withColumn("_n", n) \
+def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Repeats (p, n, first, line) of each text as figures and the spans that go."""
+    def covered(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+        edge = np.zeros(int((p + n).max(initial=0)) + 2, dtype=np.int64)
+        np.add.at(edge, p + 1, 1)
+        np.add.at(edge, p + n + 1, -1)
+        return np.cumsum(edge) > 0  # one place further on, so that a span has an edge on either side
+
+    for batch in batches:
+        rows = []
+        for t, found in zip(batch.column(0).to_pylist(), batch.column(1)):
+            p, n, first, line = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("p", "n", "first", "line"))
+            p, n, gone = p.astype(np.int64), n.astype(np.int64), first != t
+            out = covered(p[gone], n[gone]).astype(np.int8)
+            start, end = np.flatnonzero(np.diff(out) == 1), np.flatnonzero(np.diff(out) == -1)
+            rows.append((t, int(first.min()), int(covered(p, n).sum()), int(covered(p[~line], n[~line]).sum()),
+                         [{"start": int(a), "end": int(b)} for a, b in zip(start, end)]))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
+                                         names=["t", "comp", "n_repeated", "n_passage", "removed"])
+
+
+@contextmanager
+def _no_old_shuffles(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of an action go when it ends: everything a later action reads is written."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def _in_two(at: DataFrame) -> DataFrame:
+    """(u, first) of what two or more texts hold. It is written out before it is joined back:
+    the join then has an exchange of its own on either side, and AQE can split a hot u."""
+    both = at.groupBy("u").agg(F.min("t").alias("first"), F.max("t").alias("last"))
+    return checkpoint(both.where(F.col("first") != F.col("last")).select(F.col("u").alias("_u"), "first"))
+
+
+def _line_links(lines: DataFrame, texts: DataFrame, each: DataFrame, similarity: float, max_group: int) -> DataFrame:
+    """Edges (a, b) of the distinct lines ``each`` whose shingles are similar."""
+    keyed = each.select(F.explode(F.array(*_KEYS)).alias("key"), "u", "n")
+    sizes = checkpoint(keyed.groupBy(F.col("key").alias("_k")).agg(F.count(F.lit(1)).alias("many"), F.sum("n").alias("words"))
+                       .where(F.col("many") > 1))
+    blocks = keyed.join(sizes, F.col("key") == F.col("_k")) \
+        .withColumn("_n", F.greatest(F.ceil(F.col("many") / max_group), F.ceil(F.col("words") / GROUP_WORDS)).cast("int")) \
         .withColumn("_b", F.pmod(F.xxhash64("u"), F.col("_n")).cast("int"))
     blocks = blocks.select("key", "u", F.explode(F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda x: F.struct(
         F.least(x, F.col("_b")).alias("i"), F.greatest(x, F.col("_b")).alias("j")))).alias("blk"))
-    filled = blocks.join(content.select(F.col("u").alias("_u"), "s"), F.col("u") == F.col("_u"))
-    return filled.groupBy("key", "blk").agg(F.collect_list(F.struct("u", "s")).alias("g")).where(F.size("g") > 1).select("g")
-
-
-def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
-             max_group: int = MAX_GROUP) -> DataFrame:
-    """(d, p, component, first, removed): every paragraph that two or more documents hold;
-    component is (first document, content hash of the root), first the document that keeps it."""
-    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("d"), F.col(text_col).cast("binary").alias("t"))
-    spark = df.sparkSession
+    # Lines that meet in several bands are compared once: equal groups are one.
+    groups = checkpoint(blocks.groupBy("key", "blk").agg(F.array_sort(F.collect_set("u")).alias("us"))
+                        .where(F.size("us") > 1).select("us").distinct())
+    members = groups.select(F.xxhash64("us").alias("g"), F.explode("us").alias("u"))
+    wanted = members.select(F.col("u").alias("_w")).distinct()
+    places = each.join(wanted, F.col("u") == F.col("_w"), "left_semi").select(F.col("u").alias("_u"), F.col("lo").alias("_t"))
+    places = lines.join(places, (F.col("u") == F.col("_u")) & (F.col("t") == F.col("_t"))).groupBy("u", "t").agg(
+        F.min("p").alias("p"), F.min("n").alias("n"))
+    lists = places.groupBy(F.col("t").alias("_wt")).agg(F.collect_list(F.struct("u", "p", "n")).alias("w"))
+    content = checkpoint(texts.join(lists, F.col("t") == F.col("_wt")).select("text", "w")
+                         .mapInArrow(_content_batches, "u bigint, s array<bigint>"))
+    filled = members.join(content.select(F.col("u").alias("_u"), "s"), F.col("u") == F.col("_u"))
+    return filled.groupBy("g").agg(F.collect_list(F.struct("u", "s")).alias("m")).select("m") \
+        .mapInArrow(lambda b: _verify(b, similarity), "a bigint, b bigint").distinct()
+
+
+def _repeated_lines(lines: DataFrame, texts: DataFrame, similarity: float, max_group: int) -> DataFrame:
+    """(t, p, n, first, line): every line whose component two or more texts hold."""
+    each = checkpoint(lines.groupBy("u").agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.max("n").alias("n"),
+                                             *[F.max(k).alias(k) for k in _KEYS]))
+    roots = components(_line_links(lines, texts, each, similarity, max_group))
+    classes = checkpoint(each.join(roots, F.col("u") == F.col("node"), "left")
+                         .select("u", F.coalesce("root", "u").alias("c"), "lo", "hi"))
+    spread = checkpoint(classes.groupBy(F.col("c").alias("_c")).agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
+                        .where(F.col("first") != F.col("last")))
+    shared = checkpoint(classes.join(spread, F.col("c") == F.col("_c")).select(F.col("u").alias("_u"), "first"))
+    return lines.join(shared, F.col("u") == F.col("_u")).select("t", "p", "n", "first", F.lit(True).alias("line"))
+
+
+def _write_windows(seeded: DataFrame, texts: DataFrame, path: str) -> None:
+    at = seeded.join(_in_two(seeded), F.col("u") == F.col("_u")).groupBy(F.col("t").alias("_wt")).agg(F.collect_list("p").alias("ps"))
+    texts.join(at, F.col("t") == F.col("_wt")).select("t", "text", "ps") \
+        .mapInArrow(_window_batches, "u bigint, t bigint, p int").write.parquet(path)
+
+
+def repeated(texts: DataFrame, similarity: float = SIMILARITY, max_group: int = MAX_GROUP) -> tuple[DataFrame, DataFrame]:
+    """For distinct texts (t, text), numbered so that the least t keeps a repeat: the repeats
+    of each text as (t, comp, n_repeated, n_passage, removed), and (t, n) its words."""
+    spark = texts.sparkSession
     # The large tables are written as Parquet, a third of the size of a checkpoint's rows,
     # and removed as soon as nothing reads them any more.
-    units_at, pairs_at, found_at = (shared_scratch_path(spark, x) for x in ("paragraphs", "shared-keys", "shared-paragraphs"))
-    docs.mapInArrow(_paragraph_batches, "d bigint, p int, u bigint, " + ", ".join(
-        f"k{b} bigint" for b in range(BANDS))).write.parquet(units_at)
+    units_at, lines_at, windows_at = (shared_scratch_path(spark, x) for x in ("units", "lines", "windows"))
+    texts.mapInArrow(_unit_batches, "kind tinyint, u bigint, t bigint, p int, n int, "
+                     + ", ".join(f"{k} bigint" for k in _KEYS)).write.parquet(units_at)
     units = spark.read.parquet(units_at)
-
-    def write_band(band: int) -> None:
-        keyed = units.select(F.col(f"k{band}").alias("key"), "d", "u")
-        # Aggregates are written out before they are joined back: the join then has an exchange
-        # of its own on either side, and AQE can split a key that a large part of all rows has.
-        shared = checkpoint(keyed.groupBy(F.col("key").alias("_k")).agg(F.min("d").alias("_lo"), F.max("d").alias("_hi"))
-                            .where(F.col("_lo") != F.col("_hi")).select("_k"))
-        keyed.select("key", "u").join(shared, F.col("key") == F.col("_k")).select("key", "u").write.mode("append").parquet(pairs_at)
-
-    for band in range(BANDS):
-        write_band(band)
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()  # the band's shuffle files go
-    pairs = checkpoint(spark.read.parquet(pairs_at).distinct())
-    remove_shared(spark, pairs_at)
-    shared = checkpoint(pairs.select(F.col("u").alias("_u")).distinct())
-    units.select("u", "d", "p").join(shared, F.col("u") == F.col("_u")).select("u", "d", "p").write.parquet(found_at)
+    sizes = checkpoint(units.where("kind = 2").select("t", "n"))
+    units.where("kind = 0").select("u", "t", "p", "n", *_KEYS).write.parquet(lines_at)
+    _write_windows(units.where("kind = 1").select("u", "t", "p"), texts, windows_at)
     remove_shared(spark, units_at)
-    found = spark.read.parquet(found_at)
-    several = checkpoint(pairs.groupBy("key").agg(F.min("u").alias("lo"), F.max("u").alias("hi"))
-                         .where(F.col("lo") != F.col("hi")).select(F.col("key").alias("_k")))
-    near = checkpoint(pairs.join(several, F.col("key") == F.col("_k")).select("key", "u"))
-    # One place of each paragraph first (pre-aggregated), then the join: no hot paragraph is left.
-    places = found.groupBy("u").agg(F.min(F.struct("d", "p")).alias("m")).select("u", "m.*")
-    wanted = places.join(near.select(F.col("u").alias("_u")).distinct(), F.col("u") == F.col("_u"), "left_semi")
-    groups = _candidate_groups(near, checkpoint(_contents(docs, wanted)), max_group)
-    edges = groups.mapInArrow(lambda b: _verify(b, similarity), "a bigint, b bigint").distinct()
-    roots = components(edges)
-    members = found.distinct().join(roots, F.col("u") == F.col("node"), "left") \
-        .select("d", "p", F.coalesce("root", "u").alias("c"))
-    members = checkpoint(members)
-    remove_shared(spark, found_at)
-    spread = checkpoint(members.groupBy(F.col("c").alias("_c")).agg(F.min("d").alias("first"), F.max("d").alias("_last"))
-                        .where(F.col("first") != F.col("_last")).select("_c", "first"))
-    return members.join(spread, F.col("c") == F.col("_c")).select(
-        "d", "p", "c", "first", (F.col("d") != F.col("first")).alias("removed"))
+    lines, windows = spark.read.parquet(lines_at), spark.read.parquet(windows_at)
+    runs = windows.join(_in_two(windows), F.col("u") == F.col("_u")).select(
+        "t", "p", F.lit(SIZE).alias("n"), "first", F.lit(False).alias("line"))
+    every = _repeated_lines(lines, texts, similarity, max_group).unionByName(runs)
+    found = checkpoint(every.groupBy("t").agg(F.collect_list(F.struct("p", "n", "first", "line")).alias("m")).mapInArrow(
+        _span_batches, "t bigint, comp bigint, n_repeated bigint, n_passage bigint, removed array<struct<start:int,end:int>>"))
+    remove_shared(spark, lines_at)
+    remove_shared(spark, windows_at)
+    return found, sizes
 
 
 def passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
              max_group: int = MAX_GROUP) -> DataFrame:
-    """One row per id: component_id (the smallest id that shares a passage component with it,
-    its own if none does), n_repeated_words, n_removed_words, removed (array of word spans)."""
-    def covered(starts):
-        return F.array_sort(F.array_distinct(F.flatten(F.transform(starts, lambda p: F.sequence(p, p + (SIZE - 1))))))
-
-    def spans(words):
-        return F.zip_with(F.filter(words, lambda w, i: (i == 0) | (F.get(words, i - 1) != w - 1)),
-                          F.filter(words, lambda w, i: F.coalesce(F.get(words, i + 1) != w + 1, F.lit(True))),
-                          lambda a, b: F.struct(a.alias("start"), (b + 1).alias("end")))
-
-    each = repeated(df, id_col, text_col, similarity, max_group).groupBy("d").agg(
-        F.min("first").alias("first"), F.collect_set("p").alias("all"), F.collect_set(F.when(F.col("removed"), F.col("p"))).alias("gone"))
-    each = each.select("d", "first", F.size(covered(F.col("all"))).cast("long").alias("n_repeated_words"),
-                       let(covered(F.col("gone")), spans).alias("removed"))
-    ids = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("_d")).distinct()
-    none = F.array().cast(each.schema["removed"].dataType)
-    removed = F.coalesce("removed", none)
-    return ids.join(each, F.col("_d") == F.col("d"), "left").select(
-        F.nullif(F.col("_d"), F.lit(_NULL_ID)).alias(id_col),
-        F.nullif(F.coalesce("first", "_d"), F.lit(_NULL_ID)).alias("component_id"),
-        F.coalesce("n_repeated_words", F.lit(0)).cast("long").alias("n_repeated_words"),
-        F.aggregate(removed, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed_words"),
-        removed.alias("removed"))
+    """One row per row: component_id (the smallest id that keeps a repeat of it, its own if it
+    has none), n_repeated_words, n_passage_words (of them in shared runs of 20 or more),
+    n_removed_words, removed (array of word spans)."""
+    spark = df.sparkSession
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("d"), text.alias("text"),
+                     F.xxhash64(text).alias("h"), F.hash(text).alias("g"))
+    texts_at = shared_scratch_path(spark, "texts")
+    with _no_old_shuffles(spark):
+        # Numbered in the order of the least id, then of the hash: the number stands for both.
+        numbers = checkpoint(docs.groupBy("h", "g").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+                             .repartitionByRange("lo", "h", "g").sortWithinPartitions("lo", "h", "g")
+                             .withColumn("t", F.monotonically_increasing_id()))
+        named = numbers.select(F.col("h").alias("_h"), F.col("g").alias("_g"), "t")
+        docs.groupBy("h", "g").agg(F.min("text").alias("text")).join(named, (F.col("h") == F.col("_h")) & (F.col("g") == F.col("_g"))) \
+            .select("t", F.col("text").cast("binary").alias("text")).write.parquet(texts_at)
+        found, sizes = repeated(spark.read.parquet(texts_at), similarity, max_group)
+        remove_shared(spark, texts_at)
+        ids = numbers.select(F.col("t").alias("comp"), F.col("lo").alias("comp_id"))
+        info = numbers.join(sizes, "t").join(found.join(ids, "comp"), "t", "left")
+        info = checkpoint(info.select("h", "g", "lo", "hi", "n", "comp_id", "n_repeated", "n_passage", "removed"))
+
+    none = F.array().cast(info.schema["removed"].dataType)
+    copied = (F.col("lo") != F.col("hi")) & (F.col("n") > 0)
+    whole = F.array(F.struct(F.lit(0).alias("start"), F.col("n").alias("end")))
+    removed = F.when(copied & (F.col("d") != F.col("lo")), whole).otherwise(F.coalesce("removed", none))
+    own = F.when(copied, F.col("lo")).otherwise(F.col("d"))
+
+    def words(column: str):
+        return F.when(copied, F.col("n")).otherwise(F.coalesce(column, F.lit(0))).cast("long")
+
+    rows = docs.select("d", F.col("h").alias("_h"), F.col("g").alias("_g"))
+    rows = rows.join(info, (F.col("h") == F.col("_h")) & (F.col("g") == F.col("_g")))
+    return rows.select("d", "comp_id", own.alias("own"), words("n_repeated").alias("n_repeated_words"),
+                       F.when(copied & (F.col("n") >= SIZE), F.col("n")).otherwise(F.coalesce("n_passage", F.lit(0)))
+                       .cast("long").alias("n_passage_words"), removed.alias("removed")).select(
+        F.nullif(F.col("d"), F.lit(_NULL_ID)).alias(id_col),
+        F.nullif(F.coalesce("comp_id", "own"), F.lit(_NULL_ID)).alias("component_id"), "n_repeated_words", "n_passage_words",
+        F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]).alias("n_removed_words"), "removed")

@@ -83,7 +83,7 @@ def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     spans = F.array_join(F.transform("removed", lambda s: F.concat_ws("-", s["start"], s["end"])), ",")
     return passages(documents(spark, sf_dir)).select(
-        "doc_id", "component_id", "n_repeated_words", "n_removed_words", spans.alias("removed_spans"))
+        "doc_id", "component_id", "n_repeated_words", "n_passage_words", "n_removed_words", spans.alias("removed_spans"))
 
 
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
