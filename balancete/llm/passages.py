@@ -165,26 +165,55 @@ def _unit_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(u, t, p): every window of a text (t, text, places of shared seeds) that holds one of them."""
+    def flush(us: list, ts: list, ps: list) -> pa.RecordBatch:
+        t = np.repeat(np.array(ts, dtype=np.int64), [len(p) for p in ps])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(us).view(np.int64)), pa.array(t),
+                                           pa.array(np.concatenate(ps).astype(np.int32))], names=["u", "t", "p"])
+
     for batch in batches:
-        for i, t in enumerate(batch.column(0).to_pylist()):
-            h = _hashed(split(batch.column(1)[i].as_py()))
-            at = batch.column(2)[i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, places = batch.column(2).offsets.to_numpy(), batch.column(2).values.to_numpy(zero_copy_only=False).astype(np.int64)
+        us, ts, ps, size = [], [], [], 0
+        for i, (t, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
+            h = _hashed(split(text.as_py()))
+            at = places[ends[i]:ends[i + 1]]
             near = np.zeros(len(h) + 1, dtype=np.int64)
             np.add.at(near, np.maximum(at + SEED - SIZE, 0), 1)
             np.add.at(near, at + 1, -1)
             p = np.flatnonzero(np.cumsum(near)[:len(h) - SIZE + 1] > 0)
-            yield pa.RecordBatch.from_arrays([pa.array(_fold(h, SIZE)[p].view(np.int64)), pa.array(np.full(len(p), t, dtype=np.int64)),
-                                              pa.array(p.astype(np.int32))], names=["u", "t", "p"])
+            us.append(_fold(h, SIZE)[p])
+            ts.append(t)
+            ps.append(p)
+            size += len(p)
+            if size >= _BATCH_WORDS:
+                yield flush(us, ts, ps)
+                us, ts, ps, size = [], [], [], 0
+        if us:
+            yield flush(us, ts, ps)
 
 
 def _content_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(u, s): the distinct shingles (as hashes) of the wanted lines of a text."""
+    def flush(us: list, sets: list) -> pa.RecordBatch:
+        ends = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+        s = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64)))
+        return pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), s], names=["u", "s"])
+
     for batch in batches:
-        for text, wanted in zip(batch.column(0), batch.column(1)):
-            h = _hashed(split(text.as_py()))
-            got = [(w["u"], np.unique(_fold(h[w["p"]:w["p"] + w["n"]], SHINGLE)).view(np.int64)) for w in wanted.as_py()]
-            yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in got], pa.int64()),
-                                              pa.array([s for _, s in got], pa.list_(pa.int64()))], names=["u", "s"])
+        wanted = batch.column(1)
+        ends = wanted.offsets.to_numpy()
+        u, p, n = (wanted.values.field(k).to_numpy(zero_copy_only=False).tolist() for k in ("u", "p", "n"))
+        us, sets, size = [], [], 0
+        for i, text in enumerate(batch.column(0)):
+            grams = _fold(_hashed(split(text.as_py())), SHINGLE)
+            for j in range(ends[i], ends[i + 1]):
+                us.append(u[j])
+                sets.append(np.unique(grams[p[j]:p[j] + n[j] - SHINGLE + 1]))
+                size += n[j]
+            if size >= _BATCH_WORDS:
+                yield flush(us, sets)
+                us, sets, size = [], [], 0
+        if us:
+            yield flush(us, sets)
 
 
 def _verify(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
