@@ -263,25 +263,32 @@ def jaccard_forest(ids: list[int], sets: list, similarity: float) -> list[tuple[
 
 
 def _span_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Repeats (p, n, first, line) of each text as figures and the spans that go."""
-    def covered(p: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Windows (2 p, and 1 if it goes) and lines (p, n, gone) of each text as figures and the spans that go."""
+    def covered(p: np.ndarray, n) -> np.ndarray:
         edge = np.zeros(int((p + n).max(initial=0)) + 2, dtype=np.int64)
         np.add.at(edge, p + 1, 1)
         np.add.at(edge, p + n + 1, -1)
         return np.cumsum(edge) > 0  # one place further on, so that a span has an edge on either side
 
+    def parts(column: pa.ListArray, names: tuple[str, ...]) -> tuple:
+        flat = [column.values.field(k) for k in names] if names else [column.values]
+        return column.offsets.to_numpy(), [f.to_numpy(zero_copy_only=False).astype(np.int64) for f in flat]
+
     for batch in batches:
+        w_at, (coded,) = parts(batch.column(1), ())
+        l_at, (lp, ln, lg) = parts(batch.column(2), ("p", "n", "gone"))
         rows = []
-        for t, found in zip(batch.column(0).to_pylist(), batch.column(1)):
-            p, n, first, line = (found.values.field(k).to_numpy(zero_copy_only=False) for k in ("p", "n", "first", "line"))
-            p, n, gone = p.astype(np.int64), n.astype(np.int64), first != t
+        for i, t in enumerate(batch.column(0).to_pylist()):
+            w, of = coded[w_at[i]:w_at[i + 1]], slice(l_at[i], l_at[i + 1])
+            p, n = np.concatenate([w >> 1, lp[of]]), np.concatenate([np.full(len(w), SIZE), ln[of]])
+            gone = np.concatenate([w & 1, lg[of]]) > 0
             out = covered(p[gone], n[gone]).astype(np.int8)
             start, end = np.flatnonzero(np.diff(out) == 1), np.flatnonzero(np.diff(out) == -1)
-            rows.append((t, int(first.min()), int(covered(p, n).sum()), int(covered(p[~line], n[~line]).sum()),
+            rows.append((t, int(covered(p, n).sum()), int(covered(w >> 1, SIZE).sum()),
                          [{"start": int(a), "end": int(b)} for a, b in zip(start, end)]))
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
         yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)],
-                                         names=["t", "comp", "n_repeated", "n_passage", "removed"])
+                                         names=["t", "n_repeated", "n_passage", "removed"])
 
 
 @contextmanager
@@ -330,7 +337,7 @@ def _line_links(lines: DataFrame, texts: DataFrame, each: DataFrame, similarity:
 
 
 def _repeated_lines(lines: DataFrame, texts: DataFrame, similarity: float, max_group: int) -> DataFrame:
-    """(t, p, n, first, line): every line whose component two or more texts hold."""
+    """(t, p, n, first): every line whose component two or more texts hold."""
     each = checkpoint(lines.groupBy("u").agg(F.min("t").alias("lo"), F.max("t").alias("hi"), F.max("n").alias("n"),
                                              *[F.max(k).alias(k) for k in _KEYS]))
     roots = components(_line_links(lines, texts, each, similarity, max_group))
@@ -339,15 +346,24 @@ def _repeated_lines(lines: DataFrame, texts: DataFrame, similarity: float, max_g
     spread = checkpoint(classes.groupBy(F.col("c").alias("_c")).agg(F.min("lo").alias("first"), F.max("hi").alias("last"))
                         .where(F.col("first") != F.col("last")))
     shared = checkpoint(classes.join(spread, F.col("c") == F.col("_c")).select(F.col("u").alias("_u"), "first"))
-    return lines.join(shared, F.col("u") == F.col("_u")).select("t", "p", "n", "first", F.lit(True).alias("line"))
+    return lines.join(shared, F.col("u") == F.col("_u")).select("t", "p", "n", "first")
 
 
 def _write_windows(seeded: DataFrame, texts: DataFrame, path: str) -> None:
-    at = seeded.join(_in_two(seeded), F.col("u") == F.col("_u")).groupBy(F.col("t").alias("_wt")).agg(F.collect_list("p").alias("ps"))
+    # The rows are dealt by text before they are collected: partial lists would be larger than they are.
+    at = checkpoint(seeded.join(_in_two(seeded), F.col("u") == F.col("_u")).select(F.col("t").alias("_wt"), "p")
+                    .repartition("_wt").groupBy("_wt").agg(F.collect_list("p").alias("ps")))
     texts.join(at, F.col("t") == F.col("_wt")).select("t", "text", "ps") \
         .mapInArrow(_window_batches, "u bigint, t bigint, p int").write.parquet(path)
 
 
+def _runs(windows: DataFrame) -> DataFrame:
+    """(t, first, w): the shared windows of each text, as 2 p and 1 if the window goes."""
+    found = windows.join(_in_two(windows), F.col("u") == F.col("_u")).select(
+        "t", (F.col("p").cast("long") * 2 + (F.col("first") != F.col("t")).cast("long")).alias("w"), "first")
+    return found.repartition("t").groupBy("t").agg(F.min("first").alias("first"), F.collect_list("w").alias("w"))
+
+
 def repeated(texts: DataFrame, similarity: float = SIMILARITY, max_group: int = MAX_GROUP) -> tuple[DataFrame, DataFrame]:
     """For distinct texts (t, text), numbered so that the least t keeps a repeat: the repeats
     of each text as (t, comp, n_repeated, n_passage, removed), and (t, n) its words."""
@@ -359,17 +375,21 @@ def repeated(texts: DataFrame, similarity: float = SIMILARITY, max_group: int =
                      + ", ".join(f"{k} bigint" for k in _KEYS)).write.parquet(units_at)
     units = spark.read.parquet(units_at)
     sizes = checkpoint(units.where("kind = 2").select("t", "n"))
-    units.where("kind = 0").select("u", "t", "p", "n", *_KEYS).write.parquet(lines_at)
     _write_windows(units.where("kind = 1").select("u", "t", "p"), texts, windows_at)
+    units.where("kind = 0").select("u", "t", "p", "n", *_KEYS).write.parquet(lines_at)
     remove_shared(spark, units_at)
-    lines, windows = spark.read.parquet(lines_at), spark.read.parquet(windows_at)
-    runs = windows.join(_in_two(windows), F.col("u") == F.col("_u")).select(
-        "t", "p", F.lit(SIZE).alias("n"), "first", F.lit(False).alias("line"))
-    every = _repeated_lines(lines, texts, similarity, max_group).unionByName(runs)
-    found = checkpoint(every.groupBy("t").agg(F.collect_list(F.struct("p", "n", "first", "line")).alias("m")).mapInArrow(
-        _span_batches, "t bigint, comp bigint, n_repeated bigint, n_passage bigint, removed array<struct<start:int,end:int>>"))
-    remove_shared(spark, lines_at)
+    runs = checkpoint(_runs(spark.read.parquet(windows_at)))
     remove_shared(spark, windows_at)
+    lines = _repeated_lines(spark.read.parquet(lines_at), texts, similarity, max_group).groupBy(F.col("t").alias("_t")).agg(
+        F.min("first").alias("_first"), F.collect_list(F.struct("p", "n", (F.col("first") != F.col("t")).cast("int").alias("gone"))).alias("l"))
+    every = checkpoint(runs.join(lines, F.col("t") == F.col("_t"), "full").select(
+        F.coalesce("t", "_t").alias("t"), F.least("first", "_first").alias("comp"),
+        F.coalesce("w", F.array().cast("array<bigint>")).alias("w"),
+        F.coalesce("l", F.array().cast("array<struct<p:int,n:int,gone:int>>")).alias("l")))
+    spans = every.select("t", "w", "l").mapInArrow(
+        _span_batches, "t bigint, n_repeated bigint, n_passage bigint, removed array<struct<start:int,end:int>>")
+    found = checkpoint(every.select("t", "comp").join(spans, "t"))
+    remove_shared(spark, lines_at)
     return found, sizes
 
 
