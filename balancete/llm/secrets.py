@@ -3,15 +3,18 @@
 The models are bigram models over the base64 and identifier characters, one of random
 strings and one of ordinary identifiers. Labelled samples: random are seeded random strings
 and the values that the fixed rules find; ordinary are the words of the sampled texts and
-identifiers joined from them, the numbers of those texts and seeded numbers. The sample is the documents whose id hash falls below
+identifiers joined from them, the numbers of those texts, seeded numbers and dates, and
+rules drawn with one sign. The sample is the documents whose id hash falls below
 ``sample_docs`` / (number of documents): a bounded number of labelled rows, counted on the
 executors; the driver receives at most one number per pair of characters and class.
 
-A token of ``min_token`` or more characters (whatever they are) is a span of kind
-``random`` if its log-likelihood ratio is at least ``min_llr`` (the log of the prior odds
-against a token being a secret), unless it overlaps a fixed rule's span.
+A token, a longest run of ``[A-Za-z0-9+/_=-]`` of any length, is a span of kind ``random``
+if its log-likelihood ratio is at least ``min_llr`` (the log of the prior odds against a
+token being a secret), unless it overlaps a fixed rule's span. The ratio alone decides:
+a short token cannot gather as much as a long one.
 
-Whole texts are scanned in one map-only pass.
+Whole texts are scanned in one map-only pass; the ratios of all tokens of a text are summed
+at once over its code points.
 
 Defined results: null and empty texts have no spans; null and repeated ids give a row
 each; empty table: empty result; other columns are not read.
@@ -31,7 +34,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_DOCS = 2000
-MIN_TOKEN = 16
 MIN_LLR = math.log(1e6)
 KINDS = ("assign", "access", "hex", "random")
 
@@ -39,12 +41,12 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _NAMES = ("password", "passwd", "secret", "token", "api")
-_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{%d,}" % MIN_TOKEN)
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]{2,}")
 _NUMBER = re.compile(r"(?<![A-Za-z0-9+/_=-])[0-9]{3,}(?![A-Za-z0-9+/_=-])")
 _CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-."
 _CODE = {c: i + 1 for i, c in enumerate(_CHARS)}  # 0: the start of a string, or another character
 _N = len(_CHARS) + 1
+_IN_TOKEN = np.array([0 if chr(c) == "." else _CODE.get(chr(c), 0) for c in range(128)] + [0], dtype=np.int64)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -71,7 +73,18 @@ def _identifiers(words: list[str]) -> Iterator[str]:
     """Words as they are, and joined in the usual ways."""
     yield from words
     for i, (a, b) in enumerate(zip(words, words[1:])):
-        yield (f"{a}_{b}", a + b.capitalize(), f"{a}-{b}", f"{a}{i % 100}", f"{a}.{b}", f"{a}/{b}")[i % 6]
+        yield (f"{a}_{b}", a + b.capitalize(), f"{a}-{b}", f"{a}{i % 100}", f"{a}.{b}", f"{a}/{b}", f"{a}-{i % 1000}",
+               f"{a}_{b}".upper(), f"{a.upper()}-{i % 10000}", f"{a[0]}{i % 100}_{i % 64}")[i % 10]
+
+
+def _numbers(n: int = 3000, seed: int = 12) -> Iterator[str]:
+    """Numbers, dates, fractions, ranges and dotted or dashed groups of digits."""
+    rng = random.Random(seed)
+    for i in range(n):
+        yield "".join(rng.choices("0123456789", k=rng.randint(4, 20)))
+        groups = [str(rng.randrange(10 ** rng.randint(1, 4))) for _ in range(rng.randint(2, 4))]
+        yield "-/_"[i % 3].join(groups)
+        yield f"{rng.randint(1900, 2099)}-{rng.randint(1, 12):02}-{rng.randint(1, 31):02}"
 
 
 def _random_strings(n: int = 3000, seed: int = 11) -> Iterator[str]:
@@ -109,9 +122,8 @@ def train(df: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_D
     for s in _random_strings():
         for p in pairs_of(s):
             counts[0, p // _N, p % _N] += 1
-    rng = random.Random(12)
-    for _ in range(3000):
-        for p in pairs_of("".join(rng.choices("0123456789", k=rng.randint(4, 20)))):
+    for x in [*_numbers(), *(c * k for c in "-=_+/" for k in range(2, 80))]:
+        for p in pairs_of(x):
             counts[1, p // _N, p % _N] += 1
     for r in sample.mapInArrow(count, "k int, p int, c long").groupBy("k", "p").agg(F.sum("c").alias("c")).collect():
         counts[r.k, r.p // _N, r.p % _N] += r.c
@@ -119,21 +131,25 @@ def train(df: DataFrame, id_col: str, text_col: str, sample_docs: int = SAMPLE_D
     return (logs[0] - logs[1]).reshape(-1)
 
 
-def random_spans(text: str, ratio: list[float], base: list[tuple[int, int, int]],
+def random_spans(text: str, ratio: np.ndarray, base: list[tuple[int, int, int]],
                  min_llr: float = MIN_LLR) -> list[tuple[int, int, int]]:
-    out = []
-    for m in _TOKEN.finditer(text):
-        token = m.group()
-        if sum(ratio[p] for p in pairs_of(token)) >= min_llr and \
-                not any(s < m.end() and m.start() < e for s, _, e in base):
-            out.append((m.start(), 3, m.end()))
-    return out
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    code = np.zeros(len(points) + 2, dtype=np.int64)  # nothing before and after
+    code[1:-1] = _IN_TOKEN[np.minimum(points, 128)]
+    inside = (code > 0).astype(np.int8)
+    start, end = np.flatnonzero(np.diff(inside) == 1), np.flatnonzero(np.diff(inside) == -1)
+    if not len(start):
+        return []
+    value = np.where(inside[1:-1] > 0, ratio[code[:-2] * _N + code[1:-1]], 0.0)
+    found = np.flatnonzero(np.add.reduceat(value, start) >= min_llr)
+    return [(s, 3, e) for s, e in zip(start[found].tolist(), end[found].tolist())
+            if not any(b < e and s < c for b, _, c in base)]
 
 
 def secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE_DOCS,
             min_llr: float = MIN_LLR) -> DataFrame:
     """Per row: id, spans array<struct<kind, start, end>> in code points, by start, then kind."""
-    ratio = train(df, id_col, text_col, sample_docs).tolist()  # some 5,000 numbers
+    ratio = train(df, id_col, text_col, sample_docs)  # some 5,000 numbers
     src = df.select(F.col(id_col).alias(id_col), F.col(text_col).alias("_text"))
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 

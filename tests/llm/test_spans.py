@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from balancete.llm import queries
 from balancete.llm.pii import KINDS, PATTERNS, pii
-from balancete.llm.secrets import base_spans, secrets
+from balancete.llm.secrets import MIN_LLR, base_spans, pairs_of, random_spans, secrets, train
 
 SF = "/root/testdata/sf0.01"
 
@@ -157,6 +157,36 @@ def test_markov_ratio_finds_keys_of_letters_only(spark):
     assert sum(bool(got[20_000 + i]) for i in range(len(numbers))) <= 0.02 * len(numbers)
 
 
+def test_markov_ratio_of_every_token(spark):
+    """All tokens of all texts, short ones too, against sums taken token by token."""
+    import random
+    rng = random.Random(8)
+    ratio = train(spark.read.parquet(f"{SF}/documents.parquet"), "doc_id", "text")
+    chars = "ABCxyzQWj019+/_=-.  é日\n"
+    texts = ["".join(rng.choices(chars, k=rng.randint(0, 60))) for _ in range(2000)] + ["", ".", "a", "x" * 100_000]
+    for text in texts:
+        for limit in (2.0, MIN_LLR):
+            want = [(m.start(), 3, m.end()) for m in re.finditer(r"[A-Za-z0-9+/_=-]+", text)
+                    if sum(ratio[p] for p in pairs_of(m.group())) >= limit]
+            base = [(5, 0, 9)]
+            assert random_spans(text, ratio, [], limit) == want
+            assert random_spans(text, ratio, base, limit) == [w for w in want if not (w[0] < 9 and 5 < w[2])]
+
+
+def test_markov_ratio_of_short_keys_and_rules(spark):
+    """Keys below 16 characters are found by their ratio alone; rules and short words are not."""
+    import random
+    rng = random.Random(6)
+    every = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    keys = ["".join(rng.choices(every, k=14)) for _ in range(200)]
+    plain = [c * k for c in "-=_+/" for k in (3, 16, 60, 500)] + "i18n utf-8 HTML5 x86_64 2024-01-31 README Co A/B ISO-8859-1 v2 e-mail".split()
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    extra = [(10_000 + i, f"x {k} y") for i, k in enumerate(keys)] + [(20_000 + i, f"x {n} y") for i, n in enumerate(plain)]
+    got = {r.doc_id: r.spans for r in secrets(docs.unionByName(spark.createDataFrame(extra, "doc_id long, text string"))).collect()}
+    assert sum(bool(got[10_000 + i]) for i in range(len(keys))) >= 0.95 * len(keys)
+    assert [p for i, p in enumerate(plain) if got[20_000 + i]] == []
+
+
 def test_secrets_nulls_repeats_empty(spark, tricky):
     got = secrets(tricky).collect()
     assert len(got) == tricky.count() and [r.spans for r in got if r.doc_id == 50] == [[]]
