@@ -5,8 +5,8 @@ inheritance from the nearest ancestor directory by path joins.
   ln((1 + N) / (1 + df)) + 1 with df counted over all N documents, for every term. The
   counts stay on the executors (the driver receives those of the templates' terms, a few
   hundred rows): the other terms of the candidates are joined to them for the norms.
-* Templates. Notices, and the whole texts of licences (``license_texts``; those of the CC
-  licences are not there). Holder and years of a copyright statement are no terms.
+* Templates. Notices, and the whole texts of licences (``license_texts``; those of the
+  CC BY licences are not there). Holder and years of a copyright statement are no terms.
 * Candidates. Every line of every text (a header), every run of lines about as long as a
   template (a notice wrapped over lines, a licence within a file), and the whole text (a
   licence file). Of headers that overlap the one with the highest score stays. A text is
@@ -40,6 +40,12 @@ from .common import checkpoint
 
 # Licence notices and the opening words of licence files.
 TEMPLATES: dict[str, tuple[str, ...]] = {
+    "AGPL-3.0": (
+        "Released under the GNU Affero General Public License version 3.",
+        "GNU Affero General Public License version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."),
     "Apache-2.0": (
         "Licensed under the Apache License, Version 2.0.",
         "Apache License",
@@ -47,6 +53,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
         "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    "BSD-2-Clause": ("Licensed under the BSD 2-Clause License.", "BSD 2-Clause License"),
     "BSD-3-Clause": (
         "Licensed under the BSD 3-Clause License.",
         "BSD 3-Clause License",
@@ -55,12 +62,42 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-4.0": ("Licensed under CC BY 4.0.", "Licensed under the Creative Commons Attribution 4.0 International License."),
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0.",
                      "Licensed under the Creative Commons Attribution-NonCommercial 4.0 International License."),
+    "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0.",
+                     "Licensed under the Creative Commons Attribution-ShareAlike 4.0 International License."),
+    "CC0-1.0": (
+        "Licensed under CC0 1.0.",
+        "CC0 1.0 Universal",
+        "To the extent possible under law, the author(s) have dedicated all copyright and related and neighboring rights "
+        "to this software to the public domain worldwide. This software is distributed without any warranty."),
+    "GPL-2.0": (
+        "Released under the GNU General Public License version 2.",
+        "GNU General Public License version 2",
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+        "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your "
+        "option) any later version."),
     "GPL-3.0": (
         "Released under the GNU General Public License version 3.",
         "GNU General Public License version 3",
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
         "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
         "option) any later version."),
+    "ISC": (
+        "Released under the ISC License.",
+        "ISC License",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+        "granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    "LGPL-2.1": (
+        "Released under the GNU Lesser General Public License version 2.1.",
+        "GNU Lesser General Public License version 2.1",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your "
+        "option) any later version."),
+    "LGPL-3.0": (
+        "Released under the GNU Lesser General Public License version 3.",
+        "GNU Lesser General Public License version 3",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General "
+        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+        "option) any later version."),
     "MIT": (
         "Released under the MIT License.",
         "MIT License",
@@ -70,6 +107,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "documentation files (the \"Software\"), to deal in the Software without restriction"),
     "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",),
     "Proprietary": ("All rights reserved.", "Copyright. All rights reserved. Confidential and proprietary."),
+    "Unlicense": ("Released under the Unlicense.", "This is free and unencumbered software released into the public domain."),
 }
 THRESHOLD = 0.8
 MAX_TERMS = 1 << 17  # that a task counts before it hands them on
@@ -78,7 +116,8 @@ _TERM = re.compile(r"[a-z0-9]+(?:\.[0-9]+)*")
 _HOLDER = re.compile(r"\bcopyright\b[^\n]{0,200}?\ball rights reserved\b")
 # Whole licence texts.
 FILES: dict[str, str] = {name: pkgutil.get_data(__package__, f"license_texts/{name}.txt").decode()
-                         for name in ("Apache-2.0", "BSD-3-Clause", "GPL-3.0", "MIT", "MPL-2.0")}
+                         for name in ("AGPL-3.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0",
+                                      "ISC", "LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense")}
 
 
 def terms(text: str) -> list[str]:

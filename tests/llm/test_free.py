@@ -79,6 +79,79 @@ def test_wrapped_notices_whole_licences_and_short_headers(spark):
     assert [rows[1][0][h.start:h.end] for h in got[1].headers] == [bsd]
 
 
+def plain_licenses(docs, templates, threshold=0.8):
+    """doc -> (headers, licence of the whole text): the cosine of every line, run of lines and text
+    with every template, with weights counted over all documents."""
+    import math
+    from collections import Counter as Bag
+    count = Bag(t for text in docs.values() for t in set(terms(text or "")))
+
+    def vector(words):
+        return {t: n * (math.log((1 + len(docs)) / (1 + count[t])) + 1) for t, n in Bag(words).items()}
+
+    def norm(v):
+        return math.sqrt(sum(x * x for x in v.values()))
+
+    known = [(name, file, len(terms(text)), vector(terms(text))) for name, text, file in templates]
+    out = {}
+    for d, text in docs.items():
+        lines = (text or "").split("\n")
+        words, starts = [terms(x) for x in lines], [0]
+        for x in lines:
+            starts.append(starts[-1] + len(x) + 1)
+        spans, whole, made = {}, [], {}
+        whole_words = terms(text or "")
+
+        def score(key, bag, u):
+            if key not in made:
+                made[key] = vector(bag)
+                made[key] = (made[key], norm(made[key]))
+            v, size = made[key]
+            return round(sum(x * v[t] for t, x in u.items() if t in v) / size / norm(u), 12) if size else 0.0
+
+        for name, file, n, u in known:
+            runs = set() if file else {(i, i + 1) for i in range(len(lines))}
+            for i in (i for i in range(len(lines)) if words[i]):
+                end = i
+                while end < len(lines) and sum(map(len, words[i:end])) < n:
+                    end += 1
+                runs |= {(i, e) for e in ((end, end - 1) if words[end - 1] else (end,)) if e - i >= (1 if file else 2)}
+            for i, e in runs:
+                s = score((i, e), [w for x in words[i:e] for w in x], u)
+                if s >= threshold:
+                    spans.setdefault((starts[i], starts[e] - 1), []).append((-s, name))
+            s = score("whole", whole_words, u)
+            if s >= threshold:
+                whole.append((-s, name))
+        kept = []
+        for s, start, end, name in sorted((*min(found)[:1], *span, min(found)[1]) for span, found in spans.items()):
+            if all(end <= a or b <= start for a, b, _, _ in kept):
+                kept.append((start, end, name, round(-s, 6)))
+        out[d] = sorted(kept), min(whole)[1] if whole else None
+    return out
+
+
+def test_whole_scan_against_brute_force(spark):
+    """Lines, runs, whole texts, their scores and what is kept of overlapping headers."""
+    from balancete.llm.licenses import FILES
+    files = {k: FILES[k] for k in ("BSD-2-Clause", "BSD-3-Clause", "ISC", "MIT", "Unlicense")}
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("length(text) < 2500").limit(150).collect()}
+    notices = sorted(x for texts in TEMPLATES.values() for x in texts)
+    for i, x in enumerate(notices):
+        w = x.split()
+        docs[10_000 + i] = f"code here\n# {' '.join(w[:len(w) // 2])}\n# {' '.join(w[len(w) // 2:])}\n\nmore code\n{notices[i - 1]}\nend"
+    for i, (name, x) in enumerate(files.items()):
+        docs[20_000 + i], docs[21_000 + i] = x, f"some code\n\n{x}\n\nand more of it\n" + "words of prose " * 40
+    docs |= {30_000: None, 30_001: "", 30_002: "\n\n", 30_003: "MIT License\nMIT License\n\nMIT License"}
+    templates = [(k, x, False) for k in sorted(TEMPLATES) for x in TEMPLATES[k]] + [(k, FILES[k], True) for k in sorted(FILES)]
+    want = plain_licenses(docs, templates)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: ([(h.start, h.end, h.license, h.score) for h in r.headers], r.file_license)
+           for r in licenses(df, F.lit(None).cast("string")).collect()}
+    assert {d for d in docs if got[d] != want[d]} == set()
+    assert sum(bool(h) for h, _ in got.values()) > len(notices)
+
+
 def test_inheritance_from_the_nearest_directory(spark):
     rows = [("r/LICENSE", "Released under the MIT License."), ("r/a/COPYING", "Licensed under the Apache License, Version 2.0."),
             ("r/a/b/x.py", "plain words only"), ("r/y.py", "plain words"), ("r/a/z.py", "code\n# Licensed under CC BY-NC 4.0.\ncode"),
