@@ -1,6 +1,17 @@
 """The corpus pipeline: five stages over ``documents``, each written and read again.
 
 quality rules -> line dedup -> SimHash near-dedup -> benchmark decontamination -> mixing.
+
+Every stage but the last returns the columns of its input, other columns as they were
+(whatever their names), with ``text`` and ``n_chars`` (where there is one) after its
+decisions; an empty table gives an empty table.
+
+* Null, empty and blank texts have fewer than ten words and go in the first stage.
+* A null host is a host of its own; a null id comes after all others.
+* Very long texts are read whole.
+* Rows equal in id and text are judged alike; from the third stage on one of them is left.
+* A document that loses all its lines to documents before it stays with an empty text;
+  the empty ones are one SimHash group, and the mix takes no words of the one that is left.
 """
 
 from __future__ import annotations
@@ -22,27 +33,39 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def stage_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and are not depleted, less their boilerplate lines."""
+    """Documents that pass the base rules and are not depleted, less their boilerplate lines.
+
+    Ties: a line at exactly the limit stays, a text held by several documents counts once.
+    """
     return quality_documents(docs)
 
 
 def stage_line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines stay in the document with the smallest id only."""
+    """Repeated lines stay in the document with the smallest id only, there as often as they stand.
+
+    Ties: rows with the same id are one document; lines of under ten code points stay.
+    """
     return line_dedup_documents(docs)
 
 
 def stage_simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of fingerprints within three bits."""
+    """One document of each group of fingerprints within three bits: the one with the smallest id.
+
+    Ties: of several texts under that id one stays, the same in every run.
+    """
     return simhash_documents(docs)
 
 
 def stage_decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no benchmark window occurs."""
+    """Documents in which no benchmark window occurs; an item without words matches nothing."""
     return decontaminate(docs, table(spark, sf_dir, "benchmark"), keep_row=True)
 
 
 def stage_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents the mix takes, with their size, target and taken words (see ``mix``)."""
+    """The documents the mix takes, with their size, target and taken words (see ``mix``).
+
+    Ties in finish time go by the hash of the id, then the id; a document without words is not taken.
+    """
     return mix(docs).where(F.col("taken") > 0).select(
         "doc_id", "size", "source_size", "target", "epochs", "taken")
 
