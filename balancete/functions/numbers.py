@@ -40,12 +40,15 @@ def parse_percent(c: ColumnOrName) -> Column:
     """Percentage text -> decimal, NULL when the text is not a percentage.
 
     '20' -> 20, '20,5' -> 20.5, '20%' -> 20, ' 7.25% ' -> 7.25; blank, NULL,
-    'x', '1.2.3' and '-5' -> NULL.
+    'x', '1.2.3' and '-5' -> NULL. A percentage that RATE cannot hold in full (over 14
+    integer or 12 decimal digits, leading and trailing zeros aside) raises.
     """
     t = F.trim(_c(c))
     cleaned = F.replace(F.replace(t, F.lit("%"), F.lit("")), F.lit(","), F.lit("."))
+    fits = cleaned.rlike(r"^0*[0-9]{1,14}([.][0-9]{1,12}0*)?$")
     return F.when(F.coalesce(otrim(c), F.lit("x")).rlike(PERCENT_PATTERN),
-                  cleaned.try_cast(RATE))
+                  F.when(fits, cleaned.try_cast(RATE))
+                  .otherwise(F.raise_error(F.concat(F.lit("percentage out of range: "), t)).cast(RATE)))
 
 
 def apply_rate(amount: ColumnOrName, rate: ColumnOrName) -> Column:

@@ -1,6 +1,7 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from balancete.functions import (code_eq, decode_cyyddd, encode_cyyddd, encode_date, fit,
@@ -106,3 +107,12 @@ def test_remove_shared(spark):
     spark.range(3).write.parquet(path)
     remove_shared(spark, path)
     assert not os.path.exists(path.removeprefix("file:"))
+
+
+def test_rates_out_of_range_raise(spark):
+    for text in ("123456789012345%", "0,1234567890123"):
+        with pytest.raises(Exception, match="percentage out of range"):
+            spark.createDataFrame([(text,)], "s string").select(parse_percent("s")).collect()
+    held = ["00012345678901234", "1,1234567890120000%", "99999999999999.999999999999"]
+    got = [r.p for r in spark.createDataFrame([(x,) for x in held], "s string").select(parse_percent("s").alias("p")).collect()]
+    assert got == [Decimal("12345678901234"), Decimal("1.123456789012"), Decimal("99999999999999.999999999999")]
