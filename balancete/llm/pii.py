@@ -12,9 +12,9 @@
   with other separators; cards with other separators; addresses with "at" and "dot" spelled
   out). Negative: the corpus's own numbers in the form of dates, versions, and digits without a
   check sum, and such numbers made of accepted spans' digits. Candidates that are neither have
-  no label. It is fitted on about ``train_rows`` of these examples (by hash of their place).
-* Threshold. Per loose rule the lowest score, from one half up, down to which a held-out third
-  of the examples (by document) keeps a precision of ``min_precision``; a rule without held-out
+  no label. It is fitted on all of these examples of two thirds of the documents.
+* Threshold. Per loose rule the lowest score, from one half up, down to which all examples of
+  the other third (held out) keeps a precision of ``min_precision``; a rule without held-out
   examples takes 0.9. Without accepted spans to learn from, no span is added.
 
 Fixed rules' spans always stay; an added span (kind ``loose_email`` or ``loose_number``) is
@@ -57,7 +57,6 @@ FEATURES = ("is_email", "n_chars", "n_digits", "n_groups", "n_dots", "n_dashes",
 DATE = r"^[0-9]{4}[-./][0-9]{1,2}[-./][0-9]{1,2}$|^[0-9]{1,2}[-./][0-9]{1,2}[-./][0-9]{2,4}$"
 VERSION = r"^[0-9]{1,2}(\.[0-9]+){2,3}$"
 MIN_DIGITS = 7  # of a loose number: the shortest telephone numbers
-TRAIN_ROWS = 20_000
 MIN_PRECISION = 0.95
 CONTEXT = 24
 _BIG = 1 << 62
@@ -172,7 +171,7 @@ def _examples(rows: DataFrame) -> DataFrame:
     return out.unionByName(found.select("_rid", "kind", "match", "before", "after", F.lit(0.0).alias("label")))
 
 
-def _scored(rows: DataFrame, train_rows: int, min_precision: float) -> DataFrame:
+def _scored(rows: DataFrame, min_precision: float) -> DataFrame:
     """The loose candidates that the calibrated model selects and that no fixed span covers."""
     loose = rows.where((F.col("kind") >= 4) & ~F.col("covered"))
     examples = _examples(rows)
@@ -180,17 +179,15 @@ def _scored(rows: DataFrame, train_rows: int, min_precision: float) -> DataFrame
     if not good or good == total:
         return loose.where("false")
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="_f")
-    place = F.xxhash64("_rid", "kind", "match")
-    sample = examples.where(F.pmod(place, F.lit(max(1, -(-total // train_rows)))) == 0)
-    sample = checkpoint(assembler.transform(_described(sample)).select(
+    examples = checkpoint(assembler.transform(_described(examples)).select(
         "kind", "_f", "label", (F.pmod(F.xxhash64("_rid"), F.lit(3)) == 0).alias("held")))
-    labels = sample.where(~F.col("held")).agg(F.sum("label"), F.count(F.lit(1))).first()
+    labels = examples.where(~F.col("held")).agg(F.sum("label"), F.count(F.lit(1))).first()
     if not labels[1] or labels[0] in (None, 0.0, float(labels[1])):
         return loose.where("false")
     model = GBTClassifier(featuresCol="_f", labelCol="label", maxIter=8, maxDepth=3, stepSize=0.3, minInstancesPerNode=10, seed=1,
-                          cacheNodeIds=False).fit(sample.where(~F.col("held")).drop("held"))
+                          cacheNodeIds=False).fit(examples.where(~F.col("held")).drop("held"))
     score = lambda d: model.transform(d).withColumn("_p", F.floor(vector_to_array("probability")[1] * 100).cast("int"))
-    bins = score(sample.where("held")).groupBy("kind", "_p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect()
+    bins = score(examples.where("held")).groupBy("kind", "_p").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("good")).collect()
     enough = F.lit(False)
     for kind in (4, 5):
         n = hit = 0.0
@@ -205,13 +202,13 @@ def _scored(rows: DataFrame, train_rows: int, min_precision: float) -> DataFrame
     return score(assembler.transform(_described(loose))).where(enough).select(*loose.columns)
 
 
-def pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", train_rows: int = TRAIN_ROWS,
+def pii(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         min_precision: float = MIN_PRECISION) -> DataFrame:
     """Per row: id, spans array<struct<start, k, end, kind>> in code points, by start, then kind
     as in ``KINDS``; the first four kinds are the fixed rules'."""
     docs, rows = candidate_rows(df, id_col, text_col)
     rows = checkpoint(_overlapping(rows))
-    added = _scored(rows, train_rows, min_precision)
+    added = _scored(rows, min_precision)
     chosen = rows.where("accepted").unionByName(added)
     names = F.array(*[F.lit(k) for k in KINDS])
     spans = chosen.groupBy(F.col("_rid").alias("_r")).agg(F.array_sort(F.collect_list(F.struct(

@@ -191,3 +191,23 @@ def test_secrets_nulls_repeats_empty(spark, tricky):
     got = secrets(tricky).collect()
     assert len(got) == tricky.count() and [r.spans for r in got if r.doc_id == 50] == [[]]
     assert secrets(tricky.where("false")).count() == 0
+
+
+def test_model_learns_from_all_examples(spark, monkeypatch):
+    from balancete.llm import pii as P
+    text = " ".join(f"call +55 11 9{i:04d}-1234 now" for i in range(40))
+    df = spark.range(0, 80, 1, 4).selectExpr("id AS doc_id", f"'{text}' AS text")
+    _, rows = P.candidate_rows(df, "doc_id", "text")
+    examples = P._examples(P._overlapping(rows))
+    held = F.pmod(F.xxhash64("_rid"), F.lit(3)) == 0
+    seen = []
+
+    class Spy(P.GBTClassifier):
+        def fit(self, d):
+            seen.append(d.count())
+            return super().fit(d)
+
+    monkeypatch.setattr(P, "GBTClassifier", Spy)
+    P.pii(df)
+    assert examples.count() > 20_000
+    assert seen == [examples.where(~held).count()]
