@@ -28,7 +28,7 @@ def write_invoices(raw: DataFrame, out_dir: str, suffix: str = "", *, ordered: b
                   "inf", "inf_key", "malformed").write.parquet(path)
     ordered = ordered or single_file
     try:
-        rows = spark.read.parquet(path).withColumns({"header": F.col("inf"), "key": F.col("inf_key")})
+        rows = spark.read.parquet(path).withColumns({"header": F.col("inf"), "key": F.col("inf_key"), "readable": ~F.col("malformed")})
         bad = quarantine(rows.orderBy("source_path") if ordered else rows)
         for name, df in (("itens", itens(rows, ordered=ordered)), ("notas", notas(rows, ordered=ordered)), ("quarantine", bad)):
             target = f"{out_dir.rstrip('/')}/{name}{suffix}"

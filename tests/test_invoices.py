@@ -1,6 +1,7 @@
 import os
 
 from balancete.operators.invoices import ITENS_COLUMNS, NOTAS_COLUMNS, itens, notas, quarantine
+from balancete.sources.invoice_standins import invoice_documents
 from balancete.sources.invoices import parse_invoices, read_invoice_files, read_invoices
 
 NS = 'xmlns="http://www.portalfiscal.inf.br/nfe"'
@@ -229,3 +230,36 @@ def test_convert_folder_writes_the_three_outputs(spark, tmp_dir):
     for name, df in (("itens", itens(parsed)), ("notas", notas(parsed)), ("quarantine", quarantine(parsed))):
         back = read_csv_strings(spark, os.path.join(out, name), df.columns).collect()
         assert sorted(map(tuple, back)) == sorted(tuple("" if v is None else str(v) for v in r) for r in df.collect())
+
+
+def test_shuffles_of_the_documents_carry_no_text(spark):
+    docs = invoice_documents(spark, "/root/testdata/sf0.001", with_pages=False)
+    plan = docs._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Join", 1)
+    assert "<det nItem=" in above and "<det nItem=" not in below
+
+
+def test_malformed_needs_no_tree(spark):
+    docs = ["<a/>", "<a>", "", None, "<a/>x", "<!DOCTYPE a><a>&b;</a>", '<!DOCTYPE a SYSTEM "b"><a>&c;</a>',
+            '<!DOCTYPE a [<!ENTITY c "d">]><a>&c;</a>', "<q:a/>", "<a b='1' b='2'/>", '<?xml version="1.0" encoding="none"?><a/>',
+            "<a>ç&lt;<!--x--><?y z?><![CDATA[<]]></a>"]
+    parsed = parse_invoices(spark.createDataFrame([(str(i), str(i), d) for i, d in enumerate(docs)],
+                                                  "source_path string, source_file string, value string").coalesce(1))
+    rows = parsed.select("source_file", "malformed", "readable").collect()
+    assert [r.malformed for r in rows] == [not r.readable for r in rows]
+    assert {r.source_file for r in rows if not r.malformed} == {"0", "7", "10", "11"}
+    plan = quarantine(parsed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "check(" in plan and "parse(" not in plan
+
+
+def test_missing_containers_and_repeats(spark):
+    ns = 'xmlns="http://www.portalfiscal.inf.br/nfe"'
+    docs = [f"<NFe {ns}><infNFe/></NFe>", f"<NFe {ns}><infNFe Id=' 7 '><ide><nNF> 1 </nNF><nNF>2</nNF></ide><ide><serie>3</serie></ide>"
+            "<det nItem=' 1 '><prod/></det><det/></infNFe></NFe>", "<a/>", "<a>"]
+    parsed = parse_invoices(spark.createDataFrame([(str(i), str(i), d) for i, d in enumerate(docs)],
+                                                  "source_path string, source_file string, value string").coalesce(1))
+    bare, full, foreign, bad = [r.inf for r in parsed.select("inf").collect()]
+    assert foreign is None and bad is None
+    assert bare["_Id"] == "" and bare["ide"] is None and bare["det"] is None
+    assert full["_Id"] == "7" and full["ide"]["nNF"] == "1" and full["ide"]["serie"] is None and full["total"] is None
+    assert [(d["_nItem"], d["prod"] is None) for d in full["det"]] == [("1", False), ("", True)]
