@@ -1,7 +1,7 @@
 import os
 
 from balancete.operators.invoices import ITENS_COLUMNS, NOTAS_COLUMNS, itens, notas, quarantine
-from balancete.sources.invoice_standins import invoice_documents
+from balancete.sources.invoice_standins import FILE_PER_ROW, invoice_documents, write_invoice_files
 from balancete.sources.invoices import parse_invoices, read_invoice_files, read_invoices
 
 NS = 'xmlns="http://www.portalfiscal.inf.br/nfe"'
@@ -263,3 +263,38 @@ def test_missing_containers_and_repeats(spark):
     assert bare["_Id"] == "" and bare["ide"] is None and bare["det"] is None
     assert full["_Id"] == "7" and full["ide"]["nNF"] == "1" and full["ide"]["serie"] is None and full["total"] is None
     assert [(d["_nItem"], d["prod"] is None) for d in full["det"]] == [("1", False), ("", True)]
+
+
+def test_small_files_share_a_task(spark, tmp_dir):
+    for i in range(1100):
+        with open(f"{tmp_dir}/{i}.xml", "w") as f:
+            f.write("<a/>")
+    files = read_invoice_files(spark, tmp_dir)
+    assert files.rdd.getNumPartitions() <= 4 * spark.sparkContext.defaultParallelism
+    assert files.count() == 1100
+
+
+def test_one_file_per_row_without_check_sums(spark, tmp_dir):
+    spark.range(0, 20, 1, 2).selectExpr("cast(id as string) AS value").write.options(**FILE_PER_ROW).text(f"{tmp_dir}/out")
+    names = [n for n in os.listdir(f"{tmp_dir}/out") if "part-" in n]
+    assert len(names) == 20 and not [n for n in names if n.endswith(".crc")]
+
+
+def test_customer_files_are_written_by_many_tasks(spark, tmp_dir):
+    rows = [(i, i, "O", 10.0, None) for i in range(1, 61)]
+    spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+                          ).write.parquet(f"{tmp_dir}/orders.parquet")
+    write_invoice_files(spark, tmp_dir, f"{tmp_dir}/out")
+    files = [n for _, _, names in os.walk(f"{tmp_dir}/out") for n in names if n.startswith("part-")]
+    assert len(files) == 60 and len({n[:10] for n in files}) > 1
+
+
+def test_a_null_customer_key_leaves_no_null_document(spark, tmp_dir):
+    order = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz"
+    line = ("l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, "
+            "l_discount double, l_tax double, l_returnflag string")
+    spark.createDataFrame([(1, None, None, None, None), (None,) * 5], order).write.parquet(f"{tmp_dir}/orders.parquet")
+    spark.createDataFrame([(1,) + (None,) * 8], line).write.parquet(f"{tmp_dir}/lineitem.parquet")
+    docs = invoice_documents(spark, tmp_dir, with_pages=False)
+    assert parse_invoices(docs).where("malformed").count() == 0  # the text is built in the filter
+    assert sorted(r.dest_UF for r in notas(parse_invoices(docs)).collect()) == ["RS", "RS"]
