@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import MONEY, month_key
-from ..operators.documents import (difal_lines, document_branches, document_lines,
-                                   tax_code_lines)
+from ..operators.documents import (difal_lines, document_branches, document_lines, few_documents,
+                                   headers, tax_code_lines)
 from ..operators.gl import allocate, gl_balance, gl_detail
 from ..session import remove_shared, shared_scratch_path
 from ..sources.schemas import INCOME_STATEMENT_SCHEMA, LEDGER_SCHEMA
@@ -54,17 +54,24 @@ def document_ledger(tables, issue_from: int, issue_to: int | None,
     planner, and re-read rather than recomputed when an executor is lost. The
     folder is noted in ``folders``, by default the bundle's, which
     ``release_documents`` removes; ``OpenLedger`` owns its own.
+
+    Where the range has few documents (a month's), the facts are cut to them at their scans,
+    first by the headers' numbers, then by the written lines' own.
     """
-    doc = document_lines(tables, issue_from, issue_to, cfg, columns=columns)
+    documents = None
+    if cfg.materialize_documents:
+        documents = few_documents(headers(tables["F7601B"], issue_from, issue_to), "FHBNNF", cfg)
+    doc = document_lines(tables, issue_from, issue_to, cfg, columns=columns, documents=documents)
     if cfg.materialize_documents:
         path = shared_scratch_path(doc.sparkSession, "document_lines")
         doc.write.parquet(path)
         (tables.derived.setdefault("_document_folders", []) if folders is None else folders).append((doc.sparkSession, path))
         doc = doc.sparkSession.read.parquet(path)
+        documents = few_documents(doc, "FDBNNF", cfg)
     written = cfg.materialize_documents
     return union_all([document_branches(doc, cfg, columns=columns),
-                      difal_lines(doc, tables, cfg, columns=columns, written=written),
-                      tax_code_lines(doc, tables, cfg, columns=columns, written=written)], columns)
+                      difal_lines(doc, tables, cfg, columns=columns, written=written, documents=documents),
+                      tax_code_lines(doc, tables, cfg, columns=columns, written=written, documents=documents)], columns)
 
 
 def release_documents(tables) -> None:

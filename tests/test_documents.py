@@ -261,3 +261,45 @@ def test_the_key_range_of_the_wanted_documents_reaches_the_scans(spark, tmp_dir)
         assert {"F76B011" in x for x in scans} == {True, False} and all("Subquery" in x.split("DataFilters")[1] for x in scans)
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def _summed(df, amount):
+    """The same rows as the result of an aggregate, as where lines are summed from finer ones."""
+    from pyspark.sql import functions as F
+    return df.groupBy(*[c for c in df.columns if c != amount]).agg(F.max(amount).alias(amount)).select(df.columns)
+
+
+def test_only_a_months_documents_are_summed_and_exchanged(spark, tmp_dir, monkeypatch):
+    """Lines and details that come out of an aggregate are cut to the month's documents below it."""
+    from dataclasses import replace
+
+    from balancete.plans import ledger
+    from balancete.plans.config import DEFAULT_CONFIG
+    t = _history(spark, tmp_dir)
+    t = t.with_tables(F7611B=_summed(t["F7611B"], "FDAEXP"), F76B011=_summed(t["F76B011"], "TDBRTXA"),
+                      F5576007=_summed(t["F5576007"], "DFBICM"))
+    seen, build = [], ledger.document_lines
+    monkeypatch.setattr(ledger, "document_lines", lambda *a, **k: seen.append(build(*a, **k)) or seen[-1])
+    led = document_ledger(t, 116001, 116003)
+    rows = sorted(map(str, led.collect()))
+    assert len(seen[0].collect()) == 60
+    for df in (seen[0], led):
+        assert max(_exchange_rows(df)) <= 60                    # of 4,000 rows of each fact
+    # Too many documents for a broadcast: the same rows without the cut.
+    many = document_ledger(t, 116001, 116003, replace(DEFAULT_CONFIG, broadcast_max_bytes=0))
+    assert sorted(map(str, many.collect())) == rows and max(_exchange_rows(many)) > 1000
+
+
+def test_documents_without_a_number_or_with_two_headers(spark, tmp_dir):
+    """A null document number matches nothing and a header that stands twice doubles its lines, with the cut as without."""
+    from balancete.operators.documents import few_documents, headers
+    head = {"FHFCO": "00001", "FHBNNF": 1, "FHDCT": "NS", "FHN001": 1, "FHISSU": 116010}
+    t = _bundle(spark, tmp_dir, [_line(1, 1, "SA"), _line(None, 2, "SA"), _line(3, 1, "SA")],
+                F7601B=[head, head, head | {"FHBNNF": None}], F76B011=[_tax(1, 1), _tax(None, 2)], F5576007=[_difal(None, 2)])
+    keys = few_documents(headers(t["F7601B"], 116001, None), "FHBNNF")
+    found = {}
+    for documents in (None, keys):
+        doc = document_lines(t, 116001, None, documents=documents)
+        found[documents is None] = [sorted(map(str, x.collect())) for x in (
+            doc, difal_lines(doc, t, documents=documents), tax_code_lines(doc, t, documents=documents))]
+    assert found[True] == found[False] and len(found[True][0]) == 2
