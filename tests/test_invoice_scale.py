@@ -1,5 +1,6 @@
 """What keeps the invoice queries in proportion: one shuffle of the lines, one parse of a document,
 sorted rows and CSV parts that are small on disk; with the same rows."""
+import glob
 import re
 
 import pytest
@@ -7,6 +8,7 @@ import pytest
 from balancete import registry
 from balancete.operators.invoices import ITENS_COLUMNS, itens
 from balancete.plans.positions import with_position
+from balancete.sources.csv_sink import read_csv_strings, write_csv
 from balancete.sources.invoice_standins import invoice_documents
 from balancete.sources.invoices import parse_invoices
 
@@ -76,3 +78,24 @@ def test_positions_of_ties_and_nulls(spark, tmp_dir, written):
     got = sorted(with_position(df, "position", f"{tmp_dir}/sorted" if written else None).collect(), key=lambda r: r.position)
     assert [r.position for r in got] == list(range(1, 201)) and {r.b for r in got} == set(range(200))
     assert [r.a for r in got] == sorted((a for a, _ in rows), key=lambda a: (a is not None, a))
+
+
+def test_compressed_parts_read_back(spark, tmp_dir):
+    df = spark.range(500).selectExpr("CAST(id AS STRING) AS i", "concat('a;', id, '\\n\"\\r') AS t").repartition(3)
+    write_csv(df, f"{tmp_dir}/gz", compression="gzip")
+    assert len(glob.glob(f"{tmp_dir}/gz/part-*.gz")) == 3
+    assert sorted(map(tuple, read_csv_strings(spark, f"{tmp_dir}/gz", ["i", "t"]).collect())) == sorted(map(tuple, df.collect()))
+    with pytest.raises(ValueError):
+        write_csv(df, f"{tmp_dir}/one", single_file=True, compression="gzip")
+    write_csv(df.limit(0), f"{tmp_dir}/none", compression="gzip")
+    assert read_csv_strings(spark, f"{tmp_dir}/none", ["i", "t"]).count() == 0
+
+
+def test_round_trip_keeps_compressed_parts(spark, tmp_dir):
+    _tables(spark, tmp_dir)
+    got = registry.q_csv_roundtrip(spark, tmp_dir)
+    want = itens(parse_invoices(invoice_documents(spark, tmp_dir))).collect()
+    assert sorted(map(tuple, got.collect())) == sorted((*r[:28], f'{r.xProd}\n"{r.cProd}', *r[29:]) for r in want)
+    folder = registry._SCRATCH["csv_roundtrip"][1]
+    parts = glob.glob(f"{folder}/part-*")
+    assert parts and all(p.endswith(".gz") for p in parts)
